@@ -314,3 +314,299 @@ def q25_open_per_category(spark, d):
     dim = table(spark, d, "part").select(F.col("p_partkey").alias("id"),
                                          F.col("p_brand").alias("title"))
     return Q.open_per_category(o, link, dim)
+
+
+# ======================================================= dedup / windows
+
+_LI_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+_LI_ORDER_SQL = ("l_shipdate DESC NULLS FIRST, l_partkey DESC NULLS FIRST, "
+                 "l_suppkey DESC NULLS FIRST, l_extendedprice DESC NULLS FIRST")
+
+
+@register("w01_latest_per_key", """
+SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id
+  ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1""")
+def w01_latest_per_key(spark, d):
+    """Latest row per user (ts desc, event_id desc)."""
+    return D.latest(table(spark, d, "events"), ["user_id"], ["ts", "event_id"])
+
+
+@register("d02_dedup_null_keys", f"""
+WITH t AS (SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber END AS line,
+                  l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM lineitem)
+SELECT * FROM t WHERE line IS NULL
+UNION ALL
+SELECT * FROM t WHERE line IS NOT NULL AND l_orderkey IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, line ORDER BY {_LI_ORDER_SQL}) = 1""")
+def d02_dedup_null_keys(spark, d):
+    """Duplicate keys removed (last row kept), rows with a
+    NULL key never removed."""
+    t = table(spark, d, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_returnflag") == "R", F.lit(None))
+                       .otherwise(F.col("l_linenumber")).alias("line"),
+        "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
+    return D.dedup_keys(t, ["l_orderkey", "line"], order_by=_LI_ORDER)
+
+
+@register("d03_distinct_rows", """
+SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem""")
+def d03_distinct_rows(spark, d):
+    return D.distinct_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+
+
+@register("o05_top_k_recent", """
+SELECT event_id, ts, event_type, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND value >= 4.5
+ORDER BY ts DESC, event_id DESC LIMIT 500""")
+def o05_top_k_recent(spark, d):
+    """Collection window (time range, minimum value), most recent
+    first, limited - the limit is the feature (top-k)."""
+    e = table(spark, d, "events").filter(
+        (F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+        & (F.col("value") >= 4.5))
+    return (e.select("event_id", "ts", "event_type", "value")
+             .orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(500))
+
+
+# ============================================================ aggregates
+
+@register("a06_duplicate_surplus", """
+SELECT CAST(SUM(c) AS BIGINT) AS total_rows,
+       CAST(COALESCE(SUM(CASE WHEN c > 1 THEN c - 1 END), 0) AS BIGINT) AS failing_rows
+FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber) t""")
+def a06_duplicate_surplus(spark, d):
+    return A.duplicate_surplus(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("a06_text_duplicates", """
+SELECT CAST(SUM(c) AS BIGINT) AS total_rows,
+       CAST(COALESCE(SUM(CASE WHEN c > 1 THEN c - 1 END), 0) AS BIGINT) AS failing_rows
+FROM (SELECT COUNT(*) AS c FROM documents GROUP BY text) t""")
+def a06_text_duplicates(spark, d):
+    """U04/U05 shape on whole document texts (NULL text is one group)."""
+    return A.duplicate_surplus(table(spark, d, "documents"), ["text"])
+
+
+@register("a07_fuzzy_duplicates", """
+SELECT CAST(SUM(c) AS BIGINT) AS total_rows,
+       CAST(COALESCE(SUM(CASE WHEN c > 1 THEN c - 1 END), 0) AS BIGINT) AS failing_rows
+FROM (SELECT COUNT(*) AS c FROM lineitem
+      GROUP BY date_trunc('minute', l_shipdate), round(CAST(l_discount AS DECIMAL(18,6)), 1),
+               round(CAST(l_tax AS DECIMAL(18,6)), 1), round(CAST(l_quantity AS DECIMAL(18,6)), 1)) t""")
+def a07_fuzzy_duplicates(spark, d):
+    """U03 shape: same minute, rounded 'lat/lon/magnitude' stand-ins."""
+    li = table(spark, d, "lineitem")
+    return A.duplicate_surplus(li, A.fuzzy_keys("l_shipdate", "l_discount", "l_tax", "l_quantity"))
+
+
+@register("a08_group_measures", """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n,
+       CAST(SUM(l_quantity) AS DOUBLE) AS sum_qty,
+       COUNT(*) FILTER (WHERE l_discount >= 0.05) AS n_discounted
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def a08_group_measures(spark, d):
+    """Count, sum and filtered count per group."""
+    return (table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"),
+                 F.count_if(F.col("l_discount") >= 0.05).alias("n_discounted")))
+
+
+# ====================================================== referential joins
+
+def _customers_kept(spark, d):
+    return table(spark, d, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+
+
+@register("j07_orphans", """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey
+                  AND c.c_mktsegment <> 'BUILDING')""")
+def j07_orphans(spark, d):
+    """Orders whose customer is not among the kept customers."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return RF.orphans(o, _customers_kept(spark, d), "o_custkey", "c_custkey")
+
+
+@register("i01_orphan_counts", """
+SELECT CAST(COUNT(*) AS BIGINT) AS total_rows,
+       CAST(COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM part p
+            WHERE p.p_partkey = l.l_partkey AND p.p_size <= 40)) AS BIGINT) AS failing_rows
+FROM lineitem l""")
+def i01_orphan_counts(spark, d):
+    """I01-I05 measure: child rows and orphans in one child scan."""
+    parts = table(spark, d, "part").filter(F.col("p_size") <= 40)
+    return AU.orphan_counts(table(spark, d, "lineitem"), parts, "l_partkey", "p_partkey")
+
+
+@register("j08_all_parents", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderpriority <> '1-URGENT')
+  AND EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_size <= 40)""")
+def j08_all_parents(spark, d):
+    """A child is kept only when every parent exists."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    o = table(spark, d, "orders").filter(F.col("o_orderpriority") != "1-URGENT")
+    p = table(spark, d, "part").filter(F.col("p_size") <= 40)
+    return RF.with_all_parents(li, [(o, "l_orderkey", "o_orderkey"), (p, "l_partkey", "p_partkey")])
+
+
+@register("j10_before_first_child", """
+SELECT o.o_orderkey, o.o_orderdate FROM orders o
+WHERE o.o_orderdate IS NOT NULL
+  AND o.o_orderdate < (SELECT MIN(l.l_shipdate) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def j10_before_first_child(spark, d):
+    """J10 / Co01: orders dated before their first shipment."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    return RF.before_first_child(o, table(spark, d, "lineitem"), parent_key="o_orderkey",
+                                 parent_ts="o_orderdate", child_key="l_orderkey",
+                                 child_ts="l_shipdate", child_ts_is_text=False)
+
+
+@register("co01_coherence_counts", """
+SELECT CAST(COUNT(*) FILTER (WHERE o.o_orderdate IS NOT NULL) AS BIGINT) AS total_rows,
+       CAST(COUNT(*) FILTER (WHERE o.o_orderdate IS NOT NULL AND o.o_orderdate <
+            (SELECT MIN(CAST(l.l_shipdate AS VARCHAR)::TIMESTAMP) FROM lineitem l
+             WHERE l.l_orderkey = o.o_orderkey)) AS BIGINT) AS failing_rows
+FROM orders o""")
+def co01_coherence_counts(spark, d):
+    """Co01 measure with the child time stored as text (parsed safely)."""
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", F.col("l_shipdate").cast("string").alias("l_shipdate"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"),
+                                         F.col("o_orderdate").alias("closed"))
+    m = AU.closed_before_first_point("event", "geometry", parent_key="id", parent_ts="closed",
+                                     child_key="l_orderkey", child_ts="l_shipdate")
+    return m({"event": o, "geometry": li}, F.current_timestamp())
+
+
+@register("j14_cascade", """
+SELECT l_orderkey, l_linenumber FROM lineitem l
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P')""")
+def j14_cascade(spark, d):
+    """J14 CASCADE: deleting orders in status P removes their lines."""
+    kept = table(spark, d, "orders").filter(F.col("o_orderstatus") != "P")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return RF.with_parent(li, kept, "l_orderkey", "o_orderkey")
+
+
+@register("j14_restrict", """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE o.o_orderstatus = 'P'
+  AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def j14_restrict(spark, d):
+    """J14 RESTRICT: of the orders proposed for deletion (status P), those
+    that no line references (the others must stay)."""
+    cand = (table(spark, d, "orders").filter(F.col("o_orderstatus") == "P")
+            .select("o_orderkey", "o_custkey"))
+    return RF.restrict(cand, table(spark, d, "lineitem"), "o_orderkey", "l_orderkey")
+
+
+# ================================================================ merge
+
+def _merge_inputs(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                         "o_totalprice", "o_orderpriority")
+    base = o.filter(F.col("o_orderstatus").isin("F", "O"))
+    delta = (o.filter(F.col("o_orderstatus").isin("O", "P"))
+              .withColumn("o_orderpriority", F.concat(F.lit("new-"), "o_orderpriority")))
+    return base, delta
+
+
+_MERGE_SQL = """
+WITH base AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, 0 AS src
+              FROM orders WHERE o_orderstatus IN ('F', 'O')),
+delta AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+                 'new-' || o_orderpriority AS o_orderpriority, 1 AS src
+          FROM orders WHERE o_orderstatus IN ('O', 'P')),
+u AS (SELECT * FROM base UNION ALL SELECT * FROM delta)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM u
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY src {dir}) = 1"""
+
+
+@register("j09_merge_update", _MERGE_SQL.format(dir="DESC"))
+def j09_merge_update(spark, d):
+    """J9 last writer wins (ON CONFLICT DO UPDATE)."""
+    base, delta = _merge_inputs(spark, d)
+    return MG.merge(base, delta, ["o_orderkey"], on_match="update")
+
+
+@register("j09_merge_ignore", _MERGE_SQL.format(dir="ASC"))
+def j09_merge_ignore(spark, d):
+    """J9 first writer wins (ON CONFLICT DO NOTHING)."""
+    base, delta = _merge_inputs(spark, d)
+    return MG.merge(base, delta, ["o_orderkey"], on_match="ignore")
+
+
+# ========================================================== validation
+
+def _li_rules():
+    return [V.between("l_quantity", 1, 49), V.Rule("max_discount", F.col("l_discount") <= 0.09),
+            V.one_of("l_returnflag", ["A", "N"]), *V.not_null("l_shipdate")]
+
+
+def _validated(spark, d):
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders").filter(F.col("o_orderpriority") != "1-URGENT")
+    return V.validate(li, _li_rules(), key=["l_orderkey"],
+                      key_order=["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey",
+                                 "l_extendedprice"],
+                      parents=[("orders", o, "l_orderkey", "o_orderkey")])
+
+
+_VALID_SQL = """
+WITH r AS (
+  SELECT l.*, list_filter([
+      CASE WHEN NOT COALESCE(l_quantity BETWEEN 1 AND 49, TRUE) THEN 'range:l_quantity' END,
+      CASE WHEN NOT COALESCE(l_discount <= 0.09, TRUE) THEN 'max_discount' END,
+      CASE WHEN NOT COALESCE(l_returnflag IN ('A', 'N'), TRUE) THEN 'one_of:l_returnflag' END,
+      CASE WHEN l_shipdate IS NULL THEN 'not_null:l_shipdate' END,
+      CASE WHEN l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o
+             WHERE o.o_orderkey = l.l_orderkey AND o.o_orderpriority <> '1-URGENT')
+           THEN 'missing_parent:orders' END], lambda x: x IS NOT NULL) AS reasons
+  FROM lineitem l),
+ok AS (SELECT * FROM r WHERE len(reasons) = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC NULLS FIRST,
+             l_shipdate DESC NULLS FIRST, l_partkey DESC NULLS FIRST, l_suppkey DESC NULLS FIRST,
+             l_extendedprice DESC NULLS FIRST) AS rn FROM ok)"""
+
+
+@register("x01_validate_rejected", _VALID_SQL + """
+SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(reasons, ',') AS reasons
+FROM r WHERE len(reasons) > 0
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, 'duplicate_key' FROM ranked WHERE rn > 1""")
+def x01_validate_rejected(spark, d):
+    """Section 2.12: quarantine with reasons (row rules, PK, FK)."""
+    _, bad = _validated(spark, d)
+    return bad.select("l_orderkey", "l_linenumber", "l_partkey",
+                      F.array_join("reasons", ",").alias("reasons"))
+
+
+@register("x02_validate_accepted", _VALID_SQL + """
+SELECT l_orderkey, l_linenumber, l_partkey FROM ranked WHERE rn = 1""")
+def x02_validate_accepted(spark, d):
+    ok, _ = _validated(spark, d)
+    return ok.select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@register("a16_load_counts", _VALID_SQL + """
+SELECT CAST((SELECT COUNT(*) FROM ranked WHERE rn = 1) AS BIGINT) AS processed,
+       CAST((SELECT COUNT(*) FROM r WHERE len(reasons) > 0)
+            + (SELECT COUNT(*) FROM ranked WHERE rn > 1) AS BIGINT) AS failed""")
+def a16_load_counts(spark, d):
+    ok, bad = _validated(spark, d)
+    return V.load_counts(ok, bad)
+
+
+# ============================================================ corrections
+
+@register("r16_add_https", """
+WITH t AS (SELECT page_id, regexp_replace(url, '^http://', '') AS url FROM pages)
+SELECT page_id, url AS url_before,
+       CASE WHEN url IS NOT NULL AND NOT regexp_matches(url, '^https?://')
+                 AND regexp_matches(url, '^[a-zA-Z0-9]') THEN 'https://' || url ELSE url END AS url_after
+FROM t""")
+def r16_add_https(spark, d):
+    """R15 / R16 on page addresses whose http:// scheme was stripped."""
+    t = table(spark, d, "pages").select("page_id", F.regexp_replace("url", "^http://", "").alias("url"))
+    return t.select("page_id", F.col("url").alias("url_before"), S.add_https("url").alias("url_after"))
