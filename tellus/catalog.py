@@ -56,11 +56,18 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def _load_all():
+    # registering modules; imported lazily to avoid an import cycle
+    from tellus import catalog_hazard  # noqa: F401
+
+
 def queries() -> dict[str, QueryFn]:
+    _load_all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load_all()
     return dict(_SQL)
 
 
@@ -287,7 +294,8 @@ SELECT COALESCE(raw.source, clean.source) AS source, COALESCE(objects, 0) AS obj
        COALESCE(lines, 0) AS lines, COALESCE(clean_rows, 0) AS clean_rows,
        COALESCE(lines, 0) - COALESCE(clean_rows, 0) AS gap,
        CASE WHEN COALESCE(lines, 0) = 0 THEN NULL
-            ELSE round(COALESCE(clean_rows, 0) / CAST(COALESCE(lines, 0) AS DOUBLE), 4) END AS clean_ratio
+            ELSE CAST((2 * COALESCE(clean_rows, 0) * 10000 + COALESCE(lines, 0)) // (2 * COALESCE(lines, 0)) AS DOUBLE) / 10000
+       END AS clean_ratio
 FROM raw FULL OUTER JOIN clean ON raw.source = clean.source""")
 def q22_raw_vs_clean(spark, d):
     e = table(spark, d, "events")

@@ -11,7 +11,7 @@ __all__ = [
     "EARTH_RADIUS_KM", "haversine_km", "band_label", "day_of", "minute_of",
     "epoch_seconds", "seconds_between", "hours_between", "parse_ts",
     "epoch_ms_to_ts", "json_double_array", "json_array_item", "canonical_json",
-    "int_to_bool", "title_or_id", "add_https", "fail_rate", "typed_null",
+    "int_to_bool", "title_or_id", "add_https", "fail_rate", "exact_ratio", "typed_null",
     "element_or_null",
 ]
 
@@ -108,10 +108,17 @@ def add_https(c, pattern: str = URL_PATTERN) -> Column:
     return F.when(fix, F.concat(F.lit("https://"), col(c))).otherwise(col(c))
 
 
+def exact_ratio(num, den, scale: int = 4) -> Column:
+    """num / den rounded HALF_UP at ``scale`` on the exact rational value
+    (decimal arithmetic, like SQL NUMERIC), returned as double; NULL when
+    ``den`` is 0."""
+    q = col(num).cast("decimal(20,0)") / F.nullif(col(den), F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, scale).cast("double")
+
+
 def fail_rate(failing, total) -> Column:
     """0 when there are no rows, else failing/total rounded to 4."""
-    return (F.when(col(total) == 0, F.lit(0.0))
-            .otherwise(F.round(col(failing) / col(total).cast("double"), 4)))
+    return F.coalesce(exact_ratio(failing, total, 4), F.lit(0.0))
 
 
 def typed_null(dtype: str) -> Column:

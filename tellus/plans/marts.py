@@ -133,8 +133,7 @@ def raw_vs_clean(raw: DataFrame, clean: DataFrame, *, source: str = "source") ->
     return j.select(source, F.coalesce(F.col("objects"), F.lit(0)).alias("objects"),
                     lines.alias("lines"), kept.alias("clean_rows"),
                     (lines - kept).alias("gap"),
-                    F.when(lines == 0, F.lit(None)).otherwise(
-                        F.round(kept / lines.cast("double"), 4)).alias("clean_ratio"))
+                    S.exact_ratio(kept, lines, 4).alias("clean_ratio"))
 
 
 def open_per_category(event: DataFrame, link: DataFrame, dim: DataFrame, *,

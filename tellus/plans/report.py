@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tellus.functions.scalars import exact_ratio
+
 
 def latest_run_id(report: DataFrame) -> DataFrame:
     """O3: ``run_id`` of the most recent run (one row)."""
@@ -92,8 +94,7 @@ def before_after(report: DataFrame, run_id=None, table_prefix: str | None = None
         F.sum("before_rows").cast("long").alias("anomalies_before"),
         F.sum("after_rows").cast("long").alias("anomalies_after"),
         F.sum(F.col("before_rows") - F.col("after_rows")).cast("long").alias("resolved"),
-        F.when(F.sum("before_rows") == 0, F.lit(None)).otherwise(
-            F.round(F.sum(F.col("before_rows") - F.col("after_rows")) / F.sum("before_rows").cast("double"), 4))
+        exact_ratio(F.sum(F.col("before_rows") - F.col("after_rows")), F.sum("before_rows"), 4)
          .alias("resolution_rate"))
 
 
