@@ -303,19 +303,27 @@ _REPAIRED: dict[tuple[str, str], tuple[dict[str, str], str]] = {}
 
 
 def repaired(spark, d):
-    """Repaired tables and change counts, written once per session to the
-    shared checkpoint folder (the repair's output is a new table version;
-    later audits and queries read it instead of re-running the plan)."""
+    """Repaired tables and change counts, computed once per session: each
+    repair stage writes the tables it changed to the shared checkpoint
+    folder (the stage's output is a new table version) and later stages,
+    audits and queries read the written files."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _REPAIRED:
-        t, ch = repair(hazard_tables(spark, d))
-        paths = {}
+        paths: dict[str, str] = {}
+
+        def keep(name, df):
+            path = scratch_path(spark, f"repair-{name}")
+            df.write.parquet(path)
+            paths[name.split("-", 1)[1]] = path
+            return spark.read.parquet(path)
+
+        t, ch = repair(hazard_tables(spark, d), materialize=keep)
         for name, df in t.items():
-            paths[name] = scratch_path(spark, f"repaired-{name}")
-            df.write.parquet(paths[name])
+            if name not in paths:
+                keep(f"final-{name}", df)
         cpath = scratch_path(spark, "repair-changes")
         ch.write.parquet(cpath)
-        _REPAIRED[key] = (paths, cpath)
+        _REPAIRED[key] = (dict(paths), cpath)
     paths, cpath = _REPAIRED[key]
     return {n: spark.read.parquet(p) for n, p in paths.items()}, spark.read.parquet(cpath)
 

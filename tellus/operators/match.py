@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tellus.functions.scalars import EARTH_RADIUS_KM, epoch_seconds, haversine_km
 from tellus.operators.dedup import earliest
+from tellus.operators.partitioning import spread
 
 _KEYS = ["_cx", "_cy", "_cz", "_tb"]
 
@@ -72,8 +73,8 @@ def spacetime_candidates(left: DataFrame, right: DataFrame, *,
     # a hair larger than the threshold: only adds candidates, never loses one
     cell = max(chord, 1e-9) * (1 + 1e-6)
     bucket = max(int(math.ceil(max_hours * 3600.0)), 1)
-    lp = _prepare(left, left_id, left_ts, left_lon, left_lat, "l_", cell, bucket)
-    rp = _prepare(right, right_id, right_ts, right_lon, right_lat, "r_", cell, bucket)
+    lp = spread(_prepare(left, left_id, left_ts, left_lon, left_lat, "l_", cell, bucket))
+    rp = spread(_prepare(right, right_id, right_ts, right_lon, right_lat, "r_", cell, bucket))
     sp, tp = (rp, lp) if space_side == "right" else (lp, rp)
 
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"),

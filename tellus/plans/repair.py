@@ -173,16 +173,20 @@ def repair(tables: Mapping[str, DataFrame], order: Sequence[str] = DEFAULT_ORDER
            materialize: Callable[[str, DataFrame], DataFrame] | None = None):
     """Apply the repair stages; returns ``(tables, changes)``.
 
-    ``materialize(name, df) -> df`` (for example ``storage.materialize``)
-    is called on every table after each stage when given.
+    ``materialize(name, df) -> df`` (for example a write to the shared
+    checkpoint folder and a read back) is called after each stage on every
+    table that stage changed, so the next stage and the change counts start
+    from written files instead of recomputing the whole chain.
     """
     t = dict(tables)
     changes: list[DataFrame] = []
     for n, stage in enumerate(order):
+        before = t
         t, ch = STAGES[stage](t)
         changes.extend(c.withColumn("stage", F.lit(n + 1)) for c in ch)
         if materialize is not None:
-            t = {k: materialize(f"{stage}-{k}", v) for k, v in t.items()}
+            t = {k: (materialize(f"{stage}-{k}", v) if v is not before.get(k) else v)
+                 for k, v in t.items()}
     rep = changes[0]
     for c in changes[1:]:
         rep = rep.unionByName(c)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tellus import schemas as SC
+from tellus.operators.partitioning import spread
 
 
 # ------------------------------------------------------------- envelopes
@@ -131,6 +132,7 @@ def read_lake(spark: SparkSession, base: str, source: str, schema: T.StructType,
 def parse_records(df: DataFrame, schema: T.StructType, raw_col: str = "_raw") -> DataFrame:
     """Parse JSON lines with a fixed schema (PERMISSIVE: a wrong-typed field
     becomes NULL, a malformed line becomes an all-NULL record, M8)."""
+    df = spread(df)
     parsed = F.from_json(F.col(raw_col), schema)
     corrupt = F.try_parse_json(F.col(raw_col)).isNull() | ~F.startswith(
         F.ltrim(F.col(raw_col)), F.lit("{"))
