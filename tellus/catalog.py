@@ -58,7 +58,7 @@ def register(name: str, sql: str | None):
 
 def _load_all():
     # registering modules; imported lazily to avoid an import cycle
-    from tellus import catalog_feeds, catalog_hazard  # noqa: F401
+    from tellus import catalog_feeds, catalog_hazard, catalog_stream  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
