@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tellus.catalog import AS_OF, RUN_AT, RUN_ID, register, table
 from tellus.plans import audit as AU
 from tellus.plans import report as RP
+from tellus.operators.partitioning import spread
 from tellus.plans.repair import repair
 from tellus.session import scratch_path
 from tellus.sources.sinks import append_report
@@ -312,7 +313,8 @@ def repaired(spark, d):
     writing every intermediate table."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _REPAIRED:
-        t, ch = repair(hazard_tables(spark, d))
+        base = {k: spread(v) for k, v in hazard_tables(spark, d).items()}
+        t, ch = repair(base)
         paths = {}
         for name, df in t.items():
             paths[name] = scratch_path(spark, f"repaired-{name}")
