@@ -239,6 +239,30 @@ def d04_one_match_per_pair(spark, d):
                                                "delay_seconds")
 
 
+@register("j01_time_band_join", f"""
+WITH e AS ({_pts_sql('error')}), q AS ({_pts_sql('purchase')})
+SELECT e.id AS l_id, q.id AS r_id,
+       CAST(floor(epoch(q.ts)) - floor(epoch(e.ts)) AS BIGINT) AS delay_seconds
+FROM e JOIN q ON abs((floor(epoch(q.ts)) - floor(epoch(e.ts))) / 3600.0) <= 0.25""")
+def j01_time_band_join(spark, d):
+    """Temporal band join alone (15 minutes), as a bucketed equi-join."""
+    out = M.time_band_join(points(spark, d, "error"), points(spark, d, "purchase"), max_hours=0.25,
+                           left_id="id", left_ts="ts", right_id="id", right_ts="ts")
+    return out.select("l_id", "r_id", "delay_seconds")
+
+
+@register("j02_radius_join", f"""
+WITH e AS ({_pts_sql('error')}), q AS ({_pts_sql('purchase')}),
+p AS (SELECT e.id AS l_id, q.id AS r_id, {_HAV_SQL} AS dist FROM e, q)
+SELECT l_id, r_id, round(dist, 2) AS distance_km FROM p WHERE dist <= 100.0""")
+def j02_radius_join(spark, d):
+    """Spatial radius join alone (100 km, any time)."""
+    out = M.radius_join(points(spark, d, "error"), points(spark, d, "purchase"), max_km=100.0,
+                        left_id="id", left_lon="lon", left_lat="lat",
+                        right_id="id", right_lon="lon", right_lat="lat")
+    return out.select("l_id", "r_id", F.round("distance_km", 2).alias("distance_km"))
+
+
 @register("q10_match_details", _match_sql() + """
 SELECT e.event_type || '#' || CAST(e.event_id AS VARCHAR) AS event_title,
        q.props AS quake_place, q.value AS magnitude, round(b.dist, 2) AS distance_km,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tellus import schemas as SC
-from tellus.catalog import MAX_HOURS, MAX_KM, matches, points, register, table
+from tellus.catalog import MAX_HOURS, MAX_KM, _match_sql, matches, points, register, table
 from tellus.catalog_feeds import _records, event_envelopes, quake_envelopes
 from tellus.catalog_hazard import hazard_tables
 from tellus.functions import predicates as P
@@ -18,6 +18,7 @@ from tellus.plans import report as RP
 from tellus.session import scratch_path
 from tellus.sources import feeds as FD
 from tellus.streaming import lake as LK
+from tellus.streaming import match as SM
 
 
 # ------------------------------------------------------ collection windows
@@ -105,6 +106,32 @@ def t06_stream_dedup(spark, d):
     return spark.read.parquet(out)
 
 
+def _point_stream(spark, d, kind):
+    schema = table(spark, d, "events").schema
+    s = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+         .filter(F.col("event_type") == kind))
+    return s.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"),
+                    (((F.col("event_id") * 7919) % 36000).cast("double") / 100 - 180).alias("lon"),
+                    (((F.col("event_id") * 104729) % 18000).cast("double") / 100 - 90).alias("lat"))
+
+
+@register("t03_stream_match", _match_sql() + """
+SELECT l_id AS event_id, r_id AS earthquake_id, round(dist, 2) AS distance_km, delay_seconds
+FROM best WHERE rn = 1""")
+def t03_stream_match(spark, d):
+    """J3 as a stream-stream join under watermarks (optional streaming form);
+    each error event has one point, so every pair is already unique."""
+    out = scratch_path(spark, "stream-match")
+    m = SM.stream_match(_point_stream(spark, d, "error"), _point_stream(spark, d, "purchase"),
+                        max_km=MAX_KM, max_hours=MAX_HOURS)
+    q = (m.writeStream.format("parquet").option("checkpointLocation", out + "-ck")
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    r = spark.read.parquet(out)
+    return r.select(F.col("l_id").alias("event_id"), F.col("r_id").alias("earthquake_id"),
+                    F.round("distance_km", 2).alias("distance_km"), "delay_seconds")
+
+
 # ------------------------------------------------------------ monitoring
 
 @register("q21_trace_record", """

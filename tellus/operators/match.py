@@ -132,3 +132,38 @@ def match_pairs(left: DataFrame, right: DataFrame, *, max_km: float = 500.0,
                        dist.alias("distance_km"), hours.alias("delay_hours"),
                        "delay_seconds")
 
+
+
+# Largest possible great-circle distance (half the circumference) plus margin:
+# with this radius the spatial band never excludes a pair.
+_ANY_KM = 20100.0
+# Hours large enough that every timestamp falls in one bucket.
+_ANY_HOURS = 1.0e9
+
+
+def time_band_join(left: DataFrame, right: DataFrame, *, max_hours: float,
+                   **cols) -> DataFrame:
+    """J1 alone: pairs whose whole-second times differ by at most
+    ``max_hours`` (inclusive, symmetric). Positions are not used; a constant
+    position makes every point share one cell."""
+    lc = {k: v for k, v in cols.items() if k.startswith("left_")}
+    rc = {k: v for k, v in cols.items() if k.startswith("right_")}
+    lp = left.withColumn("_lon0", F.lit(0.0)).withColumn("_lat0", F.lit(0.0))
+    rp = right.withColumn("_lon0", F.lit(0.0)).withColumn("_lat0", F.lit(0.0))
+    lc.update(left_lon="_lon0", left_lat="_lat0")
+    rc.update(right_lon="_lon0", right_lat="_lat0")
+    out = spacetime_candidates(lp, rp, max_km=_ANY_KM, max_hours=max_hours, **lc, **rc)
+    return out.select("l_id", "r_id", "l_sec", "r_sec", "delay_seconds")
+
+
+def radius_join(left: DataFrame, right: DataFrame, *, max_km: float, **cols) -> DataFrame:
+    """J2 alone: pairs within ``max_km`` (haversine), at any time. Rows
+    without a time still match (their time is replaced by a constant)."""
+    lc = {k: v for k, v in cols.items() if k.startswith("left_")}
+    rc = {k: v for k, v in cols.items() if k.startswith("right_")}
+    lp = left.withColumn("_t0", F.lit(0).cast("timestamp"))
+    rp = right.withColumn("_t0", F.lit(0).cast("timestamp"))
+    lc.update(left_ts="_t0")
+    rc.update(right_ts="_t0")
+    out = spacetime_candidates(lp, rp, max_km=max_km, max_hours=_ANY_HOURS, **lc, **rc)
+    return out.select("l_id", "r_id", "distance_km")
