@@ -90,14 +90,15 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def losers(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-           nulls_first: bool = True) -> DataFrame:
+           nulls_first: bool = True, winners: DataFrame | None = None) -> DataFrame:
     """Rows that ``latest`` drops (for quarantine or change counts).
 
     Found by an anti join on keys + order columns against the survivors, so
     a hot key is spread over the shuffle by its order values instead of
-    being sorted in one task. Needs a total order.
+    being sorted in one task. Needs a total order. Pass ``winners`` when the
+    survivors are already computed.
     """
-    win = latest(df, keys, order_by, nulls_first)
+    win = winners if winners is not None else latest(df, keys, order_by, nulls_first)
     cols = list(keys) + [c for c in order_by if isinstance(c, str) and c not in keys]
     cond = [df[c].eqNullSafe(win[c]) for c in cols]
     return df.join(win.select(*cols), cond, "left_anti")

@@ -110,9 +110,10 @@ def validate(df: DataFrame, rules: Sequence[Rule], *, key: Sequence[str] = (),
     bad = tagged.filter(F.size("reasons") > 0)
     if key:
         order = list(key_order) or list(key)
-        dup = losers(clean, key, order).withColumn(
+        win = latest(clean, key, order)
+        dup = losers(clean, key, order, winners=win).withColumn(
             "reasons", F.array(F.lit("duplicate_key")))
-        clean = latest(clean, key, order)
+        clean = win
         bad = bad.unionByName(dup)
     return clean.drop("reasons"), bad
 
