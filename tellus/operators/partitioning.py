@@ -14,6 +14,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partition, and everything up to the first shuffle would then run in one
     task. On large inputs the scan already has at least that many splits and
     this is a no-op (no extra shuffle).
+
+    Call it on a frame read straight from a scan (plus narrow projections
+    and filters): asking a plan that contains a shuffle for its partitions
+    would run that shuffle, and such a frame is distributed already.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
