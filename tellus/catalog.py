@@ -80,11 +80,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def points(spark: SparkSession, d: str, kind: str, id_col: str = "event_id") -> DataFrame:
     """events of one type with derived coordinates (see module doc)."""
     e = table(spark, d, "events").filter(F.col("event_type") == kind)
+    lon = ((F.col("event_id") * 7919) % 36000).cast("double") / 100 - 180
+    lat = ((F.col("event_id") * 104729) % 18000).cast("double") / 100 - 90
     return e.select(
         F.col(id_col).alias("id"), F.col("event_id"), F.col("ts").cast("timestamp").alias("ts"),
-        ((F.col("event_id") * 7919) % 36000).cast("double").__truediv__(100).__sub__(180).alias("lon"),
-        ((F.col("event_id") * 104729) % 18000).cast("double").__truediv__(100).__sub__(90).alias("lat"),
-        F.col("value"), F.col("props"), F.col("event_type"))
+        lon.alias("lon"), lat.alias("lat"), F.col("value"), F.col("props"), F.col("event_type"))
 
 
 _PTS_SQL = """
