@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tellus import schemas as SC
 from tellus.catalog import register, table
 from tellus.plans import pipeline as PL
+from tellus.plans import upsert as UP
+from tellus.sources.tables import seed_tables
 from tellus.sources import feeds as FD
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -221,3 +223,52 @@ FROM pairs WHERE dist <= 500.0""")
 def j03_pipeline_match(spark, d):
     """Entry 1 end to end: the event_earthquake table of the clean load."""
     return pipeline(spark, d)["event_earthquake"]
+
+
+def synced(spark: SparkSession, d: str):
+    """Entry 5: seed tables, then one batch: reference categories (one per
+    order priority) and every order as an event record."""
+    ev = _records(event_envelopes(spark, d), "events", SC.EVENT_RECORD).withColumn(
+        "_seq", F.col("_ingested_at"))
+    refs = (table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("id"))
+            .agg(F.lit("reference").alias("description"))
+            .select("id", F.lower("id").alias("title"), "description"))
+    return UP.sync(seed_tables(spark), ev, categories=refs)
+
+
+_SYNC_SQL = """
+WITH ok AS (SELECT * FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '2-HIGH'),
+bad AS (SELECT * FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '2-HIGH')"""
+
+
+@register("e05_upsert_counts", _SYNC_SQL + """
+SELECT 'event' AS table_name, CAST(3 + COUNT(*) AS BIGINT) AS row_count FROM ok
+UNION ALL SELECT 'category', CAST(3 + (SELECT COUNT(DISTINCT o_orderpriority) FROM orders) AS BIGINT)
+UNION ALL SELECT 'source', CAST(3 + COUNT(DISTINCT o_orderstatus) AS BIGINT) FROM ok
+UNION ALL SELECT 'event_category', CAST(4 + COUNT(*) AS BIGINT) FROM ok
+UNION ALL SELECT 'event_source', CAST(4 + COUNT(*) AS BIGINT) FROM ok
+UNION ALL SELECT 'geometry', CAST(4 + COUNT(*) AS BIGINT) FROM ok
+UNION ALL SELECT 'processed', CAST(COUNT(*) AS BIGINT) FROM ok
+UNION ALL SELECT 'failed', CAST(COUNT(*) AS BIGINT) FROM bad""")
+def e05_upsert_counts(spark, d):
+    """Per-record isolation (a record with any invalid row is
+    rejected whole), last-writer-wins events, first-writer-wins children."""
+    t, counts = synced(spark, d)
+    out = None
+    for n in ("event", "category", "source", "event_category", "event_source", "geometry"):
+        one = t[n].agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
+            F.lit(n).alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    c = counts.selectExpr("stack(2, 'processed', processed, 'failed', failed) AS (table_name, row_count)")
+    return out.unionByName(c)
+
+
+@register("e05_upsert_categories", """
+SELECT * FROM (VALUES ('wildfires', 'Wildfires'), ('severeStorms', 'Severe Storms'),
+                      ('volcanoes', 'Volcanoes')) s(id, title)
+UNION ALL
+SELECT DISTINCT o_orderpriority, lower(o_orderpriority) FROM orders""")
+def e05_upsert_categories(spark, d):
+    """Reference rows update titles; embedded categories never overwrite."""
+    t, _ = synced(spark, d)
+    return t["category"].select("id", "title")
