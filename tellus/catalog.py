@@ -22,6 +22,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tellus.functions import predicates as P
 from tellus.functions import scalars as S
@@ -47,9 +48,24 @@ MAX_KM = 500.0
 MAX_HOURS = 168.0
 
 
+def _naive_timestamps(df: DataFrame) -> DataFrame:
+    """Return timestamps as UTC wall-clock ``timestamp_ntz`` (what the SQL
+    oracle's TIMESTAMP holds), so results do not depend on the caller's
+    session or Python time zone."""
+    if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def register(name: str, sql: str | None):
     def deco(fn: QueryFn) -> QueryFn:
-        _QUERIES[name] = fn
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return _naive_timestamps(fn(spark, d))
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        _QUERIES[name] = run
         if sql is not None:
             _SQL[name] = sql.strip()
         return fn
