@@ -34,7 +34,6 @@ from tellus.operators import referential as RF
 from tellus.operators import validate as V
 from tellus.plans import audit as AU
 from tellus.plans import marts as Q
-from tellus.plans import report as RP
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}

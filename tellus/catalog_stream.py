@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tellus import schemas as SC
 from tellus.catalog import MAX_HOURS, MAX_KM, _match_sql, matches, points, register, table

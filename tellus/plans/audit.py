@@ -193,7 +193,6 @@ def run_audit(tables: Tables, controls: Sequence | None = None, *, phase: str =
     as_of_c = _lit_ts(as_of)
     by_table: dict[str, list[Control]] = defaultdict(list)
     parts: list[DataFrame] = []
-    order = {ctl.id: n for n, ctl in enumerate(controls)}
     for ctl in controls:
         if isinstance(ctl, Control):
             by_table[ctl.table].append(ctl)
