@@ -37,12 +37,16 @@ def count_by_title(link: DataFrame, dim: DataFrame, *, link_key: str = "category
                    name: str = "event_count") -> DataFrame:
     """Q05: link rows per dimension *title* (not id), most first.
 
-    The dimension is reduced to (key, title) before the join; Catalyst/AQE
-    broadcast it when it is measured small, else the join is sort-merge.
+    Links are pre-aggregated per key (partial aggregate, one row per key and
+    task) before the join, so the join and its shuffle see one row per key
+    instead of one per link. Joining the counts keeps SQL join semantics (a
+    duplicated dimension key counts its links twice).
     """
+    per_key = (link.filter(F.col(link_key).isNotNull())
+                   .groupBy(F.col(link_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
     d = dim.select(F.col(dim_key).alias("_dk"), F.col(title).alias(label))
-    j = link.join(d, link[link_key] == d["_dk"], "inner")
-    return (j.groupBy(label).agg(F.count(F.lit(1)).alias(name))
+    j = per_key.join(d, per_key["_k"] == d["_dk"], "inner")
+    return (j.groupBy(label).agg(F.sum("_n").cast("long").alias(name))
              .orderBy(F.col(name).desc_nulls_first(), F.col(label).asc_nulls_last()))
 
 
