@@ -64,12 +64,19 @@ class SetControl:
 
 def orphan_counts(child: DataFrame, parent: DataFrame, child_key: str,
                   parent_key: str) -> DataFrame:
-    """J7 as a measure: child rows and child rows without parent, in one
-    scan of the child. The parent side is reduced to its distinct keys."""
+    """J7 as a measure: child rows and child rows without parent.
+
+    The child is first counted per key (partial aggregate), so the join
+    sees one row per distinct child key - a key holding a third of the rows
+    is one row - and the parent side is reduced to its distinct keys. A
+    NULL child key has no parent (NOT EXISTS semantics)."""
+    per_key = (child.groupBy(F.col(child_key).alias("_ck"))
+                    .agg(F.count(F.lit(1)).alias("_n")))
     keys = parent.select(F.col(parent_key).alias("_pk")).distinct().withColumn("_hit", F.lit(1))
-    j = child.select(F.col(child_key).alias("_ck")).join(keys, F.col("_ck") == F.col("_pk"), "left")
-    return j.agg(F.count(F.lit(1)).cast("long").alias("total_rows"),
-                 F.count_if(F.col("_hit").isNull()).cast("long").alias("failing_rows"))
+    j = per_key.join(keys, F.col("_ck") == F.col("_pk"), "left")
+    return j.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_rows"),
+                 F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0))
+                  .cast("long").alias("failing_rows"))
 
 
 def surplus_measure(table: str, keys: Sequence) -> Callable[[Tables, Column], DataFrame]:
