@@ -175,7 +175,7 @@ m AS (SELECT source, snap, SUM(raw) OVER w AS raw_lines, SUM(clean) OVER w AS cl
 f AS (SELECT *, clean_rows = lag(clean_rows) OVER (PARTITION BY source ORDER BY snap) AS flat FROM m),
 g AS (SELECT *, SUM(CASE WHEN flat THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY snap
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM f),
-r AS (SELECT source, grp, MIN(snap) AS since, MAX(snap) AS until, MAX(raw_lines) - MIN(raw_lines) AS raw_growth
+r AS (SELECT source, grp, MIN(snap) AS since, MAX(snap) AS until, CAST(MAX(raw_lines) - MIN(raw_lines) AS BIGINT) AS raw_growth
       FROM g GROUP BY source, grp)
 SELECT source, since, until, raw_growth,
        round((epoch(until) - epoch(since)) / 60.0, 1) AS flat_minutes
