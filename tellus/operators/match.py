@@ -16,9 +16,9 @@ dedup is needed: the *space side* is copied to the neighbour cells whose
 box lies within reach of the point (about 20 of 27 on average) and keeps
 its own time bucket; the *time side* is copied to the 3 neighbour buckets
 and keeps its own cell. The join key is (cx, cy, cz, tb); the physical
-join is chosen by AQE from measured sizes after both replicated sides are
-shuffled on the keys (broadcast hash when a side is small, sort-merge
-otherwise; AQE splits skewed cells of a sort-merge join).
+join is a sort-merge join on the keys (the static estimate does not see the
+replication fan-out, so no broadcast is taken from it); AQE splits the
+partitions of hot cells (skew join).
 """
 
 from __future__ import annotations
@@ -94,11 +94,11 @@ def spacetime_candidates(left: DataFrame, right: DataFrame, *,
     tp = (tp.withColumn("_tb", F.explode(F.array(F.col("_tb") - 1, F.col("_tb"),
                                                  F.col("_tb") + 1)))
             .drop("_x", "_y", "_z"))
-    # Both replicated sides sit behind a shuffle on the join keys: that is the
-    # partitioning a sort-merge join needs anyway, and it lets AQE choose the
-    # join from the *measured* size of the replicated data (the static
-    # estimate does not see the explode's fan-out).
-    j = sp.repartition(*_KEYS).join(tp.repartition(*_KEYS), _KEYS, "inner")
+    # Sort-merge join on the bucket keys. The static size estimate does not
+    # see the explode's fan-out, so a broadcast chosen from it could be far
+    # larger than planned; the shuffles a sort-merge join inserts are the
+    # ones AQE can split when a cell is hot (skew join).
+    j = sp.hint("merge").join(tp, _KEYS, "inner")
     delay = F.col("r_sec") - F.col("l_sec")
     dist = haversine_km("l_lat", "l_lon", "r_lat", "r_lon")
     return (j.filter(F.abs(delay / F.lit(3600.0)) <= F.lit(float(max_hours)))
