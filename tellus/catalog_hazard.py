@@ -29,7 +29,7 @@ from tellus.plans import report as RP
 from tellus.operators.partitioning import spread
 from tellus.plans.repair import repair
 from tellus.session import scratch_path
-from tellus.sources.sinks import append_report
+from tellus.sources.sinks import append_report, write_parquet_all
 
 OLD_RUN_ID = "run-0000"
 OLD_RUN_AT = "1999-12-31 00:00:00"
@@ -315,12 +315,9 @@ def repaired(spark, d):
     if key not in _REPAIRED:
         base = {k: spread(v) for k, v in hazard_tables(spark, d).items()}
         t, ch = repair(base)
-        paths = {}
-        for name, df in t.items():
-            paths[name] = scratch_path(spark, f"repaired-{name}")
-            df.write.parquet(paths[name])
+        paths = {name: scratch_path(spark, f"repaired-{name}") for name in t}
         cpath = scratch_path(spark, "repair-changes")
-        ch.write.parquet(cpath)
+        write_parquet_all([(df, paths[n]) for n, df in t.items()] + [(ch, cpath)])
         _REPAIRED[key] = (paths, cpath)
     paths, cpath = _REPAIRED[key]
     return {n: spark.read.parquet(p) for n, p in paths.items()}, spark.read.parquet(cpath)
@@ -342,14 +339,13 @@ def full_report(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _REPORTS:
         path = scratch_path(spark, "report")
-        append_report(audit_before(spark, d), path)
+        before_path, after_path = scratch_path(spark, "audit-before"), scratch_path(spark, "audit-after")
+        write_parquet_all([(audit_before(spark, d), before_path), (audit_after(spark, d), after_path)])
+        before = spark.read.parquet(before_path)
         # the older run holds the same staging audit under an earlier run id
-        old = (spark.read.parquet(path).withColumn("run_id", F.lit(OLD_RUN_ID))
+        old = (before.withColumn("run_id", F.lit(OLD_RUN_ID))
                .withColumn("run_at", F.to_timestamp(F.lit(OLD_RUN_AT))))
-        old_path = scratch_path(spark, "report-old")
-        append_report(old, old_path)
-        append_report(spark.read.parquet(old_path), path)
-        append_report(audit_after(spark, d), path)
+        append_report(before.unionByName(old).unionByName(spark.read.parquet(after_path)), path)
         _REPORTS[key] = path
     return spark.read.parquet(_REPORTS[key])
 

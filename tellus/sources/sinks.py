@@ -58,6 +58,20 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_parquet_all(items: list[tuple[DataFrame, str]], max_workers: int = 4,
+                      mode: str = "errorifexists") -> None:
+    """Write independent frames concurrently: each write is its own Spark
+    job, submitted from a driver thread, so jobs that cannot fill the
+    cluster on their own (small tables, narrow stages) overlap."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = [pool.submit(lambda d=df, p=path: d.write.mode(mode).parquet(p))
+                   for df, path in items]
+        for f in futures:
+            f.result()
+
+
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict) -> None:
     """K6: append over JDBC (needs the database driver on the classpath)."""
     df.write.mode("append").jdbc(url, table, properties=properties)
