@@ -28,7 +28,7 @@ from tellus.plans import audit as AU
 from tellus.plans import report as RP
 from tellus.operators.partitioning import spread
 from tellus.plans.repair import repair
-from tellus.session import scratch_path
+from tellus.session import scratch_path, session_key
 from tellus.sources.sinks import append_report, write_parquet_all
 
 OLD_RUN_ID = "run-0000"
@@ -311,7 +311,7 @@ def repaired(spark, d):
     three stages are short, so they run as one lazy chain per table and are
     written once at the end: re-reading a stage input is cheaper than
     writing every intermediate table."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (session_key(spark), d)
     if key not in _REPAIRED:
         base = {k: spread(v) for k, v in hazard_tables(spark, d).items()}
         t, ch = repair(base)
@@ -336,7 +336,7 @@ def full_report(spark, d):
     current before + after. Like the reference's report table it is written
     once (appended by run, K8) and the report queries read the written
     table, which also cuts the lineage of the audit + repair plans."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (session_key(spark), d)
     if key not in _REPORTS:
         path = scratch_path(spark, "report")
         before_path, after_path = scratch_path(spark, "audit-before"), scratch_path(spark, "audit-after")

@@ -19,7 +19,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     and filters): asking a plan that contains a shuffle for its partitions
     would run that shuffle, and such a frame is distributed already.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df

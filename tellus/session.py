@@ -65,11 +65,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="tellus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+        pass
     return d
 
 
+def session_key(spark: SparkSession) -> str:
+    """A key that identifies the running application (for per-session
+    caches of written intermediate tables)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 
