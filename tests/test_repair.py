@@ -67,3 +67,18 @@ def test_documented_order(spark):
     ch = {r.rule_id: r.changed_rows for r in ch.collect()}
     # correcting first fixes the link of E_BADLINK before deletes; counts differ only by order
     assert ch["R16"] == 2 and ch["R09"] == 3
+
+
+def test_quality_run_96_rows(spark, tmp_dir):
+    from tellus.plans.quality_run import quality_run
+    from tellus.sources.tables import seed_tables
+    pub = seed_tables(spark)
+    pub["earthquake"] = FX.staging(spark)["earthquake"].drop("_ingested_at")
+    rep, _, _ = quality_run(FX.staging(spark), pub, run_id="r9", as_of=FX.AS_OF,
+                            report_path=tmp_dir + "/report")
+    rows = spark.read.parquet(tmp_dir + "/report").collect()
+    assert len(rows) == 96
+    by = {}
+    for r in rows:
+        by[(r.phase, r.table_name.split(".")[0])] = by.get((r.phase, r.table_name.split(".")[0]), 0) + 1
+    assert by == {("before", "staging"): 32, ("before", "public"): 32, ("after", "staging"): 32}
