@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from tellus.session import scratch_path
 
-POINTER = "_CURRENT"
+POINTER = "_POINTERS"
 
 
 def write_snapshot(df: DataFrame, base: str, name: str, *, partition_by=None,
                    max_records_per_file: int | None = None) -> str:
-    """K4 / K5 / K7: write a new immutable snapshot of table ``name`` and
-    then move the pointer to it. Readers follow the pointer, so a failed
-    load never leaves a half-written or empty table (the reference
-    truncated first and could be left empty)."""
+    """K4 / K5 / K7: write a new immutable snapshot of table ``name``, then
+    publish it by appending ``(path, committed_at)`` to the table's pointer
+    log. Appended files become visible only when their job commits, so
+    readers see either the previous snapshot or the new one, never a
+    half-written or empty table (the reference truncated first and could be
+    left empty)."""
     snap = f"{base.rstrip('/')}/{name}/snap={uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
     if max_records_per_file:
@@ -28,16 +30,20 @@ def write_snapshot(df: DataFrame, base: str, name: str, *, partition_by=None,
         w = w.partitionBy(*partition_by)
     w.parquet(snap)
     spark = df.sparkSession
-    spark.createDataFrame([(snap,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/{name}/{POINTER}")
+    (spark.createDataFrame([(snap,)], "path string")
+          .withColumn("committed_at", F.current_timestamp())
+          .coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{name}/{POINTER}"))
     return snap
 
 
 def read_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
-    ptr = spark.read.text(f"{base.rstrip('/')}/{name}/{POINTER}").first()
-    if ptr is None:
+    """The latest published snapshot of ``name`` (one tiny read of the
+    pointer log, then a scan of that snapshot)."""
+    log = spark.read.parquet(f"{base.rstrip('/')}/{name}/{POINTER}")
+    ptr = log.agg(F.max_by("path", F.struct("committed_at", "path")).alias("path")).first()
+    if ptr is None or ptr.path is None:
         raise FileNotFoundError(f"no snapshot for {name}")
-    return spark.read.parquet(ptr[0])
+    return spark.read.parquet(ptr.path)
 
 
 def write_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
