@@ -128,3 +128,23 @@ def test_stream_dedup_within_watermark(spark, tmp_dir):
 def test_route(spark):
     df = spark.createDataFrame([("eonet.events",), ("a.b.c",)], "topic string")
     assert [r[0] for r in df.select(LK.route(F.col("topic"))).collect()] == ["eonet", "a_b_c"]
+
+
+def test_jobs_clean_load_audit_report(spark, tmp_dir, capsys):
+    from tellus import jobs
+    base = os.path.join(tmp_dir, "lake")
+    _write_lines(f"{base}/source=eonet/year=2026/month=09/day=21/hour=10/a.jsonl",
+                 [json.dumps(EV1), json.dumps(EV2), json.dumps(EV3)])
+    _write_lines(f"{base}/source=usgs/year=2026/month=09/day=21/hour=10/c.jsonl",
+                 [json.dumps(q) for q in (Q1, Q2, Q4)])
+    out = os.path.join(tmp_dir, "tables")
+    jobs.main(["clean-load", "--lake", base, "--out", out], spark=spark)
+    from tellus.sources.sinks import read_snapshot
+    assert read_snapshot(spark, out + "/public", "event_earthquake").count() == 1
+    assert read_snapshot(spark, out + "/staging", "event").count() == 3
+    rep = os.path.join(tmp_dir, "report")
+    jobs.main(["audit", "--tables", out, "--report", rep, "--with-public",
+               "--as-of", "2026-09-25 00:00:00"], spark=spark)
+    assert spark.read.parquet(rep).count() == 96
+    jobs.main(["report", "--report", rep], spark=spark)
+    assert "completeness" in capsys.readouterr().out
