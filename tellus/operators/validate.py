@@ -61,10 +61,8 @@ def max_length(c: str, n: int) -> Rule:
 
 def fits_decimal(c: str, precision: int, scale: int) -> Rule:
     """numeric(p, s) after rounding to the scale."""
-    return Rule(f"decimal:{c}",
-                F.try_cast(F.round(F.col(c).cast("double"), scale).cast("string"),
-                           f"decimal({precision},{scale})").isNotNull()
-                | F.col(c).isNull())
+    fitted = F.round(F.col(c).cast("double"), scale).try_cast(f"decimal({precision},{scale})")
+    return Rule(f"decimal:{c}", fitted.isNotNull() | F.col(c).isNull())
 
 
 def point_geometry(type_col: str = "type", coords: str = "coordinates",
