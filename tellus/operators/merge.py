@@ -39,8 +39,3 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         out = earliest(both, keys, ["_src"] + order, nulls_last=True)
     return out.drop("_src")
 
-
-def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``source`` whose key is absent from ``target`` (the rows an
-    ``ON CONFLICT DO NOTHING`` load actually inserts)."""
-    return source.join(target.select(*keys), list(keys), "left_anti")

@@ -233,6 +233,3 @@ def run_audit(tables: Tables, controls: Sequence | None = None, *, phase: str =
         S.fail_rate("failing_rows", "total_rows").alias("fail_rate"),
         "details")
 
-
-def control_order(controls: Sequence) -> dict[str, int]:
-    return {c.id: n for n, c in enumerate(controls)}

@@ -46,3 +46,33 @@ def test_small_aggregates(spark):
     c = {r.name: (r.total_rows, r.failing_rows) for r in
          A.conditional_counts(df, {"null_v": F.col("v").isNull(), "big": F.col("v") > 2}).collect()}
     assert c == {"null_v": (3, 1), "big": (3, 1)}
+
+
+def test_sources_and_sinks_helpers(spark, tmp_dir):
+    import json
+
+    from tellus.operators.referential import split_by_parent
+    from tellus.sources import feeds as FD
+    from tellus.sources import sinks as K
+    from tellus.sources import tables as TB
+
+    parent = spark.createDataFrame([("E1",)], "id string")
+    child = spark.createDataFrame([("E1",), ("E2",), (None,)], "event_id string")
+    ok, bad = split_by_parent(child, parent, "event_id", "id")
+    assert [r.event_id for r in ok.collect()] == ["E1"] and bad.count() == 2
+
+    d = os.path.join(tmp_dir, "env")
+    os.makedirs(d)
+    for i in range(3):
+        with open(os.path.join(d, f"page{i}.json"), "w") as f:
+            json.dump({"events": [{"id": f"E{i}a"}, {"id": f"E{i}b"}]}, f, indent=2)
+    env = FD.read_envelopes(spark, d)
+    assert env.count() == 3
+    assert FD.unnest_envelope(env, "events").count() == 6
+
+    e = TB.with_ingested_at(TB.empty_table(spark, "event", staging=True), "2026-09-01 00:00:00")
+    assert "_ingested_at" in e.columns and e.count() == 0
+    paths = K.write_tables({"event": TB.seed_tables(spark)["event"]}, tmp_dir + "/snap")
+    assert set(paths) == {"event"}
+    spark.read.parquet(paths["event"]).write.parquet(tmp_dir + "/flat/event.parquet")
+    assert TB.load_tables(spark, tmp_dir + "/flat", ["event"])["event"].count() == 3
