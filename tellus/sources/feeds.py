@@ -39,7 +39,7 @@ def unnest_envelope(df: DataFrame, array_field: str, *, value_col: str = "value"
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """One row per envelope file (``value`` = whole file text). Envelopes are
     single API responses, bounded by the API page size."""
-    return spark.read.option("wholetext", "true").text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def reference_rows(df: DataFrame, array_field: str, *, value_col: str = "value",
