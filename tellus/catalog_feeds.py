@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tellus import schemas as SC
 from tellus.catalog import register, table
-from tellus.plans import pipeline as PL
+from tellus.plans import clean_load as PL
 from tellus.plans import upsert as UP
 from tellus.sources.tables import seed_tables
 from tellus.sources import feeds as FD
@@ -81,7 +81,7 @@ def _records(env: DataFrame, field: str, schema) -> DataFrame:
     return FD.parse_records(recs, schema)
 
 
-def pipeline(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def loaded(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     ev = _records(event_envelopes(spark, d), "events", SC.EVENT_RECORD)
     qk = _records(quake_envelopes(spark, d), "features", SC.QUAKE_RECORD)
     return PL.run(ev, qk)
@@ -148,7 +148,7 @@ UNION ALL SELECT 'event_source', COUNT(*) FROM orders
 UNION ALL SELECT 'earthquake', COUNT(*) FROM lineitem""")
 def k04_staging_counts(spark, d):
     """K4: raw staging tables hold every record, before any filter."""
-    t = pipeline(spark, d)
+    t = loaded(spark, d)
     out = None
     for n in ("event", "category", "source", "geometry", "event_category", "event_source", "earthquake"):
         one = t[f"staging.{n}"].agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -162,7 +162,7 @@ SELECT id, title, description, link, closed FROM ev""")
 def k05_clean_event(spark, d):
     """K5 event: required fields, trimmed non-blank title, web link,
     parsed closing time, one row per id."""
-    return pipeline(spark, d)["event"]
+    return loaded(spark, d)["event"]
 
 
 @register("k05_clean_dimensions", "WITH " + _EV_SQL + """
@@ -171,7 +171,7 @@ UNION ALL
 SELECT DISTINCT 'source', o_orderstatus, 'https://src.example/' || o_orderstatus FROM ev
 WHERE o_orderstatus <> 'P'""")
 def k05_clean_dimensions(spark, d):
-    t = pipeline(spark, d)
+    t = loaded(spark, d)
     return (t["category"].select(F.lit("category").alias("kind"), "id", "title")
             .unionByName(t["source"].select(F.lit("source").alias("kind"), "id", F.col("url").alias("title"))))
 
@@ -180,7 +180,7 @@ def k05_clean_dimensions(spark, d):
 SELECT 'category' AS kind, id AS event_id, o_orderpriority AS ref_id FROM ev
 UNION ALL SELECT 'source', id, o_orderstatus FROM ev WHERE o_orderstatus <> 'P'""")
 def k05_clean_links(spark, d):
-    t = pipeline(spark, d)
+    t = loaded(spark, d)
     return (t["event_category"].select(F.lit("category").alias("kind"), "event_id",
                                        F.col("category_id").alias("ref_id"))
             .unionByName(t["event_source"].select(F.lit("source").alias("kind"), "event_id",
@@ -194,7 +194,7 @@ SELECT id AS event_id, o_orderdate AS date,
             ELSE '[' || (o_custkey * 7 % 360 - 180) || ', ' || (o_custkey * 13 % 180 - 90) || ']' END AS coordinates
 FROM ev""")
 def k05_clean_geometry(spark, d):
-    g = pipeline(spark, d)["geometry"]
+    g = loaded(spark, d)["geometry"]
     return g.select("event_id", F.col("date").cast("timestamp_ntz").alias("date"), "type", "coordinates")
 
 
@@ -204,11 +204,11 @@ FROM q""")
 def k05_clean_earthquake(spark, d):
     """K5 quake: coordinate gates, magnitude range, invalid url nulled,
     tsunami 0/1 -> boolean, latest record per id."""
-    q = pipeline(spark, d)["earthquake"]
+    q = loaded(spark, d)["earthquake"]
     return q.withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
-@register("j03_pipeline_match", "WITH " + _EV_SQL + "," + _Q_SQL + """,
+@register("j03_clean_load_match", "WITH " + _EV_SQL + "," + _Q_SQL + """,
 e AS (SELECT id, o_orderdate AS ts, CAST(o_custkey * 7 % 360 - 180 AS DOUBLE) AS lon,
              CAST(o_custkey * 13 % 180 - 90 AS DOUBLE) AS lat FROM ev WHERE o_orderpriority <> '3-MEDIUM'),
 qq AS (SELECT id, time AS ts, longitude AS lon, latitude AS lat FROM q),
@@ -220,9 +220,9 @@ pairs AS (
   FROM e JOIN qq ON abs((floor(epoch(qq.ts)) - floor(epoch(e.ts))) / 3600.0) <= 168.0)
 SELECT event_id, earthquake_id, round(dist, 2) AS distance_km, round(delay_seconds / 3600.0, 2) AS delay_hours
 FROM pairs WHERE dist <= 500.0""")
-def j03_pipeline_match(spark, d):
+def j03_clean_load_match(spark, d):
     """Entry 1 end to end: the event_earthquake table of the clean load."""
-    return pipeline(spark, d)["event_earthquake"]
+    return loaded(spark, d)["event_earthquake"]
 
 
 def synced(spark: SparkSession, d: str):

@@ -13,7 +13,7 @@ import argparse
 import sys
 
 from tellus import schemas as SC
-from tellus.plans import pipeline as PL
+from tellus.plans import clean_load as PL
 from tellus.plans import report as RP
 from tellus.plans.quality_run import quality_run
 from tellus.session import get_session

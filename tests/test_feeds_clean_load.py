@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from tellus import schemas as SC
-from tellus.plans import pipeline as PL
+from tellus.plans import clean_load as PL
 from tellus.sources import feeds as FD
 from tellus.streaming import lake as LK
 
@@ -55,7 +55,7 @@ def test_reference_rows_fallback(spark):
     assert [(r.id, r.url) for r in rows] == [("A", "https://a"), ("B", "https://b")]
 
 
-def test_lake_roundtrip_and_pipeline(spark, tmp_dir):
+def test_lake_roundtrip_and_clean_load(spark, tmp_dir):
     base = os.path.join(tmp_dir, "lake")
     _write_lines(f"{base}/source=eonet/year=2026/month=09/day=21/hour=10/a.jsonl",
                  [json.dumps(EV1), json.dumps(EV2), "{not json", json.dumps(EV3)])
