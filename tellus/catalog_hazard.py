@@ -477,15 +477,18 @@ def q19_run_details(spark, d):
     return RP.run_details(full_report(spark, d), RUN_ID).drop("details")
 
 
-@register("q24_before_after", _with(VIEWS_SQL, REPAIR_SQL, REPORT_SQL) + f"""
-, per AS (SELECT control_id, table_name,
+_PER_CONTROL_SQL = f"""per AS (
+  SELECT control_id, table_name,
          SUM(CASE WHEN phase = 'before' THEN failing_rows END) AS b,
          SUM(CASE WHEN phase = 'after' THEN failing_rows END) AS a
-  FROM report WHERE run_id = {_LATEST_RUN} GROUP BY control_id, table_name)
+  FROM report WHERE run_id = {_LATEST_RUN} GROUP BY control_id, table_name)"""
+
+
+@register("q24_before_after", _with(VIEWS_SQL, REPAIR_SQL, REPORT_SQL, _PER_CONTROL_SQL) + """
 SELECT CAST(SUM(b) AS BIGINT) AS anomalies_before, CAST(SUM(a) AS BIGINT) AS anomalies_after,
        CAST(SUM(b - a) AS BIGINT) AS resolved,
        CASE WHEN SUM(b) = 0 THEN NULL
             ELSE CAST((2 * SUM(b - a) * 10000 + SUM(b)) // (2 * SUM(b)) AS DOUBLE) / 10000 END AS resolution_rate
-FROM per WHERE a IS NOT NULL AND b IS NOT NULL""".replace(f"\n, per AS", ",\nper AS", 1))
+FROM per WHERE a IS NOT NULL AND b IS NOT NULL""")
 def q24_before_after(spark, d):
     return RP.before_after(full_report(spark, d))
