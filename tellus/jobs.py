@@ -29,7 +29,7 @@ def _clean_load(spark, a) -> None:
     qk = FD.read_lake(spark, a.lake, a.quake_source, SC.QUAKE_RECORD)
     have_ev, have_qk = not ev.isEmpty(), not qk.isEmpty()
     tables = PL.run(ev if have_ev else None, qk if have_qk else None,
-                    max_km=a.max_km, max_hours=a.max_hours)
+                    max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
     for name, df in tables.items():
         if name.startswith("staging."):
             K.write_snapshot(df, f"{a.out}/staging", name.split(".", 1)[1])

@@ -70,8 +70,14 @@ def stage(events: DataFrame | None, quakes: DataFrame | None) -> dict[str, DataF
     return out
 
 
-def clean_events(events: DataFrame) -> dict[str, DataFrame]:
-    """K5 for the event feed (filters F1-F4, F8, P4, P8, P9, P11; dedup D1-D3)."""
+def clean_events(events: DataFrame, checkpoint: bool = False) -> dict[str, DataFrame]:
+    """K5 for the event feed (filters F1-F4, F8, P4, P8, P9, P11; dedup D1-D3).
+
+    Six tables derive from the deduplicated records; with ``checkpoint``
+    those are written once to the shared checkpoint folder
+    (``DataFrame.checkpoint``), so writing the tables one by one does not
+    repeat the dedup shuffle.
+    """
     order = _order(events) or ["id"]
     ok = (events.filter(P.all_not_null("id", "title", "link"))
                 .withColumn("title", F.trim("title"))
@@ -79,6 +85,8 @@ def clean_events(events: DataFrame) -> dict[str, DataFrame]:
                 .filter(P.url_ok("link"))
                 .withColumn("closed", S.parse_ts("closed")))
     ev = D.latest(ok, ["id"], order)
+    if checkpoint:
+        ev = ev.checkpoint(eager=True)
     m = _meta(ev)
     event = ev.select("id", "title", "description", "link", "closed")
 
@@ -113,7 +121,7 @@ def clean_events(events: DataFrame) -> dict[str, DataFrame]:
             "event_category": event_category, "event_source": event_source}
 
 
-def clean_quakes(quakes: DataFrame) -> DataFrame:
+def clean_quakes(quakes: DataFrame, checkpoint: bool = False) -> DataFrame:
     """K5 for the quake feed (F1, F5-F7, P5-P7, P10; dedup D1)."""
     order = _order(quakes) or ["id"]
     c = F.col("geometry.coordinates")
@@ -125,6 +133,8 @@ def clean_quakes(quakes: DataFrame) -> DataFrame:
                .filter(P.in_range("longitude", -180, 180) & P.in_range("latitude", -90, 90))
                .filter(P.null_or_range("properties.mag", -1, 10)))
     q = D.latest(q, ["id"], order)
+    if checkpoint:  # read by the clean table and by the match
+        q = q.checkpoint(eager=True)
     return q.select(
         "id", S.epoch_ms_to_ts("properties.time").alias("time"),
         F.col("properties.mag").alias("magnitude"), F.col("properties.magType").alias("mag_type"),
@@ -144,12 +154,14 @@ def point_observations(geometry: DataFrame) -> DataFrame:
 
 
 def run(events: DataFrame | None, quakes: DataFrame | None, *, max_km: float = 500.0,
-        max_hours: float = 168.0) -> dict[str, DataFrame]:
+        max_hours: float = 168.0, checkpoint: bool = False) -> dict[str, DataFrame]:
     """Entry 1: staging + clean + match. A missing feed (None) skips its
-    tables, and the match runs only when both feeds are present (S9)."""
+    tables, and the match runs only when both feeds are present (S9).
+    ``checkpoint`` writes the deduplicated records once to the shared
+    checkpoint folder when the tables will be written one by one."""
     out = {f"staging.{k}": v for k, v in stage(events, quakes).items()}
-    clean_ev = clean_events(events) if events is not None else None
-    clean_q = clean_quakes(quakes) if quakes is not None else None
+    clean_ev = clean_events(events, checkpoint) if events is not None else None
+    clean_q = clean_quakes(quakes, checkpoint) if quakes is not None else None
     if clean_ev:
         out.update(clean_ev)
     if clean_q is not None:
