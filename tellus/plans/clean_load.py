@@ -158,7 +158,11 @@ def run(events: DataFrame | None, quakes: DataFrame | None, *, max_km: float = 5
     """Entry 1: staging + clean + match. A missing feed (None) skips its
     tables, and the match runs only when both feeds are present (S9).
     ``checkpoint`` writes the deduplicated records once to the shared
-    checkpoint folder when the tables will be written one by one."""
+    checkpoint folder when the tables will be written one by one (the
+    parsed records too, so the lake is scanned and parsed once)."""
+    if checkpoint:
+        events = events.checkpoint(eager=True) if events is not None else None
+        quakes = quakes.checkpoint(eager=True) if quakes is not None else None
     out = {f"staging.{k}": v for k, v in stage(events, quakes).items()}
     clean_ev = clean_events(events, checkpoint) if events is not None else None
     clean_q = clean_quakes(quakes, checkpoint) if quakes is not None else None
