@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import text_or_empty
+from tellus.llm.common import small_batches, text_or_empty
 
 #: Texts above this many code points are cut before they are encoded.
 PIECE_CHARS = 32768
@@ -84,6 +84,14 @@ def decode(ids: Column, rank_file: str, pattern: str) -> Column:
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id, packed ids and decoded bytes of every row."""
-    ids = docs.select(F.col(id_col), encode(F.col(text_col), rank_file, pattern).alias("ids"))
-    return ids.select(id_col, "ids", decode(F.col("ids"), rank_file, pattern).alias("decoded"))
+    """Id, packed ids and decoded bytes of every row; both steps run in one
+    Python process, so the vocabulary is held once."""
+    @pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enc = encoding(rank_file, pattern)
+        for texts in batches:
+            ids = [np.array(encode_text(enc, t), "<u4").tobytes() for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [enc.decode_bytes(np.frombuffer(p, "<u4").tolist()) for p in ids]})
+    small_batches(docs.sparkSession)
+    d = docs.select(F.col(id_col).alias(id_col), both(text_or_empty(F.col(text_col))).alias("r"))
+    return d.select(id_col, "r.ids", "r.decoded")

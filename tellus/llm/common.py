@@ -19,6 +19,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows handed to a Python worker at a time: whole texts, so not too many.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bound the memory of Python workers by the rows of an Arrow batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (compared without case)."""
     taken = {c.lower() for c in df.columns}
