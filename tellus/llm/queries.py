@@ -11,10 +11,29 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tellus.llm import bpe, chat, licenses
+from tellus.llm import bpe, chat, licenses, packing, simhash, syncmers
 from tellus.llm.common import table
 
 
+def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                    syncmers.as_text(F.col("fp")).alias("fingerprint"), syncmers.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+                    syncmers.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+                    syncmers.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    p = p.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(p).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = licenses.scan(table(spark, sf_dir, "documents"))
     first = F.coalesce(F.get(F.col("sentence_ids"), F.lit(0))["sentence"], F.lit(-1))
@@ -61,7 +80,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_license_scan, op9_chat_format, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op6_simhash_golay, op8_license_scan, op9_chat_format, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
