@@ -11,8 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tellus.llm import bpe, chat, licenses, packing, simhash, syncmers
-from tellus.llm.common import table
+from tellus.llm import bpe, chat, langid, licenses, packing, simhash, syncmers, toxicity
+from tellus.llm.common import held_out, table
 
 
 def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,11 +29,27 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(p).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    d = docs.select("doc_id", toxicity.tag(docs, model).alias("r"))
+    return d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("r.score").alias("score"),
+                    (F.col("r.score") >= 0.5).cast("int").alias("predicted"),
+                    F.transform("r.spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).cast("string").alias("spans"))
+
+
 def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return d.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    d = docs.select("doc_id", langid.identify(docs, langid.learn(docs)).alias("r"))
+    return d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("r.lang").alias("lang_pred"),
+                    F.col("r.score").alias("score"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = licenses.scan(table(spark, sf_dir, "documents"))
     first = F.coalesce(F.get(F.col("sentence_ids"), F.lit(0))["sentence"], F.lit(-1))
@@ -80,7 +96,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op6_simhash_golay, op8_license_scan, op9_chat_format, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op5_crf_toxicity, op6_simhash_golay, op7_cross_parsing, op8_license_scan, op9_chat_format, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
