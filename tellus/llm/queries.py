@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tellus.llm import bpe, chat, langid, licenses, packing, simhash, suffixes, syncmers, toxicity
+from tellus.llm import bpe, chat, hnsw, langid, licenses, packing, simhash, suffixes, syncmers, toxicity
 from tellus.llm.common import held_out, table
 
 
@@ -29,6 +29,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(p).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.search(hnsw.index(rows), rows.filter("vec_id % 100 = 0")).select("query_id", "rank", "vec_id", "score")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", "result.n_bytes", "result.n_removed", "result.n_spans", F.sha2("result.kept", 256).alias("kept_sha256"))
@@ -101,7 +106,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op4_suffix_dedup, op5_crf_toxicity, op6_simhash_golay, op7_cross_parsing, op8_license_scan, op9_chat_format, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op3_hnsw_search, op4_suffix_dedup, op5_crf_toxicity, op6_simhash_golay, op7_cross_parsing, op8_license_scan, op9_chat_format, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
