@@ -11,7 +11,8 @@ Mapping conventions
 * points: ``events`` rows with a derived position
   lon = ((event_id * 7919) % 36000) / 100 - 180,
   lat = ((event_id * 104729) % 18000) / 100 - 90;
-  'error' rows play the hazard events, 'purchase' rows the earthquakes.
+  error, view and signup rows play the hazard events, purchase and click
+  rows the earthquakes, so the matches read every row.
 * link / dimension: ``lineitem`` -> ``part`` / ``orders``;
   parent / child: ``orders`` -> ``lineitem``, ``customer`` -> ``orders``.
 """
@@ -45,6 +46,8 @@ RUN_ID = "run-0001"
 RUN_AT = "2000-01-02 00:00:00"
 MAX_KM = 500.0
 MAX_HOURS = 168.0
+#: The event types that play either side of a match; together they are all.
+LEFT, RIGHT = ("error", "view", "signup"), ("purchase", "click")
 
 
 def _naive_timestamps(df: DataFrame) -> DataFrame:
@@ -92,9 +95,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 # ----------------------------------------------------------- derived inputs
 
-def points(spark: SparkSession, d: str, kind: str, id_col: str = "event_id") -> DataFrame:
-    """events of one type with derived coordinates (see module doc)."""
-    e = table(spark, d, "events").filter(F.col("event_type") == kind)
+def points(spark: SparkSession, d: str, kinds=LEFT + RIGHT, id_col: str = "event_id") -> DataFrame:
+    """events of some types with derived coordinates (see module doc)."""
+    e = table(spark, d, "events")
+    if set(kinds) != set(LEFT + RIGHT):
+        e = e.filter(F.col("event_type").isin(*kinds))
     lon = ((F.col("event_id") * 7919) % 36000).cast("double") / 100 - 180
     lat = ((F.col("event_id") * 104729) % 18000).cast("double") / 100 - 90
     return e.select(
@@ -106,11 +111,11 @@ _PTS_SQL = """
   SELECT {id} AS id, event_id, ts, value, props, event_type,
          CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 AS lon,
          CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 AS lat
-  FROM events WHERE event_type = '{kind}'"""
+  FROM events WHERE event_type IN {kinds}"""
 
 
-def _pts_sql(kind: str, id_col: str = "event_id") -> str:
-    return _PTS_SQL.format(id=id_col, kind=kind)
+def _pts_sql(kinds=LEFT + RIGHT, id_col: str = "event_id") -> str:
+    return _PTS_SQL.format(id=id_col, kinds=tuple(kinds))
 
 
 _HAV_SQL = """6371.0 * 2 * asin(sqrt(pow(sin(radians(q.lat - e.lat) / 2), 2)
@@ -129,16 +134,20 @@ _PAIRS_SQL = f"""
 
 
 def matches(spark: SparkSession, d: str, left_id: str = "event_id") -> DataFrame:
-    ev = points(spark, d, "error", left_id)
-    qk = points(spark, d, "purchase")
+    return match_points(spark, points(spark, d, LEFT, left_id), points(spark, d, RIGHT))
+
+
+def match_points(spark: SparkSession, ev: DataFrame, qk: DataFrame) -> DataFrame:
+    # the test tables are one file with one row group each: spread them
     return M.match_pairs(ev, qk, max_km=MAX_KM, max_hours=MAX_HOURS,
+                         partitions=int(spark.conf.get("spark.sql.shuffle.partitions")),
                          left_id="id", left_ts="ts", left_lon="lon", left_lat="lat",
                          right_id="id", right_ts="ts", right_lon="lon", right_lat="lat")
 
 
 def _match_sql(left_id: str = "event_id") -> str:
-    return f"""WITH e AS ({_pts_sql('error', left_id)}),
-  q AS ({_pts_sql('purchase')}),{_PAIRS_SQL},
+    return f"""WITH e AS ({_pts_sql(LEFT, left_id)}),
+  q AS ({_pts_sql(RIGHT)}),{_PAIRS_SQL},
   best AS (
     SELECT *, row_number() OVER (PARTITION BY l_id, r_id
              ORDER BY dist, abs(delay_seconds), delay_seconds) AS rn
@@ -157,7 +166,7 @@ def q07_daily_counts(spark, d):
     """Minimum slice: typed scan -> required-field gate (F1) -> latest-wins
     dedup (W1) -> per-day count (P15 + A4)."""
     e = table(spark, d, "events").filter(P.all_not_null("event_id", "ts"))
-    e = D.latest(e, ["event_id"], ["ts", "user_id"])
+    e = D.latest(e, ["event_id"], ["ts", "user_id"], total=True)
     return Q.daily_counts(e, "ts", label="day", name="event_count")
 
 
@@ -207,10 +216,10 @@ def q06_band_counts(spark, d):
 
 
 @register("q08_above_threshold", f"""
-SELECT event_id AS id, event_type, value, lat, lon FROM ({_pts_sql('purchase')}) p
+SELECT event_id AS id, event_type, value, lat, lon FROM ({_pts_sql()}) p
 WHERE value >= 5.0""")
 def q08_above_threshold(spark, d):
-    return Q.above_threshold(points(spark, d, "purchase"), "value", 5.0,
+    return Q.above_threshold(points(spark, d), "value", 5.0,
                              cols=("id", "event_type", "value", "lat", "lon"))
 
 
@@ -255,27 +264,32 @@ def d04_one_match_per_pair(spark, d):
 
 
 @register("j01_time_band_join", f"""
-WITH e AS ({_pts_sql('error')}), q AS ({_pts_sql('purchase')})
-SELECT e.id AS l_id, q.id AS r_id,
-       CAST(floor(epoch(q.ts)) - floor(epoch(e.ts)) AS BIGINT) AS delay_seconds
-FROM e JOIN q ON abs((floor(epoch(q.ts)) - floor(epoch(e.ts))) / 3600.0) <= 0.25""")
+WITH e AS ({_pts_sql(LEFT)}), q AS ({_pts_sql(RIGHT)})
+SELECT e.id AS l_id, COUNT(*) AS pairs, MIN(q.id) AS first_id,
+       CAST(SUM(floor(epoch(q.ts)) - floor(epoch(e.ts))) AS BIGINT) AS delay_seconds
+FROM e JOIN q ON abs((floor(epoch(q.ts)) - floor(epoch(e.ts))) / 3600.0) <= 0.25 GROUP BY e.id""")
 def j01_time_band_join(spark, d):
-    """Temporal band join alone (15 minutes), as a bucketed equi-join."""
-    out = M.time_band_join(points(spark, d, "error"), points(spark, d, "purchase"), max_hours=0.25,
+    """Temporal band join alone (15 minutes), as a bucketed equi-join;
+    the pairs are counted per left id."""
+    out = M.time_band_join(points(spark, d, LEFT), points(spark, d, RIGHT), max_hours=0.25,
                            left_id="id", left_ts="ts", right_id="id", right_ts="ts")
-    return out.select("l_id", "r_id", "delay_seconds")
+    return out.groupBy("l_id").agg(F.count("*").alias("pairs"), F.min("r_id").alias("first_id"),
+                                   F.sum("delay_seconds").alias("delay_seconds"))
 
 
 @register("j02_radius_join", f"""
-WITH e AS ({_pts_sql('error')}), q AS ({_pts_sql('purchase')}),
+WITH e AS ({_pts_sql(LEFT)}), q AS ({_pts_sql(RIGHT)}),
 p AS (SELECT e.id AS l_id, q.id AS r_id, {_HAV_SQL} AS dist FROM e, q)
-SELECT l_id, r_id, round(dist, 2) AS distance_km FROM p WHERE dist <= 100.0""")
+SELECT l_id, COUNT(*) AS pairs, MIN(r_id) AS first_id, round(MIN(dist), 2) AS distance_km
+FROM p WHERE dist <= 100.0 GROUP BY l_id""")
 def j02_radius_join(spark, d):
-    """Spatial radius join alone (100 km, any time)."""
-    out = M.radius_join(points(spark, d, "error"), points(spark, d, "purchase"), max_km=100.0,
+    """Spatial radius join alone (100 km, any time); the pairs are
+    counted per left id."""
+    out = M.radius_join(points(spark, d, LEFT), points(spark, d, RIGHT), max_km=100.0,
                         left_id="id", left_lon="lon", left_lat="lat",
                         right_id="id", right_lon="lon", right_lat="lat")
-    return out.select("l_id", "r_id", F.round("distance_km", 2).alias("distance_km"))
+    return out.groupBy("l_id").agg(F.count("*").alias("pairs"), F.min("r_id").alias("first_id"),
+                                   F.round(F.min("distance_km"), 2).alias("distance_km"))
 
 
 @register("q10_match_details", _match_sql() + """
@@ -284,9 +298,9 @@ SELECT e.event_type || '#' || CAST(e.event_id AS VARCHAR) AS event_title,
        b.delay_seconds, q.ts AS quake_time
 FROM best b JOIN e ON e.id = b.l_id JOIN q ON q.id = b.r_id WHERE b.rn = 1""")
 def q10_match_details(spark, d):
-    ev = points(spark, d, "error").select(
+    ev = points(spark, d, LEFT).select(
         "id", F.concat_ws("#", "event_type", F.col("event_id").cast("string")).alias("title"))
-    qk = points(spark, d, "purchase").select("id", F.col("props").alias("place"),
+    qk = points(spark, d, RIGHT).select("id", F.col("props").alias("place"),
                                              F.col("value").alias("magnitude"),
                                              F.col("ts").alias("time"))
     return Q.match_details(matches(spark, d), ev, qk,
@@ -297,7 +311,7 @@ def q10_match_details(spark, d):
 SELECT round(b.dist, 2) AS distance_km, b.delay_seconds, q.value AS magnitude
 FROM best b JOIN q ON q.id = b.r_id WHERE b.rn = 1""")
 def q11_match_triples(spark, d):
-    qk = points(spark, d, "purchase").select("id", F.col("value").alias("magnitude"))
+    qk = points(spark, d, RIGHT).select("id", F.col("value").alias("magnitude"))
     return Q.match_triples(matches(spark, d), qk, measures=("distance_km", "delay_seconds"))
 
 
@@ -324,29 +338,6 @@ def q20_row_counts(spark, d):
     return Q.row_counts({t: table(spark, d, t) for t in _ALL_TABLES})
 
 
-@register("q22_raw_vs_clean", """
-WITH raw AS (SELECT event_type AS source, COUNT(DISTINCT date_trunc('hour', ts)) AS objects,
-                    COUNT(*) AS lines FROM events GROUP BY event_type),
-clean AS (SELECT event_type AS source, COUNT(*) AS clean_rows FROM events
-          WHERE ts IS NOT NULL AND value >= 1.0 GROUP BY event_type)
-SELECT COALESCE(raw.source, clean.source) AS source, COALESCE(objects, 0) AS objects,
-       COALESCE(lines, 0) AS lines, COALESCE(clean_rows, 0) AS clean_rows,
-       COALESCE(lines, 0) - COALESCE(clean_rows, 0) AS gap,
-       CASE WHEN COALESCE(lines, 0) = 0 THEN NULL
-            ELSE CAST((2 * COALESCE(clean_rows, 0) * 10000 + COALESCE(lines, 0)) // (2 * COALESCE(lines, 0)) AS DOUBLE) / 10000
-       END AS clean_ratio
-FROM raw FULL OUTER JOIN clean ON raw.source = clean.source""")
-def q22_raw_vs_clean(spark, d):
-    e = table(spark, d, "events")
-    raw = e.groupBy(F.col("event_type").alias("source")).agg(
-        F.count_distinct(F.date_trunc("hour", F.col("ts").cast("timestamp"))).alias("objects"),
-        F.count(F.lit(1)).alias("lines"))
-    clean = (e.filter(F.col("ts").isNotNull() & (F.col("value") >= 1.0))
-              .groupBy(F.col("event_type").alias("source"))
-              .agg(F.count(F.lit(1)).alias("clean_rows")))
-    return Q.raw_vs_clean(raw, clean)
-
-
 @register("q25_open_per_category", """
 SELECT p.p_brand AS category, COUNT(*) AS open_events
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
@@ -375,7 +366,7 @@ SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id
   ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1""")
 def w01_latest_per_key(spark, d):
     """Latest row per user (ts desc, event_id desc)."""
-    return D.latest(table(spark, d, "events"), ["user_id"], ["ts", "event_id"])
+    return D.latest(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], total=True)
 
 
 @register("d02_dedup_null_keys", f"""
@@ -430,8 +421,10 @@ SELECT CAST(SUM(c) AS BIGINT) AS total_rows,
        CAST(COALESCE(SUM(CASE WHEN c > 1 THEN c - 1 END), 0) AS BIGINT) AS failing_rows
 FROM (SELECT COUNT(*) AS c FROM documents GROUP BY text) t""")
 def a06_text_duplicates(spark, d):
-    """U04/U05 shape on whole document texts (NULL text is one group)."""
-    return A.duplicate_surplus(table(spark, d, "documents"), ["text"])
+    """U04/U05 shape on whole document texts (NULL text is one group). The
+    texts are grouped by a 256-bit hash, so they are not shuffled."""
+    t = table(spark, d, "documents").select(F.sha2("text", 256).alias("hash"), F.octet_length("text").alias("size"))
+    return A.duplicate_surplus(t, ["hash", "size"])
 
 
 @register("a07_fuzzy_duplicates", """

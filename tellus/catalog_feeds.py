@@ -49,7 +49,7 @@ def event_envelopes(spark: SparkSession, d: str) -> DataFrame:
                          .alias("coordinates"))).alias("geometry"))
     return o.select(F.to_json(F.struct(F.array(rec).alias("events"))).alias("value"),
                     F.col("o_orderdate").cast("timestamp").alias("_ingested_at"),
-                    F.lit("orders").alias("_file"))
+                    F.lit("orders").alias("_seq"))
 
 
 def quake_envelopes(spark: SparkSession, d: str) -> DataFrame:
@@ -71,20 +71,20 @@ def quake_envelopes(spark: SparkSession, d: str) -> DataFrame:
     tie = F.concat(F.lpad(F.col("l_partkey").cast("string"), 12, "0"), F.lit("-"),
                    F.lpad(F.col("l_suppkey").cast("string"), 12, "0"))
     return li.select(F.to_json(F.struct(F.array(rec).alias("features"))).alias("value"),
-                     F.col("l_shipdate").cast("timestamp").alias("_ingested_at"), tie.alias("_file"))
+                     F.col("l_shipdate").cast("timestamp").alias("_ingested_at"), tie.alias("_seq"))
 
 
 def _records(env: DataFrame, field: str, schema) -> DataFrame:
     """S1/S2 unnest, then parse with the fixed schema; ordering metadata kept."""
     arr = F.from_json(F.col("value"), f"struct<{field}: array<string>>")
-    recs = env.select(F.explode(arr[field]).alias("_raw"), "_ingested_at", "_file")
-    return FD.parse_records(recs, schema)
+    recs = env.select(F.explode(arr[field]).alias("_raw"), "_ingested_at", "_seq")
+    return FD.parse_records(recs, schema, partitions=int(env.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def loaded(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     ev = _records(event_envelopes(spark, d), "events", SC.EVENT_RECORD)
     qk = _records(quake_envelopes(spark, d), "features", SC.QUAKE_RECORD)
-    return PL.run(ev, qk)
+    return PL.run(ev, qk, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 _EV_SQL = """
@@ -208,6 +208,56 @@ def k05_clean_earthquake(spark, d):
     return q.withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
+def faulty_envelopes(spark: SparkSession, d: str) -> DataFrame:
+    """Event envelopes whose rows pass the cleaning steps but break the
+    constraints of the clean tables, by column values."""
+    o = table(spark, d, "orders")
+    rec = F.struct(
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("id"),
+        _e("CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN repeat('long ', 60) "
+           "WHEN o_orderpriority = '5-LOW' THEN ' ' ELSE o_orderpriority END").alias("title"),
+        F.col("o_orderstatus").alias("description"),
+        F.concat(F.lit("https://example.org/o/"), F.col("o_orderkey").cast("string")).alias("link"),
+        F.lit(None).cast("string").alias("closed"),
+        F.array(F.struct(F.col("o_orderpriority").alias("id"),
+                         _e("repeat(o_orderpriority, CASE WHEN o_orderpriority = '1-URGENT' THEN 20 ELSE 1 END)").alias("title"))).alias("categories"),
+        F.array(F.struct(F.col("o_orderstatus").alias("id"), F.concat(F.lit("https://src.example/"), "o_orderstatus").alias("url"))).alias("sources"),
+        F.array(F.struct(F.date_format("o_orderdate", _ISO).alias("date"), F.lit("Point").alias("type"),
+                         _e("CASE o_orderpriority WHEN '2-HIGH' THEN '[1, 2, 3]' WHEN '3-MEDIUM' THEN '[999, 1]' ELSE '[1, 2]' END")
+                         .alias("coordinates"))).alias("geometry"))
+    return o.select(F.to_json(F.struct(F.array(rec).alias("events"))).alias("value"),
+                    F.col("o_orderdate").cast("timestamp").alias("_ingested_at"), F.lit("orders").alias("_seq"))
+
+
+@register("k05_rejected", """
+WITH ev AS (SELECT *, o_orderpriority = '5-LOW' AND o_orderstatus = 'F' AS long_title FROM orders
+            WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus <> 'F'))
+SELECT 'event' AS table_name, 'max_length:title' AS reason, COUNT(*) AS n FROM ev WHERE long_title HAVING COUNT(*) > 0
+UNION ALL SELECT 'category', 'max_length:title', 1 FROM ev WHERE o_orderpriority = '1-URGENT' HAVING COUNT(*) > 0
+UNION ALL SELECT 'geometry', 'geometry_shape', COUNT(*) FROM ev WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM') HAVING COUNT(*) > 0
+UNION ALL SELECT 'geometry', 'missing_parent:event', COUNT(*) FROM ev WHERE long_title HAVING COUNT(*) > 0
+UNION ALL SELECT 'event_category', 'missing_parent:event', COUNT(*) FROM ev WHERE long_title HAVING COUNT(*) > 0
+UNION ALL SELECT 'event_category', 'missing_parent:category', COUNT(*) FROM ev WHERE o_orderpriority = '1-URGENT' HAVING COUNT(*) > 0
+UNION ALL SELECT 'event_source', 'missing_parent:event', COUNT(*) FROM ev WHERE long_title HAVING COUNT(*) > 0
+UNION ALL SELECT 'earthquake', 'decimal:depth_km', COUNT(*) FROM lineitem WHERE l_tax > 0.07 HAVING COUNT(*) > 0
+UNION ALL SELECT 'earthquake', 'max_length:mag_type', COUNT(*) FROM lineitem WHERE l_returnflag = 'R' HAVING COUNT(*) > 0""")
+def k05_rejected(spark, d):
+    """Clean rows that break a constraint go to the quarantine
+    with their reasons: long titles, Points of three items or out of bounds,
+    numbers that don't fit, and the children of rejected parents."""
+    ev = _records(faulty_envelopes(spark, d), "events", SC.EVENT_RECORD)
+    li = table(spark, d, "lineitem")
+    rec = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+                   F.struct(F.lit(1.0).alias("mag"), _e("repeat(l_returnflag, CASE WHEN l_returnflag = 'R' THEN 21 ELSE 1 END)").alias("magType"),
+                            F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("time")).alias("properties"),
+                   F.struct(F.array(F.lit(1.0), F.lit(2.0), _e("CASE WHEN l_tax > 0.07 THEN 123456.0D ELSE 1.0D END")).alias("coordinates")).alias("geometry"))
+    env = li.select(F.to_json(F.struct(F.array(rec).alias("features"))).alias("value"),
+                    F.col("l_shipdate").cast("timestamp").alias("_ingested_at"), F.lit("lineitem").alias("_seq"))
+    t = PL.run(ev, _records(env, "features", SC.QUAKE_RECORD))
+    bad = t["quarantine.row"].select("table_name", F.explode("reasons").alias("reason"))
+    return bad.groupBy("table_name", "reason").agg(F.count("*").alias("n"))
+
+
 @register("j03_clean_load_match", "WITH " + _EV_SQL + "," + _Q_SQL + """,
 e AS (SELECT id, o_orderdate AS ts, CAST(o_custkey * 7 % 360 - 180 AS DOUBLE) AS lon,
              CAST(o_custkey * 13 % 180 - 90 AS DOUBLE) AS lat FROM ev WHERE o_orderpriority <> '3-MEDIUM'),

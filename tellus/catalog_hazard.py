@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 from tellus.catalog import AS_OF, RUN_AT, RUN_ID, register, table
 from tellus.plans import audit as AU
 from tellus.plans import report as RP
-from tellus.operators.partitioning import spread
 from tellus.plans.repair import repair
-from tellus.session import scratch_path, session_key
+from tellus.session import scratch_path
 from tellus.sources.sinks import append_report, write_parquet_all
 
 OLD_RUN_ID = "run-0000"
 OLD_RUN_AT = "1999-12-31 00:00:00"
+# the older run saw the tables two years before
+OLD_AS_OF = "1997-06-01 00:00:00"
 EPOCH_2024 = 1704067200
 
 
@@ -69,7 +70,8 @@ def hazard_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("s_suppkey")).alias("_ingested_at"),
         F.col("s_suppkey").alias("_pos"))
     geometry = ev.select(
-        F.col("user_id").cast("string").alias("event_id"),
+        _e("CASE WHEN event_type = 'signup' AND value > 200 THEN concat('U', user_id) "
+           "ELSE CAST(user_id AS STRING) END").alias("event_id"),
         _e("CASE WHEN event_type = 'signup' AND value < 1 THEN 'n/a' "
            "ELSE date_format(date_trunc('hour', ts), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END").alias("date"),
         _e("CASE WHEN event_type = 'view' THEN 'Polygon' "
@@ -88,18 +90,20 @@ def hazard_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
            "ELSE concat('Brand#', l_suppkey % 30) END").alias("category_id"),
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"))
     event_source = li.select(
-        F.col("l_suppkey").cast("string").alias("event_id"),
+        _e("CASE WHEN l_returnflag = 'A' AND l_discount > 0.09 THEN concat('X', l_suppkey) "
+           "ELSE CAST(l_suppkey AS STRING) END").alias("event_id"),
         (F.col("l_partkey") % 30).cast("string").alias("source_id"),
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"))
     earthquake = ev.select(
         F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("id"),
-        F.col("ts").cast("timestamp").alias("time"),
+        _e("CASE WHEN event_type = 'view' AND value < 1 THEN CAST(ts AS TIMESTAMP) - INTERVAL '27' YEAR "
+           "ELSE CAST(ts AS TIMESTAMP) END").alias("time"),
         _e("CASE WHEN event_type = 'error' THEN NULL ELSE value / 30.0 END").alias("magnitude"),
         _e("CASE WHEN event_type = 'click' THEN NULL ELSE event_type END").alias("mag_type"),
-        _e("CASE WHEN event_type = 'signup' THEN ' ' ELSE props END").alias("place"),
-        _e("CASE WHEN value > 400 THEN 181.0 "
+        _e("CASE WHEN event_type = 'signup' THEN ' ' WHEN event_type = 'click' AND value < 1 THEN NULL ELSE props END").alias("place"),
+        _e("CASE WHEN value > 400 THEN 181.0 WHEN event_type = 'signup' THEN 0.0 "
            "ELSE CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 END").alias("longitude"),
-        _e("CASE WHEN value < 0.05 THEN NULL "
+        _e("CASE WHEN value < 0.05 THEN NULL WHEN value > 350 THEN 95.0 WHEN event_type = 'signup' THEN 0.0 "
            "ELSE CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 END").alias("latitude"),
         _e("CASE WHEN event_type = 'view' THEN NULL ELSE value - 20 END").alias("depth_km"),
         _e("CAST(get_json_object(props, '$.k') AS INT) > 80").alias("tsunami"),
@@ -141,7 +145,8 @@ source AS (
     CAST(to_timestamp({EPOCH_2024} + s_suppkey) AS TIMESTAMP) AS _ingested_at, s_suppkey AS _pos
   FROM supplier),
 geometry AS (
-  SELECT CAST(user_id AS VARCHAR) AS event_id,
+  SELECT CASE WHEN event_type = 'signup' AND value > 200 THEN 'U' || user_id
+              ELSE CAST(user_id AS VARCHAR) END AS event_id,
     CASE WHEN event_type = 'signup' AND value < 1 THEN 'n/a'
          ELSE strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ') END AS date,
     CASE WHEN event_type = 'view' THEN 'Polygon'
@@ -160,16 +165,18 @@ event_category AS (
     l_shipdate AS _ingested_at
   FROM lineitem),
 event_source AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS event_id, CAST(l_partkey % 30 AS VARCHAR) AS source_id,
+  SELECT CASE WHEN l_returnflag = 'A' AND l_discount > 0.09 THEN 'X' || l_suppkey
+              ELSE CAST(l_suppkey AS VARCHAR) END AS event_id, CAST(l_partkey % 30 AS VARCHAR) AS source_id,
     l_shipdate AS _ingested_at
   FROM lineitem),
 earthquake AS (
-  SELECT CAST(user_id AS VARCHAR) || '-' || event_type AS id, ts AS time,
+  SELECT CAST(user_id AS VARCHAR) || '-' || event_type AS id,
+    CASE WHEN event_type = 'view' AND value < 1 THEN ts - INTERVAL 27 YEAR ELSE ts END AS time,
     CASE WHEN event_type = 'error' THEN NULL ELSE value / 30.0 END AS magnitude,
     CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS mag_type,
-    CASE WHEN event_type = 'signup' THEN ' ' ELSE props END AS place,
-    CASE WHEN value > 400 THEN 181.0 ELSE CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 END AS longitude,
-    CASE WHEN value < 0.05 THEN NULL ELSE CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 END AS latitude,
+    CASE WHEN event_type = 'signup' THEN ' ' WHEN event_type = 'click' AND value < 1 THEN NULL ELSE props END AS place,
+    CASE WHEN value > 400 THEN 181.0 WHEN event_type = 'signup' THEN 0.0 ELSE CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 END AS longitude,
+    CASE WHEN value < 0.05 THEN NULL WHEN value > 350 THEN 95.0 WHEN event_type = 'signup' THEN 0.0 ELSE CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 END AS latitude,
     CASE WHEN event_type = 'view' THEN NULL ELSE value - 20 END AS depth_km,
     CAST(json_extract_string(props, '$.k') AS INTEGER) > 80 AS tsunami,
     CAST(json_extract_string(props, '$.k') AS INTEGER) AS significance,
@@ -289,65 +296,46 @@ def _with(*ctes: str) -> str:
 
 _BEFORE = _controls_sql("", "before", RUN_ID, AS_OF)
 _AFTER = _controls_sql("r_", "after", RUN_ID, AS_OF)
-_OLD = _controls_sql("", "before", OLD_RUN_ID, AS_OF)
-REPORT_SQL = (f"report AS (SELECT *, TIMESTAMP '{RUN_AT}' AS run_at FROM ({_BEFORE}) "
+_OLD = _controls_sql("", "before", OLD_RUN_ID, OLD_AS_OF)
+REPORT_SQL = (f"report AS MATERIALIZED (SELECT *, TIMESTAMP '{RUN_AT}' AS run_at FROM ({_BEFORE}) "
               f"UNION ALL SELECT *, TIMESTAMP '{RUN_AT}' FROM ({_AFTER}) "
               f"UNION ALL SELECT *, TIMESTAMP '{OLD_RUN_AT}' FROM ({_OLD}))")
 _OUT = "run_id, phase, control_id, dimension, table_name, total_rows, failing_rows, fail_rate"
 
 
-def audit_before(spark, d):
-    return AU.run_audit(hazard_tables(spark, d), phase="before", run_id=RUN_ID, run_at=RUN_AT,
-                        as_of=AS_OF)
-
-
-_REPAIRED: dict[tuple[str, str], tuple[dict[str, str], str]] = {}
+def audit_before(spark, d, run_id=RUN_ID, run_at=RUN_AT, as_of=AS_OF):
+    return AU.run_audit(hazard_tables(spark, d), phase="before", run_id=run_id, run_at=run_at,
+                        as_of=as_of)
 
 
 def repaired(spark, d):
-    """Repaired tables and change counts, computed once per session and
-    written to the shared checkpoint folder (the repair's output is a new
-    table version; later audits and queries read the written files). The
-    three stages are short, so they run as one lazy chain per table and are
-    written once at the end: re-reading a stage input is cheaper than
-    writing every intermediate table."""
-    key = (session_key(spark), d)
-    if key not in _REPAIRED:
-        base = {k: spread(v) for k, v in hazard_tables(spark, d).items()}
-        t, ch = repair(base)
-        paths = {name: scratch_path(spark, f"repaired-{name}") for name in t}
-        cpath = scratch_path(spark, "repair-changes")
-        write_parquet_all([(df, paths[n]) for n, df in t.items()] + [(ch, cpath)])
-        _REPAIRED[key] = (paths, cpath)
-    paths, cpath = _REPAIRED[key]
-    return {n: spark.read.parquet(p) for n, p in paths.items()}, spark.read.parquet(cpath)
+    """Repaired tables and change counts, as lazy plans over the hazard
+    tables; nothing runs until a result is read."""
+    return repair(hazard_tables(spark, d))
 
 
-def audit_after(spark, d):
+def written_repair(spark, d):
+    """The repaired tables, written to the shared checkpoint folder (the
+    repair's output is a new table version): the audit that follows reads
+    every table several times."""
     t, _ = repaired(spark, d)
-    return AU.run_audit(t, phase="after", run_id=RUN_ID, run_at=RUN_AT, as_of=AS_OF)
+    paths = {name: scratch_path(spark, f"repaired-{name}") for name in t}
+    write_parquet_all([(df, paths[n]) for n, df in t.items()])
+    return {n: spark.read.parquet(p) for n, p in paths.items()}
 
 
-_REPORTS: dict[tuple[str, str], str] = {}
+def audit_after(spark, d):
+    return AU.run_audit(written_repair(spark, d), phase="after", run_id=RUN_ID, run_at=RUN_AT, as_of=AS_OF)
 
 
 def full_report(spark, d):
-    """The stored report table: two runs, an older one (before only) and the
-    current before + after. Like the reference's report table it is written
-    once (appended by run, K8) and the report queries read the written
-    table, which also cuts the lineage of the audit + repair plans."""
-    key = (session_key(spark), d)
-    if key not in _REPORTS:
-        path = scratch_path(spark, "report")
-        before_path, after_path = scratch_path(spark, "audit-before"), scratch_path(spark, "audit-after")
-        write_parquet_all([(audit_before(spark, d), before_path), (audit_after(spark, d), after_path)])
-        before = spark.read.parquet(before_path)
-        # the older run holds the same staging audit under an earlier run id
-        old = (before.withColumn("run_id", F.lit(OLD_RUN_ID))
-               .withColumn("run_at", F.to_timestamp(F.lit(OLD_RUN_AT))))
-        append_report(before.unionByName(old).unionByName(spark.read.parquet(after_path)), path)
-        _REPORTS[key] = path
-    return spark.read.parquet(_REPORTS[key])
+    """The stored report table: two runs, an older one (before only, with an
+    earlier "now") and the current before + after, appended by run (K8); the
+    report queries read the written table."""
+    path = scratch_path(spark, "report")
+    append_report(audit_before(spark, d, OLD_RUN_ID, OLD_RUN_AT, OLD_AS_OF), path)
+    append_report(audit_before(spark, d).unionByName(audit_after(spark, d)), path)
+    return spark.read.parquet(path)
 
 
 @register("c32_audit_before", _with(VIEWS_SQL) + "\n" + _BEFORE)
@@ -414,7 +402,9 @@ for _name, _cols in (("event", ["id", "title", "description", "link", "closed"])
                      ("geometry", ["event_id", "date", "type", "coordinates"]),
                      ("earthquake", ["id", "time", "magnitude", "mag_type", "place", "longitude",
                                      "latitude", "depth_km"]),
-                     ("event_category", ["event_id", "category_id"])):
+                     ("event_category", ["event_id", "category_id"]),
+                     ("event_source", ["event_id", "source_id"]),
+                     ("source", ["id", "url"]), ("category", ["id", "title", "description"])):
     register(f"r_repaired_{_name}", _with(VIEWS_SQL, REPAIR_SQL) +
              f"\nSELECT {', '.join(_cols)} FROM r_{_name}")(_repaired_table(_name, _cols))
 

@@ -7,15 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellus import schemas as SC
-from tellus.catalog import MAX_HOURS, MAX_KM, _match_sql, matches, points, register, table
+from tellus.catalog import LEFT, MAX_HOURS, MAX_KM, RIGHT, _match_sql, _pts_sql, match_points, points, register, table
 from tellus.catalog_feeds import _records, event_envelopes, quake_envelopes
 from tellus.catalog_hazard import hazard_tables
 from tellus.functions import predicates as P
 from tellus.functions import scalars as S
 from tellus.operators import validate as V
+from tellus.plans import marts as Q
 from tellus.plans import report as RP
 from tellus.session import scratch_path
 from tellus.sources import feeds as FD
+from tellus.sources import sinks as K
 from tellus.streaming import lake as LK
 from tellus.streaming import match as SM
 
@@ -66,10 +68,12 @@ def s05_reference_rows(spark, d):
 # ------------------------------------------------------------ streaming
 
 def _event_messages(spark: SparkSession, d: str) -> DataFrame:
-    """The events table as a stream of keyed JSON messages (file source)."""
-    schema = table(spark, d, "events").schema
-    s = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-         .option("maxFilesPerTrigger", 1).parquet(d))
+    """The events table as a stream of keyed JSON messages: four files, one
+    per micro-batch."""
+    events = table(spark, d, "events")
+    files = scratch_path(spark, "messages")
+    events.repartition(4, "event_id").write.parquet(files)
+    s = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
     return s.select(F.concat(F.lit("app."), "event_type").alias("topic"),
                     F.col("event_id").cast("string").alias("key"),
                     F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("value"),
@@ -77,18 +81,41 @@ def _event_messages(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("t01_lake_volumes", """
-SELECT 'app_' || event_type AS source, 1 AS objects, COUNT(*) AS lines
+SELECT 'app_' || event_type AS source, TRUE AS has_objects, COUNT(*) AS lines
 FROM events GROUP BY event_type""")
 def t01_lake_volumes(spark, d):
     """Stream the messages into the raw lake
     (one line per message, partitioned by source and flush hour), drain with
-    an available-now trigger (one micro-batch here: one object per source),
-    then count objects and lines per source from the written lake."""
+    an available-now trigger over several micro-batches, then count objects
+    and lines per source from the written lake (how many objects there are
+    depends on the writers, so only that there are some is compared)."""
+    return LK.volumes(spark, _written_lake(spark, d)).select("source", (F.col("objects") >= 1).alias("has_objects"), "lines")
+
+
+def _written_lake(spark, d) -> str:
     lake, ck = scratch_path(spark, "lake"), scratch_path(spark, "lake-ck")
-    q = LK.ingest(_event_messages(spark, d), lake, ck, routes={}, available_now=True)
-    q.awaitTermination()
-    return LK.volumes(spark, lake).select("source", F.col("objects").cast("int").alias("objects"),
-                                          "lines")
+    LK.ingest(_event_messages(spark, d), lake, ck, routes={}, available_now=True).awaitTermination()
+    return lake
+
+
+@register("q22_raw_vs_clean", """
+WITH raw AS (SELECT 'app_' || event_type AS source, COUNT(*) AS lines FROM events GROUP BY 1),
+clean AS (SELECT 'app_' || event_type AS source, COUNT(DISTINCT event_id) AS clean_rows FROM events
+          WHERE ts IS NOT NULL AND value >= 1.0 GROUP BY 1)
+SELECT raw.source, TRUE AS has_objects, lines, COALESCE(clean_rows, 0) AS clean_rows,
+       lines - COALESCE(clean_rows, 0) AS gap,
+       CAST((2 * COALESCE(clean_rows, 0) * 10000 + lines) // (2 * lines) AS DOUBLE) / 10000 AS clean_ratio
+FROM raw LEFT JOIN clean ON raw.source = clean.source""")
+def q22_raw_vs_clean(spark, d):
+    """The written lake's volumes against the rows of a clean
+    table that was loaded from the same lake."""
+    lake, tables = _written_lake(spark, d), scratch_path(spark, "tables")
+    lines = spark.read.option("basePath", lake).text(lake)
+    rec = lines.select("source", F.from_json("value", "event_id long, ts string, value double").alias("r")).select("source", "r.*")
+    K.write_snapshot(rec.filter("ts IS NOT NULL AND value >= 1.0").dropDuplicates(["event_id"]), tables, "clean")
+    clean = K.read_snapshot(spark, tables, "clean").groupBy("source").agg(F.count("*").alias("clean_rows"))
+    out = Q.raw_vs_clean(LK.volumes(spark, lake), clean)
+    return out.withColumn("has_objects", F.col("objects") >= 1).drop("objects")
 
 
 @register("t06_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
@@ -105,10 +132,10 @@ def t06_stream_dedup(spark, d):
     return spark.read.parquet(out)
 
 
-def _point_stream(spark, d, kind):
+def _point_stream(spark, d, kinds):
     schema = table(spark, d, "events").schema
     s = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-         .filter(F.col("event_type") == kind))
+         .filter(F.col("event_type").isin(*kinds)))
     return s.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"),
                     (((F.col("event_id") * 7919) % 36000).cast("double") / 100 - 180).alias("lon"),
                     (((F.col("event_id") * 104729) % 18000).cast("double") / 100 - 90).alias("lat"))
@@ -121,8 +148,8 @@ def t03_stream_match(spark, d):
     """J3 as a stream-stream join under watermarks (optional streaming form);
     each error event has one point, so every pair is already unique."""
     out = scratch_path(spark, "stream-match")
-    m = SM.stream_match(_point_stream(spark, d, "error"), _point_stream(spark, d, "purchase"),
-                        max_km=MAX_KM, max_hours=MAX_HOURS)
+    m = SM.stream_match(_point_stream(spark, d, LEFT), _point_stream(spark, d, RIGHT),
+                        max_km=MAX_KM, max_hours=MAX_HOURS, delay="365 days")
     q = (m.writeStream.format("parquet").option("checkpointLocation", out + "-ck")
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
@@ -133,11 +160,8 @@ def t03_stream_match(spark, d):
 
 # ------------------------------------------------------------ monitoring
 
-@register("q21_trace_record", """
-WITH e AS (SELECT event_id AS id, ts, CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 AS lon,
-                  CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 AS lat FROM events WHERE event_type = 'error'),
-q AS (SELECT event_id AS id, ts, value, CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 AS lon,
-             CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 AS lat FROM events WHERE event_type = 'purchase'),
+@register("q21_trace_record", f"""
+WITH e AS ({_pts_sql(LEFT)}), q AS ({_pts_sql(RIGHT)}),
 target AS (SELECT max_by(id, (value, id)) AS id FROM q)
 SELECT e.id AS event_id, q.id AS earthquake_id,
        CAST(floor(epoch(q.ts)) - floor(epoch(e.ts)) AS BIGINT) AS delay_seconds
@@ -146,13 +170,14 @@ WHERE abs((floor(epoch(q.ts)) - floor(epoch(e.ts))) / 3600.0) <= 168.0
   AND 6371.0 * 2 * asin(sqrt(pow(sin(radians(q.lat - e.lat) / 2), 2)
         + cos(radians(e.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - e.lon) / 2), 2))) <= 500.0""")
 def q21_trace_record(spark, d):
-    """One record (the strongest quake) traced into the matches."""
-    qk = points(spark, d, "purchase")
-    target = qk.agg(F.max_by("id", F.struct("value", "id")).alias("target"))
-    m = matches(spark, d)
-    # one-row lookup key: broadcast is bounded by construction
-    return (m.join(F.broadcast(target), m["earthquake_id"] == target["target"], "left_semi")
-             .select("event_id", "earthquake_id", "delay_seconds"))
+    """One record (the strongest quake) traced into the matches.
+    The quake side is cut to the record before the match, so one point is
+    matched."""
+    qk = points(spark, d, RIGHT)
+    strongest = qk.agg(F.max_by("id", F.struct("value", "id")).alias("target"))
+    # one row by construction
+    one = qk.join(F.broadcast(strongest), F.col("id") == F.col("target"), "left_semi")
+    return match_points(spark, points(spark, d, LEFT), one).select("event_id", "earthquake_id", "delay_seconds")
 
 
 def _metrics(spark, d) -> DataFrame:
@@ -191,11 +216,11 @@ def q23_stalled(spark, d):
 SELECT event_id AS id, lon, lat FROM (
   SELECT event_id, CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 AS lon,
          CAST((event_id * 104729) % 18000 AS DOUBLE) / 100 - 90 AS lat
-  FROM events WHERE event_type = 'purchase')
+  FROM events)
 WHERE lon BETWEEN -30 AND 60 AND lat BETWEEN 0 AND 70""")
 def f12_bbox_filter(spark, d):
     """bounding-box filter."""
-    p = points(spark, d, "purchase")
+    p = points(spark, d)
     return p.filter(P.in_bbox("lon", "lat", -30, 0, 60, 70)).select("id", "lon", "lat")
 
 
@@ -213,7 +238,8 @@ def _geometry_validated(spark, d):
 
 @register("x05_geometry_rejections", """
 WITH g AS (
-  SELECT CAST(user_id AS VARCHAR) AS event_id,
+  SELECT CASE WHEN event_type = 'signup' AND value > 200 THEN 'U' || user_id
+              ELSE CAST(user_id AS VARCHAR) END AS event_id,
     CASE WHEN event_type = 'signup' AND value < 1 THEN 'n/a'
          ELSE strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ') END AS date,
     CASE WHEN event_type = 'view' THEN 'Polygon'
@@ -256,3 +282,31 @@ def x05_geometry_rejections(spark, d):
     _, bad = _geometry_validated(spark, d)
     return bad.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+@register("x07_tied_duplicates", """
+SELECT 'accepted' AS outcome, COUNT(DISTINCT (user_id, event_type)) AS n FROM events
+UNION ALL SELECT 'duplicate_key', COUNT(*) - COUNT(DISTINCT (user_id, event_type)) FROM events""")
+def x07_tied_duplicates(spark, d):
+    """Rows that tie on the key, most of them identical: one of each key
+    is accepted, all others are rejected, and none is lost."""
+    good, bad = V.validate(table(spark, d, "events").select("user_id", "event_type"), [], key=["user_id", "event_type"])
+    kinds = good.select(F.lit("accepted").alias("outcome")).unionByName(bad.select(F.explode("reasons").alias("outcome")))
+    return kinds.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@register("x11_rules", """
+SELECT name AS reason, n FROM (
+  SELECT 'not_blank:title' AS name, COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') AS n FROM orders
+  UNION ALL SELECT 'url:link', COUNT(*) FILTER (WHERE o_orderpriority = '2-HIGH') FROM orders
+  UNION ALL SELECT 'decimal:amount', COUNT(*) FILTER (WHERE round(o_totalprice, 2) >= 100000) FROM orders
+  UNION ALL SELECT 'one_of:phase', COUNT(*) FILTER (WHERE o_orderstatus = 'P') FROM orders) WHERE n > 0""")
+def x11_rules(spark, d):
+    """X2, X3, X10 (decimal) and X11 as rules over one table."""
+    o = table(spark, d, "orders").select(
+        F.expr("CASE WHEN o_orderpriority = '5-LOW' THEN '  ' ELSE o_orderpriority END").alias("title"),
+        F.expr("concat(CASE WHEN o_orderpriority = '2-HIGH' THEN 'ftp' ELSE 'https' END, '://x/', o_orderkey)").alias("link"),
+        F.col("o_totalprice").alias("amount"),
+        F.expr("CASE o_orderstatus WHEN 'F' THEN 'before' WHEN 'O' THEN 'after' ELSE 'never' END").alias("phase"))
+    _, bad = V.validate(o, [V.not_blank("title"), V.url("link"), V.fits_decimal("amount", 7, 2), V.one_of("phase", ["before", "after"])])
+    return bad.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))

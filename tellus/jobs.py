@@ -3,6 +3,7 @@
 
 ingest      Kafka topics -> raw JSONL lake (Structured Streaming)
 clean-load  lake -> staging + clean snapshots + event_earthquake (entry 1)
+sync        lake event feed -> clean snapshots, record by record isolation (entry 5)
 audit       staging (+ public) snapshots -> report rows, repaired staging (entry 2)
 report      summary of the latest run from the report table
 """
@@ -12,9 +13,12 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from tellus import schemas as SC
 from tellus.plans import clean_load as PL
 from tellus.plans import report as RP
+from tellus.plans import upsert as UP
 from tellus.plans.quality_run import quality_run
 from tellus.session import get_session
 from tellus.sources import feeds as FD
@@ -27,16 +31,27 @@ STAGING = ("event", "category", "source", "geometry", "event_category", "event_s
 def _clean_load(spark, a) -> None:
     ev = FD.read_lake(spark, a.lake, a.event_source, SC.EVENT_RECORD)
     qk = FD.read_lake(spark, a.lake, a.quake_source, SC.QUAKE_RECORD)
-    have_ev, have_qk = not ev.isEmpty(), not qk.isEmpty()
-    tables = PL.run(ev if have_ev else None, qk if have_qk else None,
-                    max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
+    tables = PL.run(ev, qk, max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
+    tables["quarantine.line"] = FD.corrupt_lines(ev).unionByName(FD.corrupt_lines(qk))
     for name, df in tables.items():
         if name.startswith("staging."):
             K.write_snapshot(df, f"{a.out}/staging", name.split(".", 1)[1])
+        elif name.startswith("quarantine."):
+            K.write_snapshot(df, f"{a.out}/quarantine", name.split(".", 1)[1])
         else:
             K.write_snapshot(df, f"{a.out}/public", name)
 
 
+def _sync(spark, a) -> None:
+    ev = FD.read_lake(spark, a.lake, a.event_source, SC.EVENT_RECORD)
+    ev = ev.withColumn("_seq", F.col("_ingested_at"))
+    names = [n for n in STAGING if n != "earthquake"]
+    tables, counts = UP.sync({n: K.read_snapshot(spark, f"{a.tables}/public", n) for n in names}, ev)
+    paths = {n: K.write_snapshot(tables[n], f"{a.tables}/public", n) for n in names}
+    done = counts.first()
+    print(f"processed {done.processed}, failed {done.failed}, tables written {len(paths)}")
+
+
 def _audit(spark, a) -> None:
     staging = {n: K.read_snapshot(spark, f"{a.tables}/staging", n) for n in STAGING}
     public = None
@@ -54,7 +69,7 @@ def _report(spark, a) -> None:
 
 
 def _ingest(spark, a) -> None:
-    msgs = LK.kafka_stream(spark, a.kafka, a.topics.split(","), max_offsets=a.max_offsets)
+    msgs = LK.kafka_stream(spark, a.kafka, a.topics.split(","), min_offsets=a.min_offsets, max_delay=a.max_delay)
     q = LK.ingest(msgs, a.lake, a.checkpoint, processing_time=a.every, available_now=a.once)
     q.awaitTermination()
 
@@ -75,6 +90,10 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--changes")
     a.add_argument("--as-of")
     a.add_argument("--with-public", action="store_true")
+    s = sub.add_parser("sync")
+    s.add_argument("--lake", required=True)
+    s.add_argument("--tables", required=True)
+    s.add_argument("--event-source", default="eonet")
     r = sub.add_parser("report")
     r.add_argument("--report", required=True)
     i = sub.add_parser("ingest")
@@ -82,18 +101,21 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--topics", default="eonet.events,usgs.earthquakes")
     i.add_argument("--lake", required=True)
     i.add_argument("--checkpoint", required=True)
-    i.add_argument("--max-offsets", type=int, default=200)
-    i.add_argument("--every", default="30 seconds")
+    i.add_argument("--min-offsets", type=int, default=200)
+    i.add_argument("--max-delay", default="30s")
+    i.add_argument("--every", default="1 second")
     i.add_argument("--once", action="store_true")
+    for x in (c, a, s, r):
+        x.add_argument("--checkpoint-dir", help="shared folder; needed on a cluster unless spark.checkpoint.dir is set")
     return p
 
 
-COMMANDS = {"clean-load": _clean_load, "audit": _audit, "report": _report, "ingest": _ingest}
+COMMANDS = {"clean-load": _clean_load, "sync": _sync, "audit": _audit, "report": _report, "ingest": _ingest}
 
 
 def main(argv=None, spark=None) -> None:
     args = parser().parse_args(argv)
-    spark = spark or get_session(f"tellus-{args.cmd}")
+    spark = spark or get_session(f"tellus-{args.cmd}", checkpoint_dir=getattr(args, "checkpoint_dir", None))
     COMMANDS[args.cmd](spark, args)
 
 

@@ -40,11 +40,15 @@ END_ID = 1
 #: Entries of the cache of words in a Python process; it is emptied beyond.
 CACHE_WORDS = 300_000
 #: Pieces ranked in one group, about.
-RANK_ROWS = 50_000
+RANK_ROWS = 10_000
 #: Steps of a plan up to which it is broadcast.
 PLAN_STEPS = 250_000
 
 _TAIL = ".,;:!?"
+# the byte alphabet of byte-level tokenizers: printable bytes stand for
+# themselves, the others for the characters from 256 on
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: (chr(b) if b in _PLAIN else chr(256 + sum(o not in _PLAIN for o in range(b)))) for b in range(256)}
 # white space for Python that the tokenizer takes for ordinary characters
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -59,9 +63,25 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.cache: dict[str, list[int]] = {}
 
-    def learn(self, words: list[str]) -> None:
+    def encode(self, parts: list[str], simple: bool) -> dict[str, list[int]]:
+        """Ids of parts of words. In a simple text (lower case, no code point
+        above 255) a part of letters alone is one match and has nothing to
+        normalise, so the merges can start at once."""
+        ids, rest = {}, []
+        for p in parts:
+            if simple and p.isalpha():
+                raw = p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_BYTES)
+                ids[p] = [t.id for t in self.model.tokenize(raw)]
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            ids[p] = e.ids
+        return ids
+
+    def learn(self, words: list[str], simple: bool) -> None:
         """Put words into the cache. Marks of punctuation at the end are
         encoded apart: a match never runs from a letter or number into one."""
         if len(self.cache) + len(words) > CACHE_WORDS:
@@ -71,30 +91,30 @@ class WordEncoder:
             base = w.rstrip(_TAIL)
             parts[w] = (base, w[len(base):]) if base and base[-1].isalnum() else (w, "")
         new = list({p for pair in parts.values() for p in pair if p and p not in self.cache})
-        ids = {p: e.ids for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        self.cache.update(ids)
+        self.cache.update(self.encode(new, simple))
         for w, (base, tail) in parts.items():
             if tail:
                 self.cache[w] = self.cache[base] + self.cache[tail]
 
     def __call__(self, text: str) -> list[int]:
+        simple = True
         try:
             text.encode("latin-1")
             text = text.lower()  # the tokenizer does so too; here it saves words
         except UnicodeEncodeError:
-            pass
+            simple = False
         words = text.split(" ") if _NOT_SPACE.search(text) else text.split()
         cache = self.cache
         missing = [w for w in set(words) if w not in cache]
         if missing:
-            self.learn(missing)
+            self.learn(missing, simple)
             cache = self.cache
         out: list[int] = []
         try:
             for w in words:
                 out += cache[w]
         except KeyError:  # the cache was emptied: these words alone are in it
-            self.learn([w for w in set(words) if w not in cache])
+            self.learn([w for w in set(words) if w not in cache], simple)
             out = [i for w in words for i in self.cache[w]]
         return out
 

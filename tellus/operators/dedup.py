@@ -1,63 +1,57 @@
 """Deterministic deduplication.
 
-"Keep the latest row per key" is written as a grouped ``max_by`` over a row
-struct rather than a ``row_number`` window: the aggregate has a partial
-(map-side) phase, so a key holding a large share of the rows is reduced
-inside every map task before the shuffle and never lands whole in one task.
-Callers pass a total order (unique tie-breaker last) so the survivor is
-deterministic and recomputation after an executor loss yields the same row.
+"Keep the latest row per key" is ``row_number() = 1``. Spark limits each
+group inside every map task before the shuffle (a group limit), so a key
+holding a large share of the rows sends one row per task and never lands
+whole in one task; columns that nobody reads afterwards are pruned. Ties are
+broken by a hash of the whole row, so only identical rows can tie and the
+survivor is the same after a recomputation; a caller whose order is total
+passes ``total=True`` and spares reading the other columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellus.functions.predicates import any_null, col
 
 
-def _order_struct(order_by: Sequence, nulls_first: bool) -> Column:
-    parts = []
-    for i, c in enumerate(order_by):
-        c = col(c)
-        if nulls_first:
-            parts.append(c.isNull().alias(f"_n{i}"))
-        parts.append(c.alias(f"_o{i}"))
-    return F.struct(*parts)
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _row_struct(df: DataFrame) -> Column:
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+def _first(df: DataFrame, keys: Sequence[str], order: list[Column], total: bool) -> DataFrame:
+    if not total:
+        order = [*order, row_hash(df)]
+    n = "_nth"
+    while n in df.columns:
+        n = "_" + n
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(n, F.row_number().over(w)).filter(F.col(n) == 1).drop(n)
 
 
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-           nulls_first: bool = True) -> DataFrame:
+           nulls_first: bool = True, total: bool = False) -> DataFrame:
     """One row per ``keys``: the greatest by ``order_by`` (all descending).
 
     ``nulls_first=True`` reproduces ``ORDER BY x DESC`` of PostgreSQL, where
     a NULL ordering value ranks first. NULL keys form one group (M1).
     """
-    out = (df.groupBy(*keys)
-             .agg(F.max_by(_row_struct(df), _order_struct(order_by, nulls_first))
-                  .alias("_row")))
-    return out.select("_row.*")
+    order = [col(c).desc_nulls_first() if nulls_first else col(c).desc_nulls_last() for c in order_by]
+    return _first(df, keys, order, total)
 
 
 def earliest(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-             nulls_last: bool = True) -> DataFrame:
+             nulls_last: bool = True, total: bool = False) -> DataFrame:
     """One row per ``keys``: the smallest by ``order_by`` (all ascending,
     NULL last)."""
-    parts = []
-    for i, c in enumerate(order_by):
-        c = col(c)
-        if nulls_last:
-            parts.append(c.isNull().alias(f"_n{i}"))
-        parts.append(c.alias(f"_o{i}"))
-    out = (df.groupBy(*keys)
-             .agg(F.min_by(_row_struct(df), F.struct(*parts)).alias("_row")))
-    return out.select("_row.*")
+    order = [col(c).asc_nulls_last() if nulls_last else col(c).asc_nulls_first() for c in order_by]
+    return _first(df, keys, order, total)
 
 
 def dedup_keys(df: DataFrame, keys: Sequence[str], order_by: Sequence | None = None,
@@ -89,16 +83,33 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def losers(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-           nulls_first: bool = True, winners: DataFrame | None = None) -> DataFrame:
-    """Rows that ``latest`` drops (for quarantine or change counts).
+def split_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence,
+                 nulls_first: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(winners, losers)`` of ``latest``; together they are exactly ``df``.
 
-    Found by an anti join on keys + order columns against the survivors, so
-    a hot key is spread over the shuffle by its order values instead of
-    being sorted in one task. Needs a total order. Pass ``winners`` when the
-    survivors are already computed.
+    Identical rows are counted first (a partial aggregate), so a tie is one
+    row with a count: the winner keeps one copy and all other copies lose.
+    The join that tells them apart is on the key and the row's hash, which
+    spreads a hot key by its contents; all columns are compared.
     """
-    win = winners if winners is not None else latest(df, keys, order_by, nulls_first)
-    cols = list(keys) + [c for c in order_by if isinstance(c, str) and c not in keys]
-    cond = [df[c].eqNullSafe(win[c]) for c in cols]
-    return df.join(win.select(*cols), cond, "left_anti")
+    names = {c: f"_w{i}" for i, c in enumerate(df.columns)}
+    copies = "_copies"
+    while copies in df.columns:
+        copies = "_" + copies
+    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(copies))
+    g = g.select(*df.columns, copies)
+    win = latest(g, keys, order_by, nulls_first).drop(copies)
+    mark = win.select(row_hash(win).alias("_wh"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    same = reduce(lambda x, y: x & y, [F.col(f"`{c}`").eqNullSafe(F.col(n)) for c, n in names.items()])
+    tagged = g.withColumn("_gh", row_hash(df))
+    lost = tagged.join(mark, (F.col("_gh") == F.col("_wh")) & same, "left")
+    lost = lost.withColumn(copies, F.col(copies) - F.when(F.col("_wh").isNotNull(), 1).otherwise(0))
+    lost = lost.filter(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    return win, lost.select(*df.columns)
+
+
+def losers(df: DataFrame, keys: Sequence[str], order_by: Sequence,
+           nulls_first: bool = True) -> DataFrame:
+    """Rows that ``latest`` drops (for quarantine or change counts), copies
+    of a winner included."""
+    return split_latest(df, keys, order_by, nulls_first)[1]

@@ -17,8 +17,10 @@ box lies within reach of the point (about 20 of 27 on average) and keeps
 its own time bucket; the *time side* is copied to the 3 neighbour buckets
 and keeps its own cell. The join key is (cx, cy, cz, tb); the physical
 join is a sort-merge join on the keys (the static estimate does not see the
-replication fan-out, so no broadcast is taken from it); AQE splits the
-partitions of hot cells (skew join).
+replication fan-out, so no broadcast is taken from it). A cell and bucket
+where one side has over ``HOT_ROWS`` points is cut into salts by measured
+counts: its time-side points are dealt out to the salts, its space-side
+points are copied to each, so no task gets a whole swarm whatever its bytes.
 """
 
 from __future__ import annotations
@@ -33,6 +35,19 @@ from tellus.operators.dedup import earliest
 from tellus.operators.partitioning import spread
 
 _KEYS = ["_cx", "_cy", "_cz", "_tb"]
+#: Time-side points of a cell and bucket above which it is cut.
+HOT_ROWS = 5000
+
+
+def _salted(sp: DataFrame, tp: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt``; one salt unless the key is hot. The counts
+    are reduced before the shuffle and only hot keys are kept of them."""
+    hot = tp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = hot.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_s"))
+    n = F.coalesce(F.col("_s"), F.lit(1))
+    tp = tp.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*[c for c in tp.columns if c not in keys]), n).cast("int"))
+    sp = sp.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
+    return sp.drop("_s"), tp.drop("_s")
 
 
 def _prepare(df, id_col, ts_col, lon_col, lat_col, prefix, cell, bucket):
@@ -63,19 +78,21 @@ def _gap(p, lo, size):
 def spacetime_candidates(left: DataFrame, right: DataFrame, *,
                          left_id="id", left_ts="ts", left_lon="lon", left_lat="lat",
                          right_id="id", right_ts="ts", right_lon="lon", right_lat="lat",
-                         max_km: float = 500.0, max_hours: float = 168.0,
-                         space_side: str = "right") -> DataFrame:
+                         max_km: float = 500.0, max_hours: float | None = 168.0,
+                         space_side: str = "right", partitions: int | None = None,
+                         hot_rows: int = HOT_ROWS) -> DataFrame:
     """J1 + J2: every (left point, right point) pair within both bands.
 
     Output: ``l_id, r_id, l_sec, r_sec, distance_km`` (unrounded) and
-    ``delay_seconds = r_sec - l_sec`` (signed, whole seconds).
+    ``delay_seconds = r_sec - l_sec`` (signed, whole seconds). ``partitions``
+    spreads inputs that have too few splits (see ``spread``).
     """
     chord = max_km / EARTH_RADIUS_KM
     # a hair larger than the threshold: only adds candidates, never loses one
     cell = max(chord, 1e-9) * (1 + 1e-6)
-    bucket = max(int(math.ceil(max_hours * 3600.0)), 1)
-    lp = spread(_prepare(left, left_id, left_ts, left_lon, left_lat, "l_", cell, bucket))
-    rp = spread(_prepare(right, right_id, right_ts, right_lon, right_lat, "r_", cell, bucket))
+    bucket = max(int(math.ceil((max_hours or 1.0) * 3600.0)), 1)
+    lp = spread(_prepare(left, left_id, left_ts, left_lon, left_lat, "l_", cell, bucket), partitions)
+    rp = spread(_prepare(right, right_id, right_ts, right_lon, right_lat, "r_", cell, bucket), partitions)
     sp, tp = (rp, lp) if space_side == "right" else (lp, rp)
 
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"),
@@ -91,18 +108,22 @@ def spacetime_candidates(left: DataFrame, right: DataFrame, *,
     sp = (sp.filter(d2 <= F.lit(cell * cell))
             .withColumn("_cx", ncx).withColumn("_cy", ncy).withColumn("_cz", ncz)
             .drop("_o", "_x", "_y", "_z"))
-    tp = (tp.withColumn("_tb", F.explode(F.array(F.col("_tb") - 1, F.col("_tb"),
-                                                 F.col("_tb") + 1)))
-            .drop("_x", "_y", "_z"))
+    tp = tp.drop("_x", "_y", "_z")
+    if max_hours is None:  # any time: no copies, one bucket
+        sp, tp = sp.withColumn("_tb", F.lit(0)), tp.withColumn("_tb", F.lit(0))
+    else:
+        tp = tp.withColumn("_tb", F.explode(F.array(F.col("_tb") - 1, F.col("_tb"), F.col("_tb") + 1)))
+    sp, tp = _salted(sp, tp, _KEYS, hot_rows)
     # Sort-merge join on the bucket keys. The static size estimate does not
     # see the explode's fan-out, so a broadcast chosen from it could be far
     # larger than planned; the shuffles a sort-merge join inserts are the
     # ones AQE can split when a cell is hot (skew join).
-    j = sp.hint("merge").join(tp, _KEYS, "inner")
+    j = sp.hint("merge").join(tp, [*_KEYS, "_salt"], "inner")
     delay = F.col("r_sec") - F.col("l_sec")
     dist = haversine_km("l_lat", "l_lon", "r_lat", "r_lon")
-    return (j.filter(F.abs(delay / F.lit(3600.0)) <= F.lit(float(max_hours)))
-             .withColumn("distance_km", dist)
+    if max_hours is not None:
+        j = j.filter(F.abs(delay / F.lit(3600.0)) <= F.lit(float(max_hours)))
+    return (j.withColumn("distance_km", dist)
              .filter(F.col("distance_km") <= F.lit(float(max_km)))
              .select("l_id", "r_id", "l_sec", "r_sec", "distance_km",
                      delay.alias("delay_seconds")))
@@ -134,36 +155,35 @@ def match_pairs(left: DataFrame, right: DataFrame, *, max_km: float = 500.0,
 
 
 
-# Largest possible great-circle distance (half the circumference) plus margin:
-# with this radius the spatial band never excludes a pair.
-_ANY_KM = 20100.0
-# Hours large enough that every timestamp falls in one bucket.
-_ANY_HOURS = 1.0e9
-
-
 def time_band_join(left: DataFrame, right: DataFrame, *, max_hours: float,
-                   **cols) -> DataFrame:
+                   left_id="id", left_ts="ts", right_id="id", right_ts="ts",
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """J1 alone: pairs whose whole-second times differ by at most
-    ``max_hours`` (inclusive, symmetric). Positions are not used; a constant
-    position makes every point share one cell."""
-    lc = {k: v for k, v in cols.items() if k.startswith("left_")}
-    rc = {k: v for k, v in cols.items() if k.startswith("right_")}
-    lp = left.withColumn("_lon0", F.lit(0.0)).withColumn("_lat0", F.lit(0.0))
-    rp = right.withColumn("_lon0", F.lit(0.0)).withColumn("_lat0", F.lit(0.0))
-    lc.update(left_lon="_lon0", left_lat="_lat0")
-    rc.update(right_lon="_lon0", right_lat="_lat0")
-    out = spacetime_candidates(lp, rp, max_km=_ANY_KM, max_hours=max_hours, **lc, **rc)
-    return out.select("l_id", "r_id", "l_sec", "r_sec", "delay_seconds")
-
-
-def radius_join(left: DataFrame, right: DataFrame, *, max_km: float, **cols) -> DataFrame:
-    """J2 alone: pairs within ``max_km`` (haversine), at any time. Rows
-    without a time still match (their time is replaced by a constant)."""
-    lc = {k: v for k, v in cols.items() if k.startswith("left_")}
-    rc = {k: v for k, v in cols.items() if k.startswith("right_")}
-    lp = left.withColumn("_t0", F.lit(0).cast("timestamp"))
-    rp = right.withColumn("_t0", F.lit(0).cast("timestamp"))
-    lc.update(left_ts="_t0")
-    rc.update(right_ts="_t0")
-    out = spacetime_candidates(lp, rp, max_km=max_km, max_hours=_ANY_HOURS, **lc, **rc)
+    ``max_hours`` (inclusive, symmetric). The key is the time bucket; the
+    right side keeps its own, the left side is copied to the neighbours."""
+    bucket = F.lit(max(int(math.ceil(max_hours * 3600.0)), 1))
+    lp = left.select(F.col(left_id).alias("l_id"), epoch_seconds(left_ts).alias("l_sec")).filter("l_sec IS NOT NULL")
+    rp = right.select(F.col(right_id).alias("r_id"), epoch_seconds(right_ts).alias("r_sec")).filter("r_sec IS NOT NULL")
+    own = F.floor(F.col("l_sec") / bucket)
+    lp = lp.withColumn("_tb", F.explode(F.array(own - 1, own, own + 1)))
+    rp = rp.withColumn("_tb", F.floor(F.col("r_sec") / bucket))
+    lp, rp = _salted(lp, rp, ["_tb"], hot_rows)
+    delay = F.col("r_sec") - F.col("l_sec")
+    j = lp.hint("merge").join(rp, ["_tb", "_salt"])
+    return j.filter(F.abs(delay / F.lit(3600.0)) <= F.lit(float(max_hours))).select(
+        "l_id", "r_id", "l_sec", "r_sec", delay.alias("delay_seconds"))
+
+
+def radius_join(left: DataFrame, right: DataFrame, *, max_km: float,
+                left_id="id", left_lon="lon", left_lat="lat",
+                right_id="id", right_lon="lon", right_lat="lat", **kw) -> DataFrame:
+    """J2 alone: pairs within ``max_km`` (haversine), at any time; rows
+    without a time match too. All times are one constant, so only the
+    bucket of that time holds pairs."""
+    zero = F.lit(0).cast("timestamp")
+    out = spacetime_candidates(
+        left.select(left_id, left_lon, left_lat).withColumn("_t0", zero),
+        right.select(right_id, right_lon, right_lat).withColumn("_t0", zero),
+        max_km=max_km, max_hours=None, left_id=left_id, left_ts="_t0", left_lon=left_lon, left_lat=left_lat,
+        right_id=right_id, right_ts="_t0", right_lon=right_lon, right_lat=right_lat, **kw)
     return out.select("l_id", "r_id", "distance_km")

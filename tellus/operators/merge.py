@@ -43,7 +43,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     src = source.select(*cols)
     order = list(order_by)
     if on_match == "update":
-        win = latest(src, keys, order, nulls_first=False) if order else src.dropDuplicates(list(keys))
+        win = latest(src, keys, order, nulls_first=False)
         return _without_keys(target, win, keys).unionByName(win)
-    first = earliest(src, keys, order, nulls_last=True) if order else src.dropDuplicates(list(keys))
+    first = earliest(src, keys, order, nulls_last=True)
     return target.unionByName(_without_keys(first, target, keys))

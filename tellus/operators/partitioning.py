@@ -5,23 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition a frame that has fewer partitions than the
-    cluster can run at once, before CPU-heavy per-row work (JSON parsing,
-    geometry, replication for range joins).
-
-    A scan of one unsplittable file (a single Parquet row group) yields one
-    partition, and everything up to the first shuffle would then run in one
-    task. On large inputs the scan already has at least that many splits and
-    this is a no-op (no extra shuffle).
-
-    Call it on a frame read straight from a scan (plus narrow projections
-    and filters): asking a plan that contains a shuffle for its partitions
-    would run that shuffle, and such a frame is distributed already.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    return df.repartition(want) if have < want else df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows out evenly to ``partitions`` tasks before CPU-heavy
+    work per row (JSON parsing, replication for range joins), for a caller
+    who knows that the input has too few splits (one file, one row group).
+    Without a number the frame is returned as it is. Building the plan never
+    runs a job."""
+    return df.repartition(partitions) if partitions else df

@@ -2,8 +2,9 @@
 
 ``validate(df, rules, ...)`` returns ``(accepted, rejected)``; rejected rows
 carry ``reasons`` (array of rule names). Row rules are one projection (no
-shuffle); key uniqueness uses the skew-safe ``latest``/``losers`` pair;
-foreign keys are semi/anti joins against the parents' distinct keys.
+shuffle); key uniqueness uses the skew-safe ``split_latest``; foreign keys
+are joins against the parents' distinct keys. For any data, accepted and
+rejected rows together are the input, repeated rows included.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tellus.functions import predicates as P
 from tellus.functions import scalars as S
-from tellus.operators.dedup import latest, losers
+from tellus.operators.dedup import split_latest
 
 
 @dataclass(frozen=True)
@@ -87,8 +88,9 @@ def validate(df: DataFrame, rules: Sequence[Rule], *, key: Sequence[str] = (),
 
     * ``rules``: row rules (one pass, no shuffle).
     * ``key`` + ``key_order``: primary key; among rows passing the row rules
-      the greatest by ``key_order`` (a total order) is accepted, the others
-      are rejected as ``duplicate_key``.
+      the greatest by ``key_order`` is accepted (ties are broken by the row's
+      contents, of identical rows one copy is accepted), the others are
+      rejected as ``duplicate_key``.
     * ``parents``: ``(name, parent_df, child_key, parent_key)``; a non-NULL
       child key without a parent is rejected as ``missing_parent:name``.
     """
@@ -108,11 +110,8 @@ def validate(df: DataFrame, rules: Sequence[Rule], *, key: Sequence[str] = (),
     bad = tagged.filter(F.size("reasons") > 0)
     if key:
         order = list(key_order) or list(key)
-        win = latest(clean, key, order)
-        dup = losers(clean, key, order, winners=win).withColumn(
-            "reasons", F.array(F.lit("duplicate_key")))
-        clean = win
-        bad = bad.unionByName(dup)
+        clean, dup = split_latest(clean.drop("reasons"), key, order)
+        bad = bad.unionByName(dup.withColumn("reasons", F.array(F.lit("duplicate_key"))))
     return clean.drop("reasons"), bad
 
 

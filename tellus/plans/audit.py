@@ -28,6 +28,12 @@ Tables = Mapping[str, DataFrame]
 PredicateLike = Union[str, Column, Callable[[Column], Column]]
 
 
+def _details(c) -> str:
+    """The report's text of a control, from what it is about: its dimension,
+    columns and bound."""
+    return f"{c.dimension}: {c.table} ({c.on})" + (f" [{c.bound}]" if c.bound else "")
+
+
 @dataclass(frozen=True)
 class Control:
     """Rows of ``table`` failing ``predicate`` (SQL text, a Column, or a
@@ -37,7 +43,12 @@ class Control:
     table: str
     predicate: PredicateLike
     severity: str = "M"
-    details: str = ""
+    on: str = ""
+    bound: str = ""
+
+    @property
+    def details(self) -> str:
+        return _details(self)
 
     def column(self, as_of: Column) -> Column:
         p = self.predicate
@@ -57,7 +68,12 @@ class SetControl:
     table: str
     measure: Callable[[Tables, Column], DataFrame]
     severity: str = "M"
-    details: str = ""
+    on: str = ""
+    bound: str = ""
+
+    @property
+    def details(self) -> str:
+        return _details(self)
 
 
 # ---------------------------------------------------------------- measures
@@ -117,52 +133,53 @@ DIMENSIONS = ("completeness", "uniqueness", "validity", "coherence", "integrity"
 
 def hazard_controls() -> list:
     """The 32 controls over the hazard tables (event, category, source,
-    geometry, event_category, event_source, earthquake)."""
+    geometry, event_category, event_source, earthquake). Fixed values: the
+    ids, dimensions, severities and bounds."""
     c, u, v, co, i = DIMENSIONS
     R = [
-        Control("C01", c, "event", P.is_blank("title"), "H", "event.title missing or blank"),
-        Control("C02", c, "event", F.col("description").isNull(), "L", "event.description missing (informative)"),
-        Control("C03", c, "event", F.col("link").isNull(), "H", "event.link missing"),
-        Control("C04", c, "earthquake", F.col("magnitude").isNull(), "M", "earthquake.magnitude missing"),
-        Control("C05", c, "earthquake", F.col("mag_type").isNull(), "L", "earthquake.mag_type missing"),
-        Control("C06", c, "earthquake", F.col("place").isNull(), "L", "earthquake.place missing"),
-        Control("C07", c, "earthquake", F.col("depth_km").isNull(), "L", "earthquake.depth_km missing"),
-        Control("C08", c, "earthquake", P.any_null("longitude", "latitude"), "H", "earthquake without coordinates"),
-        Control("C09", c, "geometry", F.col("coordinates").isNull(), "H", "geometry.coordinates missing"),
-        SetControl("U01", u, "event", surplus_measure("event", ["id"]), "H", "event.id duplicated"),
-        SetControl("U02", u, "earthquake", surplus_measure("earthquake", ["id"]), "H", "earthquake.id duplicated"),
+        Control("C01", c, "event", P.is_blank("title"), "H", on="title"),
+        Control("C02", c, "event", F.col("description").isNull(), "L", on="description"),
+        Control("C03", c, "event", F.col("link").isNull(), "H", on="link"),
+        Control("C04", c, "earthquake", F.col("magnitude").isNull(), "M", on="magnitude"),
+        Control("C05", c, "earthquake", F.col("mag_type").isNull(), "L", on="mag_type"),
+        Control("C06", c, "earthquake", F.col("place").isNull(), "L", on="place"),
+        Control("C07", c, "earthquake", F.col("depth_km").isNull(), "L", on="depth_km"),
+        Control("C08", c, "earthquake", P.any_null("longitude", "latitude"), "H", on="longitude, latitude"),
+        Control("C09", c, "geometry", F.col("coordinates").isNull(), "H", on="coordinates"),
+        SetControl("U01", u, "event", surplus_measure("event", ["id"]), "H", on="id"),
+        SetControl("U02", u, "earthquake", surplus_measure("earthquake", ["id"]), "H", on="id"),
         SetControl("U03", u, "earthquake",
                    surplus_measure("earthquake", fuzzy_keys("time", "latitude", "longitude", "magnitude")),
-                   "M", "earthquake near-duplicate (same minute, 0.1 deg, 0.1 magnitude)"),
-        SetControl("U04", u, "category", surplus_measure("category", ["id"]), "M", "category.id duplicated"),
-        SetControl("U05", u, "source", surplus_measure("source", ["id"]), "M", "source.id duplicated"),
-        Control("V01", v, "event", P.url_bad("link"), "H", "event.link does not start with http(s)://"),
-        Control("V02", v, "source", P.url_bad("url"), "H", "source.url does not start with http(s)://"),
-        Control("V03", v, "earthquake", P.out_of_range("longitude", -180, 180), "H", "earthquake.longitude outside [-180, 180]"),
-        Control("V04", v, "earthquake", P.out_of_range("latitude", -90, 90), "H", "earthquake.latitude outside [-90, 90]"),
-        Control("V05", v, "earthquake", P.out_of_range("magnitude", -1, 10), "H", "earthquake.magnitude outside [-1, 10]"),
-        Control("V06", v, "earthquake", P.out_of_range("depth_km", 0, None), "M", "earthquake.depth_km negative"),
-        Control("V07", v, "geometry", P.not_in_set("type", ["Point", "Polygon"]), "M", "geometry.type unknown"),
+                   "M", on="time, latitude, longitude, magnitude", bound="same minute, 0.1, 0.1"),
+        SetControl("U04", u, "category", surplus_measure("category", ["id"]), "M", on="id"),
+        SetControl("U05", u, "source", surplus_measure("source", ["id"]), "M", on="id"),
+        Control("V01", v, "event", P.url_bad("link"), "H", on="link"),
+        Control("V02", v, "source", P.url_bad("url"), "H", on="url"),
+        Control("V03", v, "earthquake", P.out_of_range("longitude", -180, 180), "H", on="longitude", bound="-180 to 180"),
+        Control("V04", v, "earthquake", P.out_of_range("latitude", -90, 90), "H", on="latitude", bound="-90 to 90"),
+        Control("V05", v, "earthquake", P.out_of_range("magnitude", -1, 10), "H", on="magnitude", bound="-1 to 10"),
+        Control("V06", v, "earthquake", P.out_of_range("depth_km", 0, None), "M", on="depth_km", bound="0 and more"),
+        Control("V07", v, "geometry", P.not_in_set("type", ["Point", "Polygon"]), "M", on="type", bound="Point, Polygon"),
         Control("V08", v, "geometry",
                 (F.col("type") == "Point") & F.col("coordinates").isNotNull()
                 & F.coalesce(F.json_array_length("coordinates") < 2, F.lit(True)),
-                "H", "Point geometry with malformed coordinates"),
-        SetControl("Co01", co, "event", closed_before_first_point(), "M", "event.closed before its first geometry point"),
+                "H", on="type, coordinates"),
+        SetControl("Co01", co, "event", closed_before_first_point(), "M", on="closed, geometry.date"),
         Control("Co02", co, "earthquake",
                 P.is_true("tsunami") & (F.col("magnitude").isNull() | (F.col("magnitude") < 6.5)),
-                "L", "earthquake tsunami=true but magnitude < 6.5"),
+                "L", on="tsunami, magnitude", bound="6.5"),
         Control("Co03", co, "earthquake",
-                lambda as_of: F.col("time") > as_of + F.expr("INTERVAL 1 DAY"), "M", "earthquake in the future"),
+                lambda as_of: F.col("time") > as_of + F.expr("INTERVAL 1 DAY"), "M", on="time", bound="as_of + 1 day"),
         Control("Co04", co, "earthquake",
-                lambda as_of: F.col("time") < as_of - F.expr("INTERVAL 365 DAYS"), "L", "earthquake older than one year"),
+                lambda as_of: F.col("time") < as_of - F.expr("INTERVAL 365 DAYS"), "L", on="time", bound="as_of - 365 days"),
         Control("Co05", co, "event",
                 lambda as_of: F.col("closed").isNotNull() & (F.col("closed") > as_of + F.expr("INTERVAL 1 DAY")),
-                "M", "event.closed in the future"),
-        SetControl("I01", i, "event_category", orphan_measure("event_category", "event_id", "event"), "H", "event_category.event_id orphan"),
-        SetControl("I02", i, "event_category", orphan_measure("event_category", "category_id", "category"), "H", "event_category.category_id orphan"),
-        SetControl("I03", i, "event_source", orphan_measure("event_source", "event_id", "event"), "H", "event_source.event_id orphan"),
-        SetControl("I04", i, "event_source", orphan_measure("event_source", "source_id", "source"), "H", "event_source.source_id orphan"),
-        SetControl("I05", i, "geometry", orphan_measure("geometry", "event_id", "event"), "H", "geometry.event_id orphan"),
+                "M", on="closed", bound="as_of + 1 day"),
+        SetControl("I01", i, "event_category", orphan_measure("event_category", "event_id", "event"), "H", on="event_id"),
+        SetControl("I02", i, "event_category", orphan_measure("event_category", "category_id", "category"), "H", on="category_id"),
+        SetControl("I03", i, "event_source", orphan_measure("event_source", "event_id", "event"), "H", on="event_id"),
+        SetControl("I04", i, "event_source", orphan_measure("event_source", "source_id", "source"), "H", on="source_id"),
+        SetControl("I05", i, "geometry", orphan_measure("geometry", "event_id", "event"), "H", on="event_id"),
     ]
     return R
 

@@ -4,12 +4,15 @@
 staging tables (all rows, before any filter); ``clean(events, quakes)``
 applies the required-field gates, normalisation and deterministic
 deduplication to produce the clean tables, and ``run`` adds the
-spatio-temporal match and optionally writes snapshots.
+spatio-temporal match. Clean rows that break a constraint of their table
+(``plans/rules.py``) go to the quarantine with their reasons.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellus.functions import predicates as P
@@ -17,9 +20,22 @@ from tellus.functions import scalars as S
 from tellus.operators import dedup as D
 from tellus.operators.match import match_pairs
 from tellus.operators.referential import with_parent
-from tellus.schemas import INGESTED_AT
+from tellus.operators.validate import validate
+from tellus.plans.rules import PARENTS, table_rules
+from tellus.schemas import EVENT_RECORD, INGESTED_AT, QUAKE_RECORD
+from tellus.sources.feeds import empty_feed
+
+#: Latest first: landing time, then the arrival position where the feed has
+#: one, then a hash of the record's text (8 bytes; the text itself is not
+#: carried on).
+ORDER = [INGESTED_AT, "_seq", "_rec"]
+
 
-ORDER = [INGESTED_AT, "_file", "_raw"]
+def _slim(df: DataFrame) -> DataFrame:
+    """A feed without its text: the hash of the text orders equal times."""
+    if "_raw" in df.columns:
+        df = df.withColumn("_rec", F.xxhash64("_raw"))
+    return df.drop("_raw", "_file", "_corrupt")
 
 
 def _order(df: DataFrame) -> list[str]:
@@ -154,25 +170,38 @@ def point_observations(geometry: DataFrame) -> DataFrame:
 
 
 def run(events: DataFrame | None, quakes: DataFrame | None, *, max_km: float = 500.0,
-        max_hours: float = 168.0, checkpoint: bool = False) -> dict[str, DataFrame]:
-    """Entry 1: staging + clean + match. A missing feed (None) skips its
-    tables, and the match runs only when both feeds are present (S9).
+        max_hours: float = 168.0, checkpoint: bool = False, partitions: int | None = None,
+        spark: SparkSession | None = None) -> dict[str, DataFrame]:
+    """Entry 1: staging + clean + match + ``quarantine.row`` (rejected clean
+    rows: table_name, reasons, row as JSON). A missing feed (None or empty)
+    gives empty tables, so a rebuild never leaves old rows behind (S9).
     ``checkpoint`` writes the deduplicated records once to the shared
     checkpoint folder when the tables will be written one by one (the
     parsed records too, so the lake is scanned and parsed once)."""
+    spark = spark or (events if events is not None else quakes).sparkSession
+    events = _slim(events if events is not None else empty_feed(spark, EVENT_RECORD))
+    quakes = _slim(quakes if quakes is not None else empty_feed(spark, QUAKE_RECORD))
     if checkpoint:
-        events = events.checkpoint(eager=True) if events is not None else None
-        quakes = quakes.checkpoint(eager=True) if quakes is not None else None
+        events, quakes = events.checkpoint(eager=True), quakes.checkpoint(eager=True)
     out = {f"staging.{k}": v for k, v in stage(events, quakes).items()}
-    clean_ev = clean_events(events, checkpoint) if events is not None else None
-    clean_q = clean_quakes(quakes, checkpoint) if quakes is not None else None
-    if clean_ev:
-        out.update(clean_ev)
-    if clean_q is not None:
-        out["earthquake"] = clean_q
-    if clean_ev and clean_q is not None:
-        q = clean_q.select("id", F.col("time").alias("ts"), F.col("longitude").alias("lon"),
-                           F.col("latitude").alias("lat"))
-        out["event_earthquake"] = match_pairs(point_observations(clean_ev["geometry"]), q,
-                                              max_km=max_km, max_hours=max_hours).drop("delay_seconds")
+    clean = clean_events(events, checkpoint)
+    clean["earthquake"] = clean_quakes(quakes, checkpoint)
+    clean, out["quarantine.row"] = accept(clean)
+    out.update(clean)
+    q = clean["earthquake"].select("id", F.col("time").alias("ts"), F.col("longitude").alias("lon"),
+                                   F.col("latitude").alias("lat"))
+    out["event_earthquake"] = match_pairs(point_observations(clean["geometry"]), q, max_km=max_km,
+                                          max_hours=max_hours, partitions=partitions).drop("delay_seconds")
     return out
+
+
+def accept(clean: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """K5 / 2.12: clean tables cut to the rows that keep every constraint,
+    parents before children, and the rejected rows of all tables."""
+    out, rejected = {}, []
+    for name in ("event", "category", "source", "earthquake", "geometry", "event_category", "event_source"):
+        parents = [(p, out[p], ck, pk) for p, ck, pk in PARENTS.get(name, ())]
+        out[name], bad = validate(clean[name], table_rules(name), parents=parents)
+        row = F.to_json(F.struct(*[F.col(c) for c in clean[name].columns]))
+        rejected.append(bad.select(F.lit(name).alias("table_name"), "reasons", row.alias("row")))
+    return out, reduce(DataFrame.unionByName, rejected)

@@ -32,12 +32,27 @@ from tellus.operators.merge import merge
 _ORDER = "_seq"
 
 
-def _title_ok(c: Column) -> Column:
-    return c.isNotNull() & (F.length(F.trim(c)) > 0)
+def _id_ok(c: Column) -> Column:
+    return c.isNotNull() & (F.length(c) <= 50)
+
+
+def _title_ok(c: Column, most: int) -> Column:
+    return c.isNotNull() & (F.length(F.trim(c)) > 0) & (F.length(c) <= most)
 
 
 def _url_ok(c: Column) -> Column:
-    return c.isNotNull() & c.rlike(URL_PATTERN)
+    return c.isNotNull() & c.rlike(URL_PATTERN) & (F.length(c) <= 255)
+
+
+def _filled(c: Column) -> Column:
+    """NULL for the empty text."""
+    return F.nullif(c, F.lit(""))
+
+
+def _category_title(c: Column) -> Column:
+    """The title, or the id where it is missing or empty. A title of
+    spaces stays and fails the table's check."""
+    return F.coalesce(_filled(c["title"]), c["id"])
 
 
 def _geometry_ok(g: Column) -> Column:
@@ -52,13 +67,14 @@ def _geometry_ok(g: Column) -> Column:
 
 
 def record_ok(rec: DataFrame) -> Column:
-    """True when every row one event record would insert is valid."""
+    """True when every row one event record would insert is valid. A source
+    without an address (missing or empty) would not be inserted."""
     cats = F.coalesce(F.col("categories"), F.array())
     srcs = F.coalesce(F.col("sources"), F.array())
     geos = F.coalesce(F.col("geometry"), F.array())
-    return (F.col("id").isNotNull() & _title_ok(F.col("title")) & _url_ok(F.col("link"))
-            & F.forall(cats, lambda c: c["id"].isNotNull())
-            & F.forall(srcs, lambda s: s["url"].isNull() | (s["id"].isNotNull() & _url_ok(s["url"])))
+    return (_id_ok(F.col("id")) & _title_ok(F.col("title"), 255) & _url_ok(F.col("link"))
+            & F.forall(cats, lambda c: _id_ok(c["id"]) & _title_ok(_category_title(c), 100))
+            & F.forall(srcs, lambda s: _filled(s["url"]).isNull() | (_id_ok(s["id"]) & _url_ok(s["url"])))
             & F.forall(geos, _geometry_ok))
 
 
@@ -93,7 +109,7 @@ def sync(tables: Mapping[str, DataFrame], events: DataFrame, *,
                          ev, ["id"], on_match="update", order_by=[order]).drop(order)
 
     cat = good.select(order, F.explode("categories").alias("c")).select(
-        F.col("c.id").alias("id"), F.coalesce(F.col("c.title"), F.col("c.id")).alias("title"),
+        F.col("c.id").alias("id"), _category_title(F.col("c")).alias("title"),
         S.typed_null("string").alias("description"), order)
     out["category"] = _insert_new(out["category"], cat, ["id"], order)
     ec = good.select("id", order, F.explode("categories").alias("c")).select(
@@ -101,7 +117,7 @@ def sync(tables: Mapping[str, DataFrame], events: DataFrame, *,
     out["event_category"] = _insert_new(out["event_category"], ec, ["event_id", "category_id"], order)
 
     src = (good.select("id", order, F.explode("sources").alias("s"))
-               .filter(F.col("s.url").isNotNull()))
+               .filter(_filled(F.col("s.url")).isNotNull()))
     out["source"] = _insert_new(out["source"], src.select(F.col("s.id").alias("id"),
                                                           F.col("s.url").alias("url"), order),
                                 ["id"], order)

@@ -26,7 +26,7 @@ DEFAULT_CONF = {
 
 def get_session(app: str = "tellus", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the defaults above.
 
     ``master`` is only set when given: on a cluster it comes from
@@ -50,6 +50,8 @@ def get_session(app: str = "tellus", master: str | None = None,
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
+    if checkpoint_dir:
+        spark.conf.set("spark.checkpoint.dir", checkpoint_dir)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -58,11 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage visible to every
-    executor and is always respected. Only when it is unset (local tests)
-    do we create a private temporary folder.
+    executor; without it a job stops here. Only a ``local`` session (tests)
+    gets a temporary folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         d = tempfile.mkdtemp(prefix="tellus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -73,15 +78,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def session_key(spark: SparkSession) -> str:
-    """A key that identifies the running application (for per-session
-    caches of written intermediate tables)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 

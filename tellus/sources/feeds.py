@@ -59,11 +59,11 @@ def reference_rows(df: DataFrame, array_field: str, *, value_col: str = "value",
 
 # --------------------------------------------------- collection windows
 
-def event_window(records: DataFrame, *, as_of=None, days: int | None = 30,
-                 status: str = "open", limit: int | None = 50,
+def event_window(records: DataFrame, *, as_of=None, days: int | None = None,
+                 status: str = "open", limit: int | None = None,
                  date_col: Column | None = None) -> DataFrame:
-    """S3: open (or closed/all) events seen in the last ``days``, newest
-    first, at most ``limit``. The date is the latest geometry point."""
+    """S3: open (or closed/all) events seen in the last ``days``; with a
+    ``limit``, the newest so many. The date is the latest geometry point."""
     as_of_c = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     r = records
     if status == "open":
@@ -80,10 +80,10 @@ def event_window(records: DataFrame, *, as_of=None, days: int | None = 30,
     return r.drop("_last")
 
 
-def quake_window(records: DataFrame, *, start=None, end=None, min_magnitude: float | None = 4.5,
-                 limit: int | None = 500) -> DataFrame:
+def quake_window(records: DataFrame, *, start=None, end=None, min_magnitude: float | None = None,
+                 limit: int | None = None) -> DataFrame:
     """Quakes between ``start`` and ``end`` with magnitude at least
-    ``min_magnitude``, newest first, at most ``limit`` (TakeOrdered)."""
+    ``min_magnitude``; with a ``limit``, the newest so many."""
     t = F.timestamp_millis(F.col("properties.time"))
     r = records
     if start is not None:
@@ -108,8 +108,9 @@ def read_lake(spark: SparkSession, base: str, source: str, schema: T.StructType,
     ``hours`` range ('YYYY-MM-DD HH' bounds) prune directories. Lines are
     parsed with the explicit ``schema``; the result also carries
     ``_raw`` (line text), ``_corrupt`` (true when the line is not a JSON
-    object), ``_file`` and ``_ingested_at`` (file time) for deterministic
-    "latest" ordering. A missing lake returns an empty frame (S9).
+    object), ``_file`` and ``_ingested_at``: the hour under which the line
+    was landed (K9), so that rewriting files (``compact``) changes no
+    "latest" row. A missing lake returns an empty frame (S9).
     """
     try:
         raw = spark.read.option("basePath", base).text(base)
@@ -126,13 +127,20 @@ def read_lake(spark: SparkSession, base: str, source: str, schema: T.StructType,
     return parse_records(raw.select(
         F.col("value").alias("_raw"),
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_ingested_at")), schema)
+        F.make_timestamp(*[F.col(c).cast("int") for c in ("year", "month", "day", "hour")], F.lit(0), F.lit(0)).alias("_ingested_at")), schema)
 
 
-def parse_records(df: DataFrame, schema: T.StructType, raw_col: str = "_raw") -> DataFrame:
+def corrupt_lines(feed: DataFrame) -> DataFrame:
+    """T5: the lines of a parsed feed that hold no JSON object, for the
+    quarantine table: source file, landing hour and text."""
+    return feed.filter("_corrupt").select(F.col("_file").alias("file"), F.col("_ingested_at").alias("ingested_at"), F.col("_raw").alias("line"))
+
+
+def parse_records(df: DataFrame, schema: T.StructType, raw_col: str = "_raw",
+                  partitions: int | None = None) -> DataFrame:
     """Parse JSON lines with a fixed schema (PERMISSIVE: a wrong-typed field
     becomes NULL, a malformed line becomes an all-NULL record, M8)."""
-    df = spread(df)
+    df = spread(df, partitions)
     parsed = F.from_json(F.col(raw_col), schema)
     corrupt = F.try_parse_json(F.col(raw_col)).isNull() | ~F.startswith(
         F.ltrim(F.col(raw_col)), F.lit("{"))

@@ -45,8 +45,26 @@ def test_losers_complement(spark):
     assert win.join(los, ["k", "o"]).count() == 0
 
 
-def test_latest_hot_key_plan_has_partial_aggregate(spark):
-    df = spark.range(0, 10000).select(F.lit(1).alias("k"), F.col("id").alias("o"))
-    plan = D.latest(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
-    assert D.latest(df, ["k"], ["o"]).first().o == 9999
+def test_latest_hot_key_is_limited_before_the_shuffle(spark):
+    df = spark.range(0, 10000).select((F.col("id") % 1).alias("k"), F.col("id").alias("o"), F.lit("x").alias("unused"))
+    out = D.latest(df, ["k"], ["o"], total=True).select("k", "o")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert out.first().o == 9999
+
+
+def test_latest_reads_only_the_needed_columns(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    out = D.latest(d, ["event_id"], ["ts", "user_id"], total=True).groupBy("ts").count()
+    schema = [x for x in out._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1:]][0].split(">")[0]
+    assert "props" not in schema and "value" not in schema
+
+
+def test_split_latest_loses_no_row(spark):
+    rows = [("a", 1, None), ("a", 1, None), ("a", 1, "x"), ("a", None, "y"), (None, 1, "z"), (None, 1, "z"), ("b", 2, "w")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    for order in (["o"], [], ["o", "v"], [F.col("o")]):
+        win, lose = D.split_latest(df, ["k"], order)
+        key = lambda r: tuple(map(str, r))
+        assert sorted([*map(key, win.collect()), *map(key, lose.collect())]) == sorted(map(key, rows))
+        assert sorted(str(r.k) for r in win.collect()) == ["None", "a", "b"]

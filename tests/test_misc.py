@@ -17,7 +17,7 @@ def test_compact_keeps_every_line(spark, tmp_dir):
         (F.col("id") % 3).cast("string").alias("hour"))
     rows.repartition(20).write.partitionBy(*LK.PARTS).text(lake)
     out = os.path.join(tmp_dir, "compact")
-    LK.compact(spark, lake, out, target_files=2)
+    LK.compact(spark, lake, out, files_per_partition=2)
     before = {(r.source, r.lines) for r in LK.volumes(spark, lake).collect()}
     after = LK.volumes(spark, out).collect()
     assert {(r.source, r.lines) for r in after} == before
