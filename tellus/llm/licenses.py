@@ -26,8 +26,9 @@ from tellus.llm.common import text_or_empty
 #: Unknown sentences allowed between two identifiers of a rule.
 MAX_GAP = 2
 
-#: A sentence without any of these words is never a licence sentence.
-HINT = "licen[cs]e|copyright|permission|warrant|redistribut|liab|as is|spdx|public domain|notice"
+#: Every known sentence has one of these words; a text without any is not
+#: cut into sentences at all.
+HINT = "licen[cs]e|copyright|permission|warrant|redistribut|endorse|applicable|unencumbered|reserved"
 
 # Known licence sentences, by identifier, as patterns that a
 # whole normalised sentence has to match. The first that matches counts.
