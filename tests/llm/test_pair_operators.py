@@ -1,0 +1,303 @@
+"""Nearest neighbours, repeated substrings and near duplicates."""
+
+import collections
+import hashlib
+import random
+import re
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tellus.llm import components, hnsw, queries, simhash, suffixes
+from tests.llm.helpers import LONG, empty, odd, prose, rows, write
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    return write(spark, str(tmp_path_factory.mktemp("odd")), documents=odd(spark))
+
+
+@pytest.fixture(scope="module")
+def nothing(spark, tmp_path_factory):
+    e = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    return write(spark, str(tmp_path_factory.mktemp("none")), documents=empty(spark), embeddings=e)
+
+
+# ---------------------------------------------------------------- op3
+
+def vectors(n, dim=16, seed=0):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(12, dim)) * 3
+    return (centres[r.integers(0, 12, n)] + r.normal(size=(n, dim))).astype(np.float32)
+
+
+def brute(x, ids, q, own, k=10):
+    best = {}
+    for d, i in zip(np.sqrt(((x.astype(float) - q.astype(float)) ** 2).sum(1)), ids):
+        if i != own:
+            best[i] = min(d, best.get(i, np.inf))
+    return sorted((d, i) for i, d in best.items())[:k]
+
+
+def test_recall_and_exact_scores_over_shards(spark):
+    x = vectors(3000)
+    ids = list(range(3000))
+    d = spark.createDataFrame(pd.DataFrame({"vec_id": ids, "embedding": [v.tolist() for v in x]}), "vec_id long, embedding array<float>")
+    shards = hnsw.index(d, shard_rows=700)
+    assert shards.count() >= 4
+    got = collections.defaultdict(list)
+    for r in hnsw.search(shards, d.filter("vec_id % 50 = 0"), block_rows=16).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert len(got) == 60
+    hits = 0
+    for q, found in got.items():
+        found.sort()
+        expect = brute(x, ids, x[q], q)
+        assert [f[0] for f in found] == list(range(1, 11))
+        for _, i, s in found:
+            assert s == pytest.approx(float(np.sqrt(((x[i].astype(float) - x[q].astype(float)) ** 2).sum())), abs=1e-12)
+        hits += len({i for _, i in expect} & {f[1] for f in found})
+    assert hits / 600 >= 0.95
+
+
+def test_op3_odd_vectors(spark, tmp_path, nothing):
+    nan, inf = float("nan"), float("inf")
+    same = [1.0, 2.0, 3.0]
+    data = [(0, same), (100, same), *[(i, same) for i in range(1, 60)], (200, [1.0, 2.0, 4.0]), (200, [1.0, 2.0, 3.5]), (201, [9.0, 9.0, 9.0]),
+            (300, None), (301, [nan, 1.0, 1.0]), (302, [inf, 0.0, 0.0]), (303, [0.0, 0.0, 0.0]), (304, []), (305, [1.0, None, 2.0]), (None, same),
+            (400, [1.0, 1.0]), (401, [2.0, 2.0]), (100, same)]
+    d = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("shard", F.lit("x")).withColumn("dim", F.lit(0))
+    f = write(spark, str(tmp_path), embeddings=d)
+    got = collections.defaultdict(list)
+    for r in queries.op3_hnsw_search(spark, f).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, round(r.score, 9)))
+    assert set(got) == {0, 100, 200, 400}
+    assert got[0] == [(i, 0.0) for i in range(1, 11)] and got[100] == [(i, 0.0) for i in range(10)]
+    assert got[400] == [(401, round(2 ** 0.5, 9))]
+    assert len(got[200]) == 10 and len({i for i, _ in got[200]}) == 10
+    assert queries.op3_hnsw_search(spark, nothing).count() == 0
+
+
+# ---------------------------------------------------------------- op4
+
+def covered(texts, length=400):
+    """Bytes covered by a string of ``length`` that starts twice, per text."""
+    count = collections.Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        c = np.zeros(len(t) + 1, int)
+        for i in range(len(t) - length + 1):
+            if count[t[i:i + length]] > 1:
+                c[i:i + length] = 1
+        out.append(c[:len(t)].astype(bool))
+    return out
+
+
+def expected(texts, length=400):
+    out = []
+    for t, c in zip(texts, covered(texts, length)):
+        kept = bytes(np.frombuffer(t, np.uint8)[~c])
+        out.append((len(t), int(c.sum()), int((np.diff(np.concatenate([[0], c.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_op4_on_odd_rows(spark, folder, nothing):
+    got = queries.op4_suffix_dedup(spark, folder).collect()
+    small = [r for r in rows()]
+    expect = expected([(r[1] or "").encode() if r[0] != 9 else b"" for r in small])
+    for (r, e) in zip(small, expect):
+        if r[0] in (9, None, 10):
+            continue
+        x, = [g for g in got if g.doc_id == r[0]]
+        assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == e, r[0]
+    both = [g for g in got if g.doc_id == 10]
+    assert len(both) == 2 and all(g.n_removed == g.n_bytes for g in both)  # copies, of doc 2 as well
+    assert len([g for g in got if g.doc_id is None]) == 2 and len(got) == len(small)
+    assert queries.op4_suffix_dedup(spark, nothing).count() == 0
+
+
+def passages(seed):
+    """Texts that share passages of many lengths around the limit, at many
+    offsets, inside one text too, with runs of one byte and periods."""
+    r = random.Random(seed)
+    shared = [prose(1000 + i, 200)[:n] for i, n in enumerate([399, 400, 401, 420, 800, 1000])]
+    out = []
+    for i in range(40):
+        t = prose(seed * 100 + i, r.randint(5, 60))
+        for p in r.sample(shared, r.randint(0, 3)):
+            a = r.randint(0, 30)
+            t += f" {i}{r.random()} " + p[a if r.random() < .3 else 0:]
+        out.append(t)
+    out += ["x" * 900, "ab" * 500, "é" * 450, "", "short", out[0], "y" * 400, "y" * 401, out[3] + out[3]]
+    return out
+
+
+@pytest.mark.parametrize("seed,group", [(1, 1024), (2, 1), (3, 1024)])
+def test_repeats_against_brute_force(spark, seed, group):
+    texts = passages(seed)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).withColumn("t1", F.lit("clash"))
+    got = {r.doc_id: r.out for r in suffixes.remove_repeats(d, result="out", group=group).collect()}
+    for i, e in enumerate(expected([t.encode() for t in texts])):
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) == e, (i, texts[i][:50])
+
+
+def test_scan_in_parts_gives_the_same_windows(monkeypatch):
+    monkeypatch.setattr(suffixes, "PART", 700)
+    texts = [t.encode() for t in passages(4)]
+    seen = collections.Counter()
+    for group in suffixes._parts(texts, 400, 700):
+        data = b"".join(g[2] for g in group)
+        ends = np.cumsum([len(g[2]) for g in group])
+        first, last, _ = suffixes.segments(np.frombuffer(data, np.uint8), ends)
+        for a, b in zip(first, last):
+            k = int(np.searchsorted(ends, a, "right"))
+            for p in range(a, b + 1):
+                seen[group[k][0], group[k][1] + p - (ends[k] - len(group[k][2]))] += 1
+    assert seen == collections.Counter({(i, p): 1 for i, t in enumerate(texts) for p in range(len(t) - 399)})
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_suffix_sort_orders_and_survives_collisions(weak):
+    """With all bytes hashed alike every comparison collides."""
+    r = random.Random(7)
+    base = "".join(r.choice("ab") for _ in range(90))
+    data = np.frombuffer((base + base[:40] + "".join(r.choice("ab") for _ in range(200)) + base).encode(), np.uint8)
+    values = np.ones(256, np.uint64) if weak else suffixes._values()
+    s = suffixes.SuffixSort(data, 12, values)
+    start = np.array(r.sample(range(len(data) - 12), 200))
+    group = np.sort(np.array([r.randint(0, 3) for _ in start]))
+    text = data.tobytes()
+    if not weak:
+        order = s.sort(start, group)
+        assert [(group[i], text[start[i]:start[i] + 12]) for i in order] == sorted((g, text[p:p + 12]) for g, p in zip(group, start))
+        x, y = start[:100], start[100:]
+        for a, b, n in zip(x, y, s.extension(x, y)):
+            m = next((i for i in range(12) if text[a + i] != text[b + i]), 12)
+            assert n == m
+    count = collections.Counter((g, text[p:p + 12]) for g, p in zip(group, start))
+    assert s.repeated(start, group).tolist() == [count[g, text[p:p + 12]] > 1 for g, p in zip(group, start)]
+
+
+def test_cut_texts_stay_valid(spark):
+    p = "éàü" * 200
+    d = spark.createDataFrame([(1, "aé" + p + "z", 5, "k"), (2, "b€" + p, 6, None), (3, None, None, "n"), (4, "plain", 5, "p")],
+                              "doc_id long, text string, n_chars long, _repeats string")
+    got = {r.doc_id: r for r in suffixes.remove_from_texts(d).collect()}
+    assert got[3].text is None and got[3].n_chars is None and got[4].text == "plain" and got[4].n_chars == 5
+    assert got[1].text == "aéz" or len(got[1].text) < 10
+    assert got[1].n_chars == len(got[1].text) and got[1]._repeats == "k"
+
+
+# ---------------------------------------------------------------- op6
+
+def brute_fingerprint(text):
+    w = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(b" ".join(w[i:i + 3]), 42) for i in range(max(1, len(w) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(items):
+    """(id, fingerprint) -> smallest id reachable over 3 or fewer bits."""
+    out, todo = {}, list(range(len(items)))
+    while todo:
+        group, edge = [], [todo.pop(0)]
+        while edge:
+            i = edge.pop()
+            group.append(i)
+            near = [j for j in todo if (items[i][1] ^ items[j][1]).bit_count() <= 3]
+            edge += near
+            todo = [j for j in todo if j not in near]
+        ids = [items[i][0] for i in group if items[i][0] is not None]
+        for i in group:
+            out[i] = min(ids) if ids else None
+    return out
+
+
+def test_golay_decodes_within_three_errors():
+    check, fix = simhash.golay()
+    assert len(set(np.flatnonzero(fix >= 0))) == 2048
+    r = random.Random(1)
+    for _ in range(300):
+        i = r.randrange(4096)
+        w = i << 11 | int(check[i])
+        for b in r.sample(range(23), r.randint(0, 3)):
+            w ^= 1 << b
+        assert simhash.decode(np.array([w]))[0] == i
+
+
+def test_keys_meet_for_every_three_bits():
+    r = random.Random(2)
+    a = np.array([r.getrandbits(64) for _ in range(3000)], np.uint64)
+    b = np.array([x ^ np.uint64(sum(1 << i for i in r.sample(range(64), r.randint(0, 3)))) for x in a], np.uint64)
+    row, key = simhash.searched_keys(a.view(np.int64))
+    looked = collections.defaultdict(set)
+    for i, k in zip(row, key):
+        looked[i].add(k)
+    filed = simhash.filed_keys(b.view(np.int64))
+    assert all(looked[i] & set(filed[i]) for i in range(len(a)))
+
+
+def test_op6_on_odd_rows(spark, folder, nothing):
+    got = queries.op6_simhash_golay(spark, folder).collect()
+    items = [(r[0], brute_fingerprint(r[1] or "")) for r in rows()]
+    group = brute_components(items)
+    s = lambda x: sorted(map(str, x))
+    assert s((r.doc_id, r.fingerprint, r.component_id) for r in got) == s((i, f"{f:016x}", group[k]) for k, (i, f) in enumerate(items))
+    assert queries.op6_simhash_golay(spark, nothing).count() == 0
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_links_and_components_against_brute_force(spark, block):
+    """Clouds of fingerprints around few centres; block 3 makes every bucket hot."""
+    r = random.Random(block)
+    centres = [r.getrandbits(64) for _ in range(6)]
+    f = list({c ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 5))) for c in centres for _ in range(40)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in f]
+    d = spark.createDataFrame([(x,) for x in signed], "fp long")
+    root = {x.fp: x.root for x in simhash.roots(d, block).collect()}
+    group = brute_components(list(zip(signed, f)))
+    by = collections.defaultdict(set)
+    for i, x in enumerate(signed):
+        by[group[i]].add(root[x])
+    assert len(root) == len(f) and all(len(v) == 1 for v in by.values()) and len({min(v) for v in by.values()}) == len(by)
+    if block > 100:
+        links = {(x.a, x.b) for x in simhash.links(d, block).distinct().collect()}
+        expect = {(a, b) for i, a in enumerate(signed) for j, b in enumerate(signed) if a < b and (f[i] ^ f[j]).bit_count() <= 3}
+        assert links == expect
+
+
+def test_components_of_a_path_and_a_star(spark):
+    e = [(i, i + 1) for i in range(1, 60)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(e, "a long, b long")).collect()}
+    assert all(got[i] == 1 for i in range(1, 61)) and all(got[i] == 1000 for i in range(1000, 1100)) and len(got) == 160
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_of_each_group(spark):
+    d = odd(spark)
+    kept = simhash.keep_one(d)
+    assert kept.columns == d.columns
+    items = [(r[0], brute_fingerprint(r[1] or "")) for r in rows()]
+    group = brute_components(items)
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(map(str, ids)) == sorted(str(x) for x in set(group.values()))
+    assert simhash.keep_one(empty(spark)).count() == 0
+
+
+def test_a_third_of_the_rows_are_copies(spark):
+    d = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, prose(1)).otherwise(
+        F.concat(F.lit(prose(2, 30)), F.lit(" "), F.sha2(F.col("id").cast("string"), 256), F.lit(" "), F.sha2((F.col("id") * 7).cast("string"), 256))).alias("text"))
+    got = simhash.near_duplicates(d).filter("doc_id % 3 = 0").select("component_id").distinct().collect()
+    assert [r.component_id for r in got] == [0]
+    out = suffixes.remove_repeats(d).select("doc_id", "result.*").filter("doc_id % 3 = 0").select("n_bytes", "n_removed").distinct().collect()
+    assert len(out) == 1 and out[0].n_bytes == out[0].n_removed
+
+
+def test_long_text_is_one_fingerprint():
+    assert simhash.simhash(LONG) == brute_fingerprint(LONG)
