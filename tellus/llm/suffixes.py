@@ -18,8 +18,12 @@ anywhere else (the same text included) is removed. Matches never cross texts.
    repeats; their bytes are compared, and after a hash collision the group is
    sorted again by the bytes themselves.
 4. An anchor with over ``GROUP`` different segments would make one task too
-   large. Its windows are counted by their digests instead, with a combine
-   before the shuffle, which is exact for any number of them.
+   large. Its segments are cut into blocks of ``BLOCK`` windows, and blocks
+   are counted by the digests of their bytes and of the bytes that all their
+   windows have in common: equal blocks are repeats, a block whose common
+   bytes are its own has none, and of the others the windows are counted by
+   their digests. All counts combine before the shuffle, so any number of
+   segments will do.
 
 Texts are known by a 128-bit hash, so copies are sorted once and repeated
 rows or null ids do no harm.
@@ -46,6 +50,8 @@ LENGTH = 400
 GRAM = 64
 #: Different segments of one anchor up to which they are sorted in one task.
 GROUP = 1024
+#: Windows of a block of a segment whose anchor is beyond that.
+BLOCK = 16
 #: Segments sorted in one call, about.
 SORT_ROWS = 4096
 #: Bytes scanned at a time; a longer text is scanned in parts that overlap.
@@ -320,24 +326,67 @@ def _places(f: pd.DataFrame, length: int, gram: int) -> np.ndarray:
     return same.argmax(1).astype(np.int32)
 
 
+_BLOCK_SQL = "anchor long, block int, c1 long, c2 long, p1 long, p2 long, t1 long, t2 long, s long, first int, windows int"
+
+
+def _block_digests(length: int, size: int) -> object:
+    """Blocks of windows at neighbouring offsets from the anchor: a digest of
+    the bytes that all windows of such a block share (``c``), and one of the
+    offsets and all bytes of those that the segment has (``p``)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows, core, piece = [], [], []
+            for anchor, place, t1, t2, s, n, raw in zip(*(b[c] for c in ("anchor", "place", "t1", "t2", "s", "windows", "bytes"))):
+                for k in range((place - n + 1) // size, place // size + 1):
+                    first, last = max(0, place - k * size - size + 1), min(n - 1, place - k * size)
+                    at = place - k * size
+                    core.append(raw[at:at + length - size + 1])
+                    piece.append(b"%d %d " % (place - first, place - last) + raw[first:last + length])
+                    rows.append((anchor, k, t1, t2, s, first, last - first + 1))
+            f = pd.DataFrame(rows, columns=["anchor", "block", "t1", "t2", "s", "first", "windows"])
+            c, p = _digests(core), _digests(piece)
+            f["c1"], f["c2"], f["p1"], f["p2"] = c[:, 0], c[:, 1], p[:, 0], p[:, 1]
+            yield f[[x.split()[0] for x in _BLOCK_SQL.split(", ")]]
+    return run
+
+
 def _window_digests(length: int) -> object:
+    """A digest of each window of the asked runs (``asked``: first, windows)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for i in range(0, len(b), 256):
-                f = b.iloc[i:i + 256]
-                chunks, rows = [], []
-                for r, (raw, n) in enumerate(zip(f["bytes"], f["windows"])):
-                    view = memoryview(raw)
-                    chunks += [view[k:k + length] for k in range(n)]
-                    rows += [r] * n
-                d, rows = _digests(chunks), np.array(rows)
-                count = f["windows"].to_numpy(np.int64)
-                nth = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
-                yield pd.DataFrame({"d1": d[:, 0], "d2": d[:, 1]} | {c: f[c].to_numpy()[rows] for c in ("t1", "t2")}
-                                   | {"p": f["s"].to_numpy()[rows] + nth})
+            rows, chunks = [], []
+            for t1, t2, s, raw, asked in zip(*(b[c] for c in ("t1", "t2", "s", "bytes", "asked"))):
+                for r in asked:
+                    for k in range(r["first"], r["first"] + r["windows"]):
+                        chunks.append(raw[k:k + length])
+                        rows.append((t1, t2, s + k))
+            d = _digests(chunks)
+            f = pd.DataFrame(rows, columns=["t1", "t2", "p"], dtype="int64")
+            f["d1"], f["d2"] = d[:, 0], d[:, 1]
+            yield f[["d1", "d2", "t1", "t2", "p"]]
     return run
 
 
+def _hot_spans(hot: DataFrame, length: int, size: int = BLOCK) -> DataFrame:
+    """Repeated ranges among the segments of anchors that have very many."""
+    blocks = written(hot.mapInPandas(_block_digests(length, size), _BLOCK_SQL), "blocks")
+    core, own = ["anchor", "block", "c1", "c2"], ["anchor", "block", "c1", "c2", "p1", "p2"]
+    pieces = blocks.groupBy(*own).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("t1", "t2", "s", "first", "windows")])
+    pieces = written(pieces, "pieces")
+    start = F.col("s") + F.col("first")
+    equal = blocks.join(pieces.filter("n > 1").select(*own), own).select(
+        "t1", "t2", start.alias("start"), (start + F.col("windows") - 1 + length).alias("stop"))
+    mixed = pieces.groupBy(*core).agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
+    mixed = pieces.join(mixed.filter("kinds > 1 AND single > 0").select(*core), core)
+    asked = mixed.groupBy("t1", "t2", "s").agg(F.collect_list(F.struct("first", "windows")).alias("asked"))
+    found = hot.join(asked, ["t1", "t2", "s"]).mapInPandas(_window_digests(length), "d1 long, d2 long, t1 long, t2 long, p long")
+    found = written(found, "windows")
+    twice = found.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2")
+    runs = found.join(twice, ["d1", "d2"]).groupBy("t1", "t2").agg(F.collect_list("p").alias("p"))
+    runs = runs.select("t1", "t2", F.explode(_merged(F.col("p"), length)).alias("r"))
+    return equal.unionByName(runs.select("t1", "t2", "r.start", "r.stop"))
+
+
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int | None = None, group: int = GROUP) -> DataFrame:
     """(t1, t2, start, stop): byte ranges of texts that repeated strings
     cover; they may overlap. A text is known by the hashes of ``keyed``."""
@@ -364,10 +413,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         lambda f: sort_segments(f, length), "t1 long, t2 long, start long, stop long")
     out = whole.unionByName(sort)
     if sizes["hot"]:
-        digests = written(fetched.filter("hot").mapInPandas(_window_digests(length), "d1 long, d2 long, t1 long, t2 long, p long"), "windows")
-        more = digests.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1")
-        more = digests.join(more, ["d1", "d2"]).groupBy("t1", "t2").agg(F.collect_list("p").alias("p"))
-        out = out.unionByName(more.select("t1", "t2", F.explode(_merged(F.col("p"), length)).alias("r")).select("t1", "t2", "r.start", "r.stop"))
+        out = out.unionByName(_hot_spans(fetched.filter("hot"), length))
     return out
 
 
