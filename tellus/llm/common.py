@@ -38,6 +38,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever signs their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def text_or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import fresh, small_batches, text_or_empty, written
+from tellus.llm.common import columns, fresh, small_batches, text_or_empty, written
 
 LENGTH = 400
 GRAM = 64
@@ -465,7 +465,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", result: str = "resul
     d = docs.withColumn(a, k1).withColumn(b, k2)
     d = d.join(spans.select(F.col("t1").alias(a), F.col("t2").alias(b), F.col("spans").alias(s)), [a, b], "left")
     cut = pandas_udf(_cut, "n_bytes long, n_removed long, n_spans long, kept binary")
-    return d.select(*docs.columns, cut(text_or_empty(F.col(text_col)), F.col(s)).alias(result))
+    return d.select(*columns(docs), cut(text_or_empty(F.col(text_col)), F.col(s)).alias(result))
 
 
 def remove_from_texts(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
@@ -478,7 +478,7 @@ def remove_from_texts(docs: DataFrame, text_col: str = "text", chars_col: str |
     if chars_col and chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
         d = d.withColumn(chars_col, F.when(F.col(r)["n_removed"] == 0, F.col(chars_col)).otherwise(F.length(text_col).cast(kind)))
-    return d.select(*docs.columns)
+    return d.select(*columns(docs))
 
 
 def _valid(raw: pd.Series) -> pd.Series:

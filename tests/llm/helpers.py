@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Names that operators use for columns of their own.
 CLASHES = ["_row", "_fp", "fp", "row", "root", "key", "t1", "t2", "_t1", "_t2", "_spans", "spans", "ids", "length", "piece", "start",
-           "_language", "_toxic", "_repeats", "result", "anchor", "score", "label", "node", "k", "n", "r", "h", "id", "offset", "sequence_id"]
+           "_language", "_toxic", "_repeats", "result", "anchor", "score", "label", "node", "k", "n", "r", "h", "id", "offset", "sequence_id", "a.b", "a b"]
 
 WORDS = "the of and to in that is was for it with as his on be at by had not are but from or have an they which one you were".split()
 
