@@ -29,7 +29,7 @@ from tellus.schemas import INGESTED_AT
 
 DEFAULT_ORDER = ("impute", "delete", "correct")
 # Order in which "keep the latest row" breaks ties after _ingested_at.
-TIE_BREAK = ("_file", "_pos")
+TIE_BREAK = ("_seq", "_rec", "_pos")
 
 
 def _count_if(df: DataFrame, named: Mapping[str, Column]) -> DataFrame:
