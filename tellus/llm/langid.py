@@ -45,7 +45,8 @@ SIDE_BY_SIDE = 4096
 SIDE_CHARS = 8_000_000
 UNKNOWN = "und"
 #: Phrases per character from which a text counts as none of the languages.
-REJECT_RATE = 0.75
+#: A text of a few letters can't tell, so its length counts as ``FEW`` at least.
+REJECT_RATE, FEW = 0.75, 20
 
 _LETTER = regex.compile(r"\p{L}")
 _MARKED = regex.compile(r"[\p{L}\p{M}]")
@@ -165,7 +166,7 @@ class Model:
             best = n.argmin(1)
             inverse = 1.0 / n
             score[at] = inverse.max(1) / inverse.sum(1)
-            rate[at] = n.min(1) / np.array([len(c) for c in codes])
+            rate[at] = n.min(1) / np.maximum(FEW, [len(c) for c in codes])
             for i, b in zip(at, best):
                 langs[i] = self.languages[b]
         return langs, score, rate

@@ -77,6 +77,8 @@ def test_op7_on_odd_rows(spark, folder, nothing):
     assert queries.op7_cross_parsing(spark, nothing).count() == 0
     none = write(spark, nothing + "-nolang", documents=odd(spark).withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in queries.op7_cross_parsing(spark, none).collect()} == {"und"}
+    short = langid.Model({"en": prose(1)}).predict(["Q", "qx", "zqxj" * 30])
+    assert short[2][0] < langid.REJECT_RATE and short[2][1] < langid.REJECT_RATE <= short[2][2]
     kept = langid.keep_known(odd(spark))
     assert kept.columns == odd(spark).columns and not {4, 5, 6, 7} & {r.doc_id for r in kept.collect()}
 
