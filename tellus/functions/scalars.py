@@ -40,10 +40,6 @@ def day_of(c) -> Column:
     return F.to_date(F.date_trunc("day", col(c).cast("timestamp")))
 
 
-def minute_of(c) -> Column:
-    return F.date_trunc("minute", col(c).cast("timestamp"))
-
-
 def epoch_seconds(c) -> Column:
     """Whole seconds since the epoch (sub-seconds truncated, M12)."""
     return F.unix_timestamp(col(c).cast("timestamp"))
@@ -54,11 +50,6 @@ def seconds_between(t1, t2) -> Column:
     return epoch_seconds(t2) - epoch_seconds(t1)
 
 
-def hours_between(t1, t2) -> Column:
-    """Signed hours t2 - t1 on whole seconds, double divisor."""
-    return seconds_between(t1, t2) / F.lit(3600.0)
-
-
 def parse_ts(c) -> Column:
     """Text -> timestamp, unparsable -> NULL (ANSI-safe)."""
     return F.try_to_timestamp(col(c))

@@ -33,13 +33,9 @@ def _clean_load(spark, a) -> None:
     qk = FD.read_lake(spark, a.lake, a.quake_source, SC.QUAKE_RECORD)
     tables = PL.run(ev, qk, max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
     tables["quarantine.line"] = FD.corrupt_lines(ev).unionByName(FD.corrupt_lines(qk))
-    for name, df in tables.items():
-        if name.startswith("staging."):
-            K.write_snapshot(df, f"{a.out}/staging", name.split(".", 1)[1])
-        elif name.startswith("quarantine."):
-            K.write_snapshot(df, f"{a.out}/quarantine", name.split(".", 1)[1])
-        else:
-            K.write_snapshot(df, f"{a.out}/public", name)
+    for part in ("staging", "quarantine", "public"):
+        own = {n.split(".", 1)[-1]: df for n, df in tables.items() if (n.split(".", 1)[0] if "." in n else "public") == part}
+        K.write_tables(own, f"{a.out}/{part}")
 
 
 def _sync(spark, a) -> None:
@@ -57,7 +53,8 @@ def _audit(spark, a) -> None:
     public = None
     if a.with_public:
         public = {n: K.read_snapshot(spark, f"{a.tables}/public", n) for n in STAGING}
-    _, repaired, changes = quality_run(staging, public, as_of=a.as_of, report_path=a.report)
+    _, repaired, changes = quality_run(staging, public, as_of=a.as_of, report_path=a.report,
+                                       materialize=lambda name, df: K.materialize(spark, df, name))
     for n, df in repaired.items():
         K.write_snapshot(df, f"{a.tables}/staging", n)
     if a.changes:

@@ -53,12 +53,6 @@ def restrict(candidates: DataFrame, child: DataFrame, parent_key, child_key) ->
     return candidates.join(child, cond, "left_anti")
 
 
-def split_by_parent(child: DataFrame, parent: DataFrame, child_key, parent_key):
-    """(accepted, rejected) by foreign-key existence."""
-    return (with_parent(child, parent, child_key, parent_key),
-            orphans(child, parent, child_key, parent_key))
-
-
 def before_first_child(parent: DataFrame, child: DataFrame, *, parent_key: str,
                        parent_ts: str, child_key: str, child_ts: str,
                        child_ts_is_text: bool = True) -> DataFrame:

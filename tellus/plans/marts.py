@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tellus.functions import predicates as P
 from tellus.functions import scalars as S
+from tellus.operators import aggregates as A
 from tellus.operators.aggregates import table_counts
 
 
@@ -24,12 +25,12 @@ def open_count(event: DataFrame, closed: str = "closed", name: str = "open_event
 
 def row_count(df: DataFrame, name: str = "quake_count") -> DataFrame:
     """Q02 / Q04."""
-    return df.agg(F.count(F.lit(1)).alias(name))
+    return A.count_rows(df, name)
 
 
 def max_value(df: DataFrame, c: str = "magnitude", name: str = "max_magnitude") -> DataFrame:
     """Q03."""
-    return df.agg(F.max(c).alias(name))
+    return A.max_of(df, c, name)
 
 
 def count_by_title(link: DataFrame, dim: DataFrame, *, link_key: str = "category_id",
@@ -53,19 +54,14 @@ def count_by_title(link: DataFrame, dim: DataFrame, *, link_key: str = "category
 def band_counts(df: DataFrame, c: str = "magnitude", label: str = "band",
                 name: str = "quake_count") -> DataFrame:
     """Q06: integer bands ``'4 - 5'`` of a value, NULLs excluded."""
-    f = F.floor(F.col(c))
-    return (df.filter(F.col(c).isNotNull())
-              .groupBy(f.alias("_floor")).agg(F.count(F.lit(1)).alias(name))
-              .orderBy("_floor")
-              .select(F.concat_ws(" - ", F.col("_floor").cast("string"),
-                                  (F.col("_floor") + 1).cast("string")).alias(label), name))
+    per = A.count_by(df.filter(F.col(c).isNotNull()), [F.floor(F.col(c)).alias("_floor")], name)
+    return per.orderBy("_floor").select(S.band_label("_floor").alias(label), name)
 
 
 def daily_counts(df: DataFrame, ts: str = "time", label: str = "day",
                  name: str = "quake_count") -> DataFrame:
     """Q07: rows per calendar day (no gap filling)."""
-    return (df.groupBy(S.day_of(ts).alias(label)).agg(F.count(F.lit(1)).alias(name))
-              .orderBy(F.col(label).asc_nulls_last()))
+    return A.count_by(df, [S.day_of(ts).alias(label)], name).orderBy(F.col(label).asc_nulls_last())
 
 
 def above_threshold(df: DataFrame, c: str = "magnitude", threshold: float = 5.0,
@@ -119,12 +115,6 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return table_counts(tables)
 
 
-def trace(quake: DataFrame, matches: DataFrame, record_id, key: str = "id",
-          match_key: str = "earthquake_id"):
-    """Q21: one record and its matches (point lookups, pushed to the scan)."""
-    return quake.filter(F.col(key) == record_id), matches.filter(F.col(match_key) == record_id)
-
-
 def raw_vs_clean(raw: DataFrame, clean: DataFrame, *, source: str = "source") -> DataFrame:
     """Q22: raw lines per source against clean rows per source.
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tellus.functions import predicates as P
 from tellus.functions import scalars as S
-from tellus.operators.aggregates import duplicate_surplus
+from tellus.operators.aggregates import conditional_counts, duplicate_surplus
 from tellus.operators.dedup import dedup_keys, latest
 from tellus.operators.referential import with_all_parents, with_parent
 from tellus.schemas import INGESTED_AT
@@ -33,10 +33,8 @@ TIE_BREAK = ("_seq", "_rec", "_pos")
 
 
 def _count_if(df: DataFrame, named: Mapping[str, Column]) -> DataFrame:
-    aggs = [F.count_if(F.coalesce(c, F.lit(False))).cast("long").alias(n) for n, c in named.items()]
-    wide = df.agg(*aggs)
-    pairs = ", ".join(f"'{n}', `{n}`" for n in named)
-    return wide.selectExpr(f"stack({len(named)}, {pairs}) AS (rule_id, changed_rows)")
+    """Rows of ``df`` that each rule changes, in one scan."""
+    return conditional_counts(df, named).select(F.col("name").alias("rule_id"), F.col("failing_rows").alias("changed_rows"))
 
 
 def _tag(df: DataFrame, action: str, table: str) -> DataFrame:

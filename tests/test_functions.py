@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tellus.functions import predicates as P
 from tellus.functions import scalars as S
 
@@ -54,13 +52,6 @@ def test_haversine_known_distance(spark):
     assert abs(r[1] - 22.24) < 0.01
 
 
-def test_hours_between_whole_seconds(spark):
-    df = spark.createDataFrame([("2026-01-01 00:00:00.900", "2026-01-01 01:00:00.100")],
-                               "a string, b string").select(
-        F.col("a").cast("timestamp").alias("a"), F.col("b").cast("timestamp").alias("b"))
-    assert df.select(S.hours_between("a", "b")).first()[0] == 1.0
-
-
 def test_fail_rate(spark):
     df = spark.createDataFrame([(0, 0), (1, 3), (2, 2)], "f long, t long")
     assert [r[0] for r in df.select(S.fail_rate("f", "t")).collect()] == [0.0, 0.3333, 1.0]
