@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tellus.functions.predicates import URL_PATTERN, col
 
 __all__ = [
-    "EARTH_RADIUS_KM", "haversine_km", "band_label", "day_of", "minute_of",
-    "epoch_seconds", "seconds_between", "hours_between", "parse_ts",
+    "EARTH_RADIUS_KM", "haversine_km", "band_label", "day_of",
+    "epoch_seconds", "seconds_between", "parse_ts",
     "epoch_ms_to_ts", "json_double_array", "json_array_item", "canonical_json",
     "int_to_bool", "title_or_id", "add_https", "fail_rate", "exact_ratio", "typed_null",
     "element_or_null",
