@@ -29,6 +29,8 @@ from tellus.llm.common import written
 K = 10
 #: Rows of a shard, about; queries of a block, about.
 SHARD_ROWS, BLOCK_ROWS = 4096, 1024
+#: Tasks that build shards, at most: four per shard, so that few share a task.
+BUILD_TASKS = 10_000
 #: Links of a node (twice as many in the lowest layer); width of the search
 #: while building, and of the search for answers.
 LINKS, BUILD_WIDTH, SEARCH_WIDTH = 14, 72, 128
@@ -191,6 +193,7 @@ def index(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", sha
     d = _prepared(df, id_col, vec_col)
     shards = 1 + d.count() // shard_rows
     d = d.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    d = d.repartition(min(BUILD_TASKS, 4 * shards), "dim", "shard")
     return written(d.groupBy("dim", "shard").applyInPandas(_build_shard, _INDEX), "hnsw")
 
 
