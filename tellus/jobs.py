@@ -31,6 +31,8 @@ STAGING = ("event", "category", "source", "geometry", "event_category", "event_s
 def _clean_load(spark, a) -> None:
     ev = FD.read_lake(spark, a.lake, a.event_source, SC.EVENT_RECORD)
     qk = FD.read_lake(spark, a.lake, a.quake_source, SC.QUAKE_RECORD)
+    if a.require_both and not FD.is_ready(ev, qk):
+        raise SystemExit("a feed has no records yet")  # the scheduler tries again
     tables = PL.run(ev, qk, max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
     tables["quarantine.line"] = FD.corrupt_lines(ev).unionByName(FD.corrupt_lines(qk))
     for part in ("staging", "quarantine", "public"):
@@ -79,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--out", required=True)
     c.add_argument("--event-source", default="eonet")
     c.add_argument("--quake-source", default="usgs")
+    c.add_argument("--require-both", action="store_true", help="stop unless both feeds have records (S10)")
     c.add_argument("--max-km", type=float, default=500.0)
     c.add_argument("--max-hours", type=float, default=168.0)
     a = sub.add_parser("audit")

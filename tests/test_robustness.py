@@ -77,6 +77,12 @@ def test_missing_feed_leaves_empty_tables_and_the_audit_runs(spark, tmp_dir):
             assert bad == {("geometry", "geometry_shape")}
 
 
+def test_readiness_gate(spark, tmp_dir):
+    _lake(f"{tmp_dir}/lake", "eonet", [_event("e1")])
+    with pytest.raises(SystemExit):
+        main(["clean-load", "--lake", f"{tmp_dir}/lake", "--out", f"{tmp_dir}/out", "--require-both"], spark)
+
+
 def test_compaction_does_not_change_the_latest_row(spark, tmp_dir):
     lake = f"{tmp_dir}/lake"
     _lake(lake, "eonet", [_event("e1", title="old")], hour="05", name="z")
