@@ -38,7 +38,7 @@ from tellus.llm.common import small_batches, text_or_empty, written
 CAPACITY = 4096
 END_ID = 1
 #: Entries of the cache of words in a Python process; it is emptied beyond.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 #: Pieces ranked in one group, about.
 RANK_ROWS = 10_000
 #: Steps of a plan up to which it is broadcast.
