@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tellus.session import scratch_path
@@ -30,6 +33,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: a Python
+    worker lives on, and the next stage's task should find it small."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (compared without case)."""
     taken = {c.lower() for c in df.columns}

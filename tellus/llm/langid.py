@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import fresh, held_out, small_batches, text_or_empty
+from tellus.llm.common import fresh, give_back, held_out, small_batches, text_or_empty
 
 #: Bounds of the sample of each language: rows, and characters in all.
 DOCS = 40
@@ -42,7 +42,7 @@ SAMPLE_CHARS = 24_000
 ALPHABET = 255
 #: Texts parsed side by side, and characters of them, at most; one long text may exceed it.
 SIDE_BY_SIDE = 4096
-SIDE_CHARS = 8_000_000
+SIDE_CHARS = 4_000_000
 UNKNOWN = "und"
 #: Phrases per character from which a text counts as none of the languages.
 #: A text of a few letters can't tell, so its length counts as ``FEW`` at least.
@@ -211,6 +211,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
                 yield flush()
         if held:
             yield flush()
+        give_back()
     small_batches(docs.sparkSession)
     return tag(text_or_empty(F.col(text_col)))
 

@@ -26,19 +26,18 @@ import os
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import small_batches, text_or_empty, written
+from tellus.llm.common import give_back, small_batches, text_or_empty, written
 
 CAPACITY = 4096
 END_ID = 1
-#: Entries of the cache of words in a Python process; it is emptied beyond.
-CACHE_WORDS = 800_000
+#: Entries of a task's cache of words; it is emptied beyond.
+CACHE_WORDS = 500_000
 #: Pieces ranked in one group, about.
 RANK_ROWS = 10_000
 #: Steps of a plan up to which it is broadcast.
@@ -119,18 +118,15 @@ class WordEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
 def token_ids(text: Column, tokenizer_file: str, end_id: int = END_ID) -> Column:
     """Packed ids (little-endian unsigned 32-bit) of a text and the end id."""
     @pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = _encoder(tokenizer_file)
+        encode = WordEncoder(tokenizer_file)  # of this task, so its words go with it
         for texts in batches:
             yield pd.Series([np.array(encode(t) + [end_id], "<u4").tobytes() for t in texts])
+        del encode
+        give_back()
     return ids(text_or_empty(text))
 
 

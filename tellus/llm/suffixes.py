@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import columns, fresh, small_batches, text_or_empty, written
+from tellus.llm.common import columns, fresh, give_back, small_batches, text_or_empty, written
 
 LENGTH = 400
 GRAM = 64
@@ -53,9 +53,9 @@ GROUP = 1024
 #: Windows of a block of a segment whose anchor is beyond that.
 BLOCK = 16
 #: Segments sorted in one call, about.
-SORT_ROWS = 4096
+SORT_ROWS = 2048
 #: Bytes scanned at a time; a longer text is scanned in parts that overlap.
-PART = 1 << 22
+PART = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -174,6 +174,8 @@ def _scan(length: int, gram: int) -> object:
                 start = first - (ends - sizes)[k] + at[k]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(x) for x in (anchor, g[:, 0], g[:, 1], t1[row[k]], t2[row[k]], start, (last - first + 1).astype(np.int32))], schema=_SEGMENT)
+        _POWERS.clear()
+        give_back()
     return run
 
 
@@ -277,6 +279,13 @@ def sort_segments(rows: pd.DataFrame, length: int, values: np.ndarray = _VALUES)
     return _runs(rows, seg, nth, found, length)
 
 
+def _sorted_bucket(rows: pd.DataFrame, length: int) -> pd.DataFrame:
+    out = sort_segments(rows, length)
+    _POWERS.clear()
+    give_back()
+    return out
+
+
 def _runs(rows: pd.DataFrame, seg: np.ndarray, nth: np.ndarray, found: np.ndarray, length: int) -> pd.DataFrame:
     i = np.flatnonzero(found)
     new = np.ones(len(i), bool)
@@ -309,6 +318,8 @@ def _fetch(length: int, gram: int) -> object:
             f = pd.DataFrame(out, columns=["anchor", "t1", "t2", "s", "windows", "bytes", "fixed", "hot"])
             f["place"] = _places(f, length, gram) if len(f) else np.zeros(0, np.int32)
             yield f[[c.split()[0] for c in _FETCHED_SQL.split(", ")]]
+        _POWERS.clear()
+        give_back()
     return run
 
 
@@ -410,7 +421,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     sizes = fetched.agg(F.count_if(~F.col("hot")).alias("cold"), F.count_if("hot").alias("hot")).first()
     buckets = 1 + sizes["cold"] // SORT_ROWS
     sort = fetched.filter("NOT hot").groupBy(F.pmod("anchor", F.lit(buckets)).alias("bucket")).applyInPandas(
-        lambda f: sort_segments(f, length), "t1 long, t2 long, start long, stop long")
+        lambda f: _sorted_bucket(f, length), "t1 long, t2 long, start long, stop long")
     out = whole.unionByName(sort)
     if sizes["hot"]:
         out = out.unionByName(_hot_spans(fetched.filter("hot"), length))
@@ -441,30 +452,36 @@ def merge(ranges: list) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for texts, ranges in batches:
-        out = []
-        for t, r in zip(texts, ranges):
-            raw = t.encode("utf-8", "surrogatepass")
-            runs = merge(r) if r is not None else []
-            at, kept = 0, []
-            for a, b in runs:
-                kept.append(raw[at:a])
-                at = b
-            out.append((len(raw), sum(b - a for a, b in runs), len(runs), b"".join(kept) + raw[at:]))
-        yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+def _cut(as_text: bool) -> object:
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, ranges in batches:
+            out = []
+            for t, r in zip(texts, ranges):
+                raw = t.encode("utf-8", "surrogatepass")
+                runs = merge(r) if r is not None else []
+                at, kept = 0, []
+                for a, b in runs:
+                    kept.append(raw[at:a])
+                    at = b
+                left = b"".join(kept) + raw[at:]
+                out.append((len(raw), sum(b - a for a, b in runs), len(runs), left.decode("utf-8", "ignore") if as_text else left))
+            yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    return run
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", result: str = "result", length: int = LENGTH, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_col: str = "text", result: str = "result", length: int = LENGTH, group: int = GROUP,
+                   as_text: bool = False) -> DataFrame:
     """``docs`` and a struct column: n_bytes, n_removed, n_spans (maximal
-    removed runs) and kept (the bytes that are left)."""
+    removed runs) and kept (the bytes that are left; with ``as_text`` the
+    characters that are left whole)."""
     spans = repeated_spans(docs, text_col, length, group=group).distinct()
     spans = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     a, b, s = fresh(docs, "_t1"), fresh(docs, "_t2"), fresh(docs, "_spans")
     k1, k2 = keyed(docs, text_col)
     d = docs.withColumn(a, k1).withColumn(b, k2)
     d = d.join(spans.select(F.col("t1").alias(a), F.col("t2").alias(b), F.col("spans").alias(s)), [a, b], "left")
-    cut = pandas_udf(_cut, "n_bytes long, n_removed long, n_spans long, kept binary")
+    cut = pandas_udf(_cut(as_text), f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
     return d.select(*columns(docs), cut(text_or_empty(F.col(text_col)), F.col(s)).alias(result))
 
 
@@ -472,14 +489,10 @@ def remove_from_texts(docs: DataFrame, text_col: str = "text", chars_col: str |
     """``docs`` with the repeated strings cut out of the texts. A character
     that is cut in the middle goes altogether. A null text stays null."""
     r = fresh(docs, "_repeats")
-    d = remove_repeats(docs, text_col, r)
-    t = F.when(F.col(text_col).isNull() | (F.col(r)["n_removed"] == 0), F.col(text_col)).otherwise(pandas_udf(_valid, "string")(F.col(r)["kept"]))
+    d = remove_repeats(docs, text_col, r, as_text=True)
+    t = F.when(F.col(text_col).isNull() | (F.col(r)["n_removed"] == 0), F.col(text_col)).otherwise(F.col(r)["kept"])
     d = d.withColumn(text_col, t)
     if chars_col and chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
         d = d.withColumn(chars_col, F.when(F.col(r)["n_removed"] == 0, F.col(chars_col)).otherwise(F.length(text_col).cast(kind)))
     return d.select(*columns(docs))
-
-
-def _valid(raw: pd.Series) -> pd.Series:
-    return pd.Series([None if b is None else bytes(b).decode("utf-8", "ignore") for b in raw])

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import fresh, held_out, small_batches, text_or_empty
+from tellus.llm.common import fresh, give_back, held_out, small_batches, text_or_empty
 
 #: Bounds of the sample: rows of either class, characters of each.
 POSITIVES, NEGATIVES, TRAIN_CHARS = 1200, 2000, 20_000
@@ -46,10 +46,10 @@ LIFT, LEAST = 8.0, 8
 #: Words of a training sequence; marked sequences without a mark that are kept.
 SEQUENCE, PLAIN = 48, 4000
 STEPS, L2 = 120, 1e-3
-#: Words held in a process's cache of evidence; it is emptied beyond.
+#: Words of a task's cache of evidence; it is emptied beyond.
 CACHE_WORDS = 300_000
 #: Characters of texts that are tagged side by side, about.
-SIDE_CHARS = 8_000_000
+SIDE_CHARS = 4_000_000
 REJECT = 0.5
 
 _WORD = re.compile(r"\w+")
@@ -115,22 +115,19 @@ class Model:
     def __init__(self, weights: dict[str, float], bias: float, transitions: np.ndarray, beta: np.ndarray | None):
         self.weights, self.bias, self.transitions, self.beta = weights, bias, transitions, beta
 
-    def word_odds(self, texts: list[str]) -> list[np.ndarray]:
-        if not hasattr(self, "_evidence"):
-            self._evidence = _Evidence(self.weights, self.bias)
-        e = self._evidence
+    def evidence(self) -> _Evidence:
+        return _Evidence(self.weights, self.bias)
+
+    def word_odds(self, texts: list[str], e: _Evidence) -> list[np.ndarray]:
         return [np.array([e[w] for w in _WORD.findall(t)], np.float64) for t in texts]
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    def scores(self, texts: list[str], e: _Evidence | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
         if self.beta is None:
             return np.zeros(len(texts)), [np.zeros(0)] * len(texts)
-        p = marginals(self.word_odds(texts), self.transitions)
+        p = marginals(self.word_odds(texts, self.evidence() if e is None else e), self.transitions)
         x = np.array([_summary(q) for q in p]).reshape(len(texts), -1)
         return 1.0 / (1.0 + np.exp(-x @ self.beta)), p
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_evidence"}
-
 
 def spans(text: str, p: np.ndarray, least: float = 0.5) -> list[dict]:
     """Runs of words with P(toxic) of ``least`` or more: start and end in code
@@ -269,10 +266,10 @@ def tag(docs: DataFrame, model: Model, text_col: str = "text", with_spans: bool
     @pandas_udf("score double, spans array<struct<start: int, end: int, p: double>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         held: list[str] = []
-        size = 0
+        size, seen = 0, shared.value.evidence()
 
         def flush() -> pd.DataFrame:
-            score, p = shared.value.scores(held)
+            score, p = shared.value.scores(held, seen)
             found = [spans(t, q) if with_spans and len(q) and q.max() >= 0.5 else [] for t, q in zip(held, p)]
             return pd.DataFrame({"score": score, "spans": found})
         for b in batches:
@@ -283,6 +280,8 @@ def tag(docs: DataFrame, model: Model, text_col: str = "text", with_spans: bool
                 held, size = [], 0
         if held:
             yield flush()
+        held, seen = [], {}
+        give_back()
     small_batches(docs.sparkSession)
     return run(text_or_empty(F.col(text_col)))
 
