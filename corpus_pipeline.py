@@ -15,7 +15,8 @@ Defined cases, by stage:
 * near duplicates: of each component one row stays, the one with the smallest
   doc_id (a null id counts as the largest); of repeated rows any one.
 * repeated passages: rows stay, their texts lose every byte that a repeated
-  400-byte string covers, and n_chars follows; a text may become empty.
+  400-byte string or a repeated run of over 50 words covers (whatever its
+  bytes), and n_chars follows; a text may become empty.
 * packing: every row's pieces, with sequence and offset.
 
 Rows pass through whole, with any extra columns they have; an empty table
@@ -31,6 +32,10 @@ from tellus.llm import langid, packing, simhash, suffixes, toxicity
 from tellus.llm.common import table, written
 
 
+#: Words of a passage that may not repeat: over 50.
+PASSAGE_WORDS = 51
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known(docs)
 
@@ -44,7 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffixes.remove_from_texts(docs)
+    return suffixes.remove_from_texts(docs, words=PASSAGE_WORDS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

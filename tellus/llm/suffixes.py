@@ -25,6 +25,11 @@ anywhere else (the same text included) is removed. Matches never cross texts.
    their digests. All counts combine before the shuffle, so any number of
    segments will do.
 
+By words (``remove_from_texts`` with ``words``): every word that lies in a run
+of so many words which also starts anywhere else is removed too, whatever its
+bytes and the white space between. Each word becomes a code of ``WORD`` bytes
+and the codes are searched as above; only runs of whole codes count.
+
 Texts are known by a 128-bit hash, so copies are sorted once and repeated
 rows or null ids do no harm.
 
@@ -36,7 +41,8 @@ extra columns are not read; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,6 +60,8 @@ GROUP = 1024
 BLOCK = 16
 #: Segments sorted in one call, about.
 SORT_ROWS = 2048
+#: Bytes of a word's code.
+WORD = 6
 #: Bytes scanned at a time; a longer text is scanned in parts that overlap.
 PART = 1 << 20
 
@@ -102,6 +110,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _raw(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
 def _digests(chunks: list) -> np.ndarray:
     """128-bit digests as rows of two longs."""
     raw = b"".join(hashlib.blake2b(c, digest_size=16).digest() for c in chunks)
@@ -155,11 +167,26 @@ def _parts(texts: list[bytes], length: int, most: int) -> Iterator[list[tuple[in
         yield group
 
 
-def _scan(length: int, gram: int) -> object:
+class _Codes(dict):
+    """Codes of the words met so far."""
+
+    def __missing__(self, word: str) -> bytes:
+        code = self[word] = hashlib.blake2b(_raw(word), digest_size=WORD).digest()
+        return code
+
+
+def _bytes_of(words: bool) -> Callable[[str | None], bytes]:
+    """What is searched of a text: its own bytes, or its words' codes. Codes
+    are kept for as long as the function is."""
+    codes = _Codes()
+    return (lambda t: b"".join([codes[w] for w in (t or "").split()])) if words else _raw
+
+
+def _scan(length: int, gram: int, words: bool = False) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t1, t2 = (b.column(c).to_numpy(zero_copy_only=False) for c in ("t1", "t2"))
-            texts = [(x or "").encode("utf-8", "surrogatepass") for x in b.column("text").to_pylist()]
+            texts = list(map(_bytes_of(words), b.column("text").to_pylist()))
             for group in _parts(texts, length, PART):
                 row, at = np.array([g[0] for g in group]), np.array([g[1] for g in group], np.int64)
                 sizes = np.array([len(g[2]) for g in group], np.int64)
@@ -305,13 +332,13 @@ def keyed(docs: DataFrame, text_col: str) -> list[Column]:
 _FETCHED_SQL = "anchor long, place int, t1 long, t2 long, s long, windows int, bytes binary, fixed boolean, hot boolean"
 
 
-def _fetch(length: int, gram: int) -> object:
+def _fetch(length: int, gram: int, words: bool = False) -> object:
     """The bytes of the wanted segments of each text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
+            out, of = [], _bytes_of(words)
             for t1, t2, text, wanted in zip(b["t1"], b["t2"], b["text"], b["wanted"]):
-                raw = text.encode("utf-8", "surrogatepass")
+                raw = of(text)
                 for w in wanted:
                     piece = raw[w["s"]:w["s"] + w["windows"] + length - 1]
                     out.append((w["anchor"], t1, t2, w["s"], w["windows"], piece, w["fixed"], w["hot"]))
@@ -401,10 +428,24 @@ def _hot_spans(hot: DataFrame, length: int, size: int = BLOCK) -> DataFrame:
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int | None = None, group: int = GROUP) -> DataFrame:
     """(t1, t2, start, stop): byte ranges of texts that repeated strings
     cover; they may overlap. A text is known by the hashes of ``keyed``."""
+    return _spans_of(docs, text_col, length, gram, group)
+
+
+def repeated_words(docs: DataFrame, text_col: str, words: int) -> DataFrame:
+    """(t1, t2, start, stop): ranges of words, from 0, of texts that repeated
+    runs of ``words`` words cover; they may overlap."""
+    found = _spans_of(docs, text_col, words * WORD, words=words)
+    whole = found.select("t1", "t2", F.ceil(F.col("start") / WORD).alias("start"), F.floor(F.col("stop") / WORD).alias("stop"))
+    return whole.filter(F.col("stop") - F.col("start") >= words)
+
+
+def _spans_of(docs: DataFrame, text_col: str, length: int, gram: int | None = None, group: int = GROUP, words: int = 0) -> DataFrame:
+    """``repeated_spans``, with ``words`` of the words' codes."""
     gram = gram or min(GRAM, max(1, length // 4))
     small_batches(docs.sparkSession)
     texts = docs.select(*keyed(docs, text_col), text_or_empty(F.col(text_col)).alias("text"))
-    scanned = written(texts.filter(F.octet_length("text") >= length).mapInArrow(_scan(length, gram), _SEGMENT_SQL), "segments")
+    least = 2 * words - 1 if words else length
+    scanned = written(texts.filter(F.octet_length("text") >= least).mapInArrow(_scan(length, gram, words > 0), _SEGMENT_SQL), "segments")
     same = scanned.groupBy("anchor", "g1", "g2").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("t1", "t2", "s", "windows")])
     same = written(same, "classes")
@@ -416,7 +457,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         "anchor", "s", "windows", (F.col("n") > 1).alias("fixed"), (F.col("kinds") > group).alias("hot")).alias("w"))
     wanted = wanted.groupBy("t1", "t2").agg(F.collect_list("w").alias("wanted"))  # of one text: bounded by its length
     once = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))  # copies meet before the shuffle
-    fetched = once.join(wanted, ["t1", "t2"]).mapInPandas(_fetch(length, gram), _FETCHED_SQL)
+    fetched = once.join(wanted, ["t1", "t2"]).mapInPandas(_fetch(length, gram, words > 0), _FETCHED_SQL)
     fetched = written(fetched, "fetched")
     sizes = fetched.agg(F.count_if(~F.col("hot")).alias("cold"), F.count_if("hot").alias("hot")).first()
     buckets = 1 + sizes["cold"] // SORT_ROWS
@@ -452,13 +493,22 @@ def merge(ranges: list) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def word_bytes(text: str, ranges: list) -> list[dict[str, int]]:
+    """The byte ranges of some ranges of words, from the first letter to the last."""
+    at = np.array([m.span() for m in re.finditer(r"\S+", text)], np.int64)
+    raw = np.frombuffer(_raw(text), np.uint8)
+    first = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))  # where each character starts
+    return [{"start": int(first[at[r["start"], 0]]), "stop": int(first[at[r["stop"] - 1, 1]])} for r in ranges]
+
+
 def _cut(as_text: bool) -> object:
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, ranges in batches:
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, ranges, words in batches:
             out = []
-            for t, r in zip(texts, ranges):
-                raw = t.encode("utf-8", "surrogatepass")
-                runs = merge(r) if r is not None else []
+            for t, r, w in zip(texts, ranges, words):
+                raw = _raw(t)
+                r = list(r) if r is not None else []
+                runs = merge(r + word_bytes(t, w) if w is not None else r)
                 at, kept = 0, []
                 for a, b in runs:
                     kept.append(raw[at:a])
@@ -466,30 +516,39 @@ def _cut(as_text: bool) -> object:
                 left = b"".join(kept) + raw[at:]
                 out.append((len(raw), sum(b - a for a, b in runs), len(runs), left.decode("utf-8", "ignore") if as_text else left))
             yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
     return run
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", result: str = "result", length: int = LENGTH, group: int = GROUP,
-                   as_text: bool = False) -> DataFrame:
+                   as_text: bool = False, words: int | None = None) -> DataFrame:
     """``docs`` and a struct column: n_bytes, n_removed, n_spans (maximal
     removed runs) and kept (the bytes that are left; with ``as_text`` the
-    characters that are left whole)."""
-    spans = repeated_spans(docs, text_col, length, group=group).distinct()
-    spans = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    a, b, s = fresh(docs, "_t1"), fresh(docs, "_t2"), fresh(docs, "_spans")
+    characters that are left whole). With ``words`` repeated runs of so many
+    words go as well."""
+    a, b, s, w = (fresh(docs, c) for c in ("_t1", "_t2", "_spans", "_words"))
     k1, k2 = keyed(docs, text_col)
     d = docs.withColumn(a, k1).withColumn(b, k2)
-    d = d.join(spans.select(F.col("t1").alias(a), F.col("t2").alias(b), F.col("spans").alias(s)), [a, b], "left")
+
+    def with_spans(d: DataFrame, spans: DataFrame, name: str) -> DataFrame:
+        spans = spans.distinct().groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+        return d.join(spans.select(F.col("t1").alias(a), F.col("t2").alias(b), F.col("spans").alias(name)), [a, b], "left")
+    d = with_spans(d, repeated_spans(docs, text_col, length, group=group), s)
+    if words:
+        d = with_spans(d, repeated_words(docs, text_col, words), w)
+    else:
+        d = d.withColumn(w, F.lit(None).cast("array<struct<start: long, stop: long>>"))
     cut = pandas_udf(_cut(as_text), f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
-    return d.select(*columns(docs), cut(text_or_empty(F.col(text_col)), F.col(s)).alias(result))
+    return d.select(*columns(docs), cut(text_or_empty(F.col(text_col)), F.col(s), F.col(w)).alias(result))
 
 
-def remove_from_texts(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
-    """``docs`` with the repeated strings cut out of the texts. A character
-    that is cut in the middle goes altogether. A null text stays null."""
+def remove_from_texts(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", length: int = LENGTH,
+                      words: int | None = None) -> DataFrame:
+    """``docs`` with the repeated strings of ``length`` bytes cut out of the
+    texts, and with ``words`` the repeated runs of so many words too. A
+    character that is cut in the middle goes altogether. A null text stays null."""
     r = fresh(docs, "_repeats")
-    d = remove_repeats(docs, text_col, r, as_text=True)
+    d = remove_repeats(docs, text_col, r, length, as_text=True, words=words)
     t = F.when(F.col(text_col).isNull() | (F.col(r)["n_removed"] == 0), F.col(text_col)).otherwise(F.col(r)["kept"])
     d = d.withColumn(text_col, t)
     if chars_col and chars_col in docs.columns:

@@ -192,6 +192,33 @@ def test_cut_texts_stay_valid(spark):
     assert got[1].n_chars == len(got[1].text) and got[1]._repeats == "k"
 
 
+def repeated_words(texts, n):
+    """Numbers of the words of each text that a repeated run of n words covers."""
+    words = [t.split() for t in texts]
+    count = collections.Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
+    return [{j for i in range(len(w) - n + 1) if count[tuple(w[i:i + n])] > 1 for j in range(i, i + n)} for w in words]
+
+
+def test_repeated_words_against_brute_force(spark):
+    """Passages of 50 to 60 words, far under 400 bytes, with other white space."""
+    r = random.Random(11)
+    shared = [[f"{r.choice('éaiouy日')}{r.randint(0, 99)}" for _ in range(n)] for n in (50, 51, 52, 55, 60)]
+    texts = []
+    for i in range(30):
+        parts = [prose(9000 + i, r.randint(0, 40)).split()] + [p + [f"own{i}{r.random()}"] for p in r.sample(shared, r.randint(0, 3))]
+        texts.append("".join(w + r.choice([" ", "\n", " \t ", "\u3000"]) for p in parts for w in p))
+    d = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string, n_chars int")
+    got = {x.doc_id: x for x in suffixes.remove_from_texts(d.repartition(3), words=51).collect()}
+    gone = repeated_words(texts, 51)
+    assert sum(map(bool, gone)) > 10 and got[30].text is None and got[31].text == ""
+    for i, (t, g) in enumerate(zip(texts, gone)):
+        assert got[i].text.split() == [w for k, w in enumerate(t.split()) if k not in g], i
+        assert got[i].n_chars == len(got[i].text)
+        if not g:
+            assert got[i].text == t
+    assert {x.doc_id: x.text for x in suffixes.remove_from_texts(d).collect()} == dict(enumerate([*texts, None, ""]))  # 400 bytes alone: all stays
+
+
 # ---------------------------------------------------------------- op6
 
 def brute_fingerprint(text):

@@ -71,6 +71,16 @@ def test_planted_cases(spark, tmp_path):
     assert texts[301].startswith(prose(301, 60)) and texts[50] == prose(50, 150)
 
 
+@pytest.mark.parametrize("n", [51, 60])
+def test_short_repeated_passages_go(spark, n):
+    passage = " ".join(f"p{i}" for i in range(n))
+    assert len(passage) < 400
+    rows = [(1, prose(1, 60) + " " + passage, 1), (2, passage + " " + prose(2, 60), 1), (3, " ".join(f"p{i}" for i in range(50)) + " own end", 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r.text for r in cp.passages(spark, d, "").collect()}
+    assert got[1].strip() == prose(1, 60) and got[2].strip() == prose(2, 60) and got[3] == rows[2][1]
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 def test_one_of_each_group_stays_on_the_test_tables(spark):
     d = spark.read.parquet(f"{DATA}/documents.parquet")
