@@ -8,7 +8,9 @@ character at least). The samples have the same length, so the language that
 needs the fewest phrases per character is the nearest one.
 
 The automata become one flat table of transitions, and many texts are parsed
-at once, one character of each text and language per step.
+at once, one character of each text and language per step. The most frequent
+characters have a column in the table; arcs on all the others are kept as
+sorted keys of state and character, so every character of a sample counts.
 
 Sample: of each language's rows outside the held-out fold, the ``DOCS`` with
 the smallest hash of their text, cut to ``SAMPLE_CHARS`` characters in all.
@@ -37,8 +39,8 @@ from tellus.llm.common import fresh, give_back, held_out, small_batches, text_or
 #: Bounds of the sample of each language: rows, and characters in all.
 DOCS = 40
 SAMPLE_CHARS = 24_000
-#: Characters with a column in the transition table, the most frequent ones.
-#: With the bounds above a language's table stays under 50 MB.
+#: Characters with a column in the transition table, the most frequent ones;
+#: the arcs on others are searched. A language's table stays under 50 MB.
 ALPHABET = 255
 #: Texts parsed side by side, and characters of them, at most; one long text may exceed it.
 SIDE_BY_SIDE = 4096
@@ -92,33 +94,45 @@ def normal(text: str) -> str:
 class Model:
     """Languages, an alphabet, and one transition table: row = state, column
     = character; -1 where the automaton has no arc. States are kept as the
-    place of their row in the flat table; ``roots`` has each language's first."""
+    place of their row in the flat table; ``roots`` has each language's first.
+    Arcs on characters without a column: ``keys`` (state x ``kinds`` + code,
+    ascending) and the states they lead to, ``ends``."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         samples = {k: normal(t) for k, t in samples.items()}
         seen = Counter(c for t in samples.values() for c in t if c != " ")
-        letters = [" ", *sorted(sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET])]
-        self.codes = {c: i + 1 for i, c in enumerate(letters)}  # 0: a letter without a column
+        by_count = sorted(seen, key=lambda c: (-seen[c], c))
+        letters = [" ", *sorted(by_count[:ALPHABET])]
         self.width = len(letters) + 1
-        tables, roots, at = [], [], 0
+        letters += sorted(by_count[ALPHABET:])  # codes from width on: no column
+        self.codes = {c: i + 1 for i, c in enumerate(letters)}  # 0: a letter of no sample
+        self.kinds = len(letters) + 1
+        tables, roots, at, keys, ends = [], [], 0, [], []
         for name in self.languages:
             states = suffix_automaton(samples[name])
             t = np.full((len(states), self.width), -1, np.int32)
             for s, arcs in enumerate(states):
                 for c, to in arcs.items():
-                    if c in self.codes:
-                        t[s, self.codes[c]] = (at + to) * self.width
+                    code = self.codes[c]
+                    if code < self.width:
+                        t[s, code] = (at + to) * self.width
+                    else:
+                        keys.append((at + s) * self.width * self.kinds + code)
+                        ends.append((at + to) * self.width)
             tables.append(t)
             roots.append(at * self.width)
             at += len(states)
         self.flat = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.ends = np.array(keys, np.int64)[order], np.array(ends, np.int32)[order]
 
     def encode(self, text: str) -> np.ndarray:
         """The columns of the characters of the text's normal form."""
         if not hasattr(self, "_low"):
-            self._low = np.array([self.codes.get(chr(i), 0) if _MARKED.match(chr(i)) else 1 for i in range(1 << 16)], np.uint16)
+            self._low = np.array([self.codes.get(chr(i), 0) if _MARKED.match(chr(i)) else 1 for i in range(1 << 16)],
+                                 np.uint16 if self.kinds < 1 << 16 else np.int32)
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
         out = self._low[np.minimum(points, 0xFFFF)]
         for i in np.flatnonzero(points >= 0xFFFF):
@@ -126,6 +140,18 @@ class Model:
         space = out == 1
         return out[~(space & np.concatenate([[False], space[:-1]]))] if len(out) else out
 
+    def follow(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The state that each one's arc on a code leads to, or -1."""
+        rare = code >= self.width
+        if not rare.any():
+            return self.flat.take(state + code)
+        to = self.flat.take(state + np.where(rare, 0, code))  # column 0 has no arc
+        at = np.nonzero(np.broadcast_to(rare, to.shape))
+        key = state[at].astype(np.int64) * self.kinds + np.broadcast_to(code, to.shape)[at]
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        to[at] = np.where(self.keys[place] == key, self.ends[place], -1)
+        return to
+
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
         """Phrases of each encoded text (rows) in each language (columns)."""
         order = sorted(range(len(codes)), key=lambda i: -len(codes[i]))
@@ -140,11 +166,11 @@ class Model:
                 live -= 1
             c = chars[starts[:live] + t]
             s = state[:live]
-            to = self.flat.take(s + c[:, None])
+            to = self.follow(s, c[:, None])
             row, col = np.nonzero(to < 0)
             if len(row):
                 count[row, col] += s[row, col] != self.roots[col]  # the phrase before ends
-                again = self.flat[self.roots[col] + c[row]]
+                again = self.follow(self.roots[col], c[row])
                 lone = again < 0  # a character that the sample lacks is a phrase
                 count[row, col] += lone
                 to[row, col] = np.where(lone, self.roots[col], again)

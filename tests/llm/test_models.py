@@ -66,6 +66,21 @@ def test_phrases_against_substring_search():
         assert row.tolist() == [brute_phrases(langid.normal(samples[k]), langid.normal(t)) for k in m.languages], t
 
 
+def test_every_character_of_a_large_alphabet_counts():
+    """Over 255 characters in the samples, beyond 16 bits too."""
+    r = random.Random(2)
+    han = [chr(0x4E00 + i) for i in range(900)] + [chr(0x20000 + i) for i in range(40)]
+    words = ["".join(r.choices(han, k=r.randint(1, 4))) for _ in range(400)]
+    samples = {"zh": " ".join(r.choices(words, k=3000)), "ko": " ".join("".join(chr(0xAC00 + r.randrange(600)) for _ in range(3)) for _ in range(900)), "en": prose(1, 300)}
+    m = langid.Model(samples)
+    texts = [" ".join(r.choices(words, k=n)) for n in (1, 5, 40)] + [samples["ko"][70:300], samples["zh"][50:90] + " and the was " + samples["ko"][:9], prose(3, 20), "龘ꙮ"]
+    got = m.phrases([m.encode(t) for t in texts])
+    for t, row in zip(texts, got):
+        assert row.tolist() == [brute_phrases(langid.normal(samples[k]), langid.normal(t)) for k in m.languages], t
+    lang, _, rate = m.predict(texts)
+    assert lang[1:4] == ["zh", "zh", "ko"] and max(rate[1:4]) < langid.REJECT_RATE
+
+
 def test_op7_on_odd_rows(spark, folder, nothing):
     got = queries.op7_cross_parsing(spark, folder).collect()
     assert len(got) == len(rows())
