@@ -1,20 +1,21 @@
 """Document fingerprints from closed syncmers, with DataFrame functions only.
 
-A text is a sequence of words; a k-mer is ``K`` words in a row, an s-mer
-``S`` words inside it. A k-mer is a closed syncmer if its smallest s-mer (by
+A text is a sequence of code points; a k-mer is ``CHAR_K`` of them in a row, an
+s-mer ``CHAR_S`` inside it (``with_anchors`` does the same over words, with ``K``
+and ``S``). A k-mer is a closed syncmer if its smallest s-mer (by
 hash) is its first or its last one. Whether a k-mer is chosen depends on its
 own words alone, so an edit changes the anchors that touch it and no others:
 equal passages keep equal anchors wherever they stand, and anchors of two
 texts can be matched by position.
 
 A fingerprint is the sequence of the chosen k-mers' 32-bit hashes, in order;
-as text, eight hex digits each. A text with words but without a chosen k-mer
-has one anchor: its k-mer with the smallest hash, or all of its words if
-there are fewer than ``K``. The likeness of two fingerprints is the Dice
+as text, eight hex digits each. A text without a chosen k-mer has one anchor:
+its k-mer with the smallest hash, or the whole text if it is shorter than a
+k-mer. The likeness of two fingerprints is the Dice
 coefficient of their distinct anchors.
 
-Defined cases: a null text is empty; a text without words has no anchor and
-an empty fingerprint; two empty fingerprints have likeness 1, an empty and
+Defined cases: a null text is empty; an empty text has no anchor and an empty
+fingerprint (over words, so has one without words); two empty fingerprints have likeness 1, an empty and
 another one 0; equal texts have equal fingerprints; repeated rows and null
 ids are rows of their own (null ids come first); extra columns are not read;
 an empty table gives no rows. A single row is its own next row.
@@ -22,7 +23,7 @@ an empty table gives no rows. A single row is its own next row.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,6 +31,8 @@ from tellus.llm.common import text_or_empty
 
 K = 8
 S = 2
+#: Code points of a k-mer and of an s-mer; two of 17 k-mers are chosen.
+CHAR_K, CHAR_S = 20, 4
 #: Rows of a range of ids, about, and the most ranges there are.
 RANGE_ROWS, MAX_RANGES = 2000, 1 << 16
 
@@ -37,30 +40,53 @@ RANGE_ROWS, MAX_RANGES = 2000, 1 << 16
 def with_anchors(df: DataFrame, text_col: str, out: str, k: int = K, s: int = S) -> DataFrame:
     """``df`` and a column ``out``: array<struct<pos, hash>>, the anchors of
     a text with the place of their first word, from 0."""
-    w, h, sel = f"_{out}_w", f"_{out}_h", f"_{out}_s"
     words = F.filter(F.split(text_or_empty(F.col(text_col)), r"\s+"), lambda x: x != "")
-    keep = df.columns
-    d = df.withColumn(w, F.transform(words, lambda x: F.xxhash64(x)))
-    n = F.size(w)
-    smer = F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(F.col(w), i + j) for j in range(1, s)]))
-    d = d.withColumn(h, smer)
+    return _anchored(df, words, out, k, s)
+
+
+def with_char_anchors(df: DataFrame, text_col: str, out: str, k: int = CHAR_K, s: int = CHAR_S) -> DataFrame:
+    """``with_anchors`` over code points: places count code points."""
+    return _anchored(df, F.filter(F.split(text_or_empty(F.col(text_col)), ""), lambda x: x != ""), out, k, s)
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is read;
+    a column would be copied into a filter that moves below its projection."""
+    return F.get(F.transform(F.array(value), lambda x: then(x)), F.lit(0))
+
+
+def _anchored(df: DataFrame, units: Column, out: str, k: int, s: int) -> DataFrame:
     last = k - s
 
-    def closed(i: Column) -> Column:
-        at = [F.get(F.col(h), i + j) for j in range(last + 1)]
-        inner = reduce(F.least, at[1:last]) if last > 1 else F.lit(2 ** 63 - 1)
-        return (at[0] <= F.least(inner, at[last])) | (at[last] < F.least(inner, at[0]))
-    places = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
-    d = d.withColumn(sel, F.filter(places, closed))
+    def smallest(h: Column, width: int) -> Column:
+        """The smallest of ``width`` s-mers from each place on, by ever wider runs."""
+        m, have = h, 1
+        while have < width:
+            by = min(have, width - have)
+            m, have = _let(m, lambda v, by=by: F.transform(v, lambda x, i: F.least(x, F.get(v, i + by)))), have + by
+        return m
+
+    def of_smers(w: Column, h: Column) -> Column:
+        n = F.size(w)
+        places = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
+
+        def whole(i: Column) -> Column:  # by s-mers that cover the k-mer: a slice would copy the whole array
+            return F.hash(*[F.get(h, i + j) for j in sorted({*range(0, last, s), last})])
+
+        def closed(m: Column) -> Column:
+            return F.filter(places, lambda i: (F.get(h, i) <= F.get(m, i + 1)) | (F.get(h, i + last) < F.get(m, i)))
+
+        def chosen(sel: Column) -> Column:
+            least = F.array_min(F.transform(places, lambda i: F.struct(whole(i).alias("hash"), i.alias("pos"))))
+            return (F.when(F.size(sel) > 0, F.transform(sel, lambda i: F.struct(i.alias("pos"), whole(i).alias("hash"))))
+                    .when(n == 0, F.array().cast("array<struct<pos:int,hash:int>>"))
+                    .when(n < k, F.array(F.struct(F.lit(0).alias("pos"), F.hash(w).alias("hash"))))
+                    .otherwise(F.array(F.struct(least["pos"].alias("pos"), least["hash"].alias("hash")))))
+        return _let(_let(smallest(h, last), closed), chosen)
 
-    def anchor(i: Column) -> Column:
-        return F.struct(i.alias("pos"), F.hash(F.slice(F.col(w), i + 1, k)).alias("hash"))
-    least = F.array_min(F.transform(places, lambda i: F.struct(F.hash(F.slice(F.col(w), i + 1, k)).alias("hash"), i.alias("pos"))))
-    d = d.withColumn(out, F.when(F.size(sel) > 0, F.transform(F.col(sel), anchor))
-                     .when(n == 0, F.array().cast("array<struct<pos:int,hash:int>>"))
-                     .when(n < k, F.array(F.struct(F.lit(0).alias("pos"), F.hash(F.col(w)).alias("hash"))))
-                     .otherwise(F.array(F.struct(least["pos"].alias("pos"), least["hash"].alias("hash")))))
-    return d.select(*keep, out)
+    def of_units(w: Column) -> Column:
+        return _let(F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, s)])), lambda h: of_smers(w, h))
+    return df.withColumn(out, _let(F.transform(units, lambda x: F.xxhash64(x)), of_units))
 
 
 def hashes(anchors: Column) -> Column:
@@ -124,17 +150,17 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], tie: str, prefix:
     return d.filter(F.col("_copy") == 0).drop("_copy", "_range")
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = CHAR_K, s: int = CHAR_S) -> DataFrame:
     """Per row: doc_id, n_chars, edited (the text with its last half replaced
     by the start of the next text), fp, edited_fp, next_fp (arrays of anchor
     hashes)."""
     d = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
-    d = with_anchors(d, "text", "anchors", k, s)
+    d = with_char_anchors(d, "text", "anchors", k, s)
     d = d.select("doc_id", "text", hashes(F.col("anchors")).alias("fp"))
     d = with_next(d, "doc_id", ["text", "fp"], "text")
     n = F.length("text")
     cut = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
     d = d.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", F.col("next_fp"))
-    d = with_anchors(d, "edited", "edited_anchors", k, s)
+    d = with_char_anchors(d, "edited", "edited_anchors", k, s)
     return d.select("doc_id", "n_chars", "edited", "fp", hashes(F.col("edited_anchors")).alias("edited_fp"), "next_fp")

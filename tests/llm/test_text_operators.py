@@ -60,6 +60,31 @@ def test_syncmers_are_closed_and_context_free(spark):
         assert {(a.pos + 3, a.hash) for a in r.a} <= {(b.pos, b.hash) for b in r.b}
 
 
+def test_char_syncmers_are_closed_and_survive_edits(spark):
+    """Code points, beyond 16 bits too; texts without white space and short ones keep part of their anchors."""
+    r = random.Random(4)
+    han = "".join(chr(r.choice([0x4E00, 0x20000]) + r.randrange(500)) for _ in range(300))
+    texts = [prose(1, 12), prose(2, 60), han, "x=1;" + "".join(r.choice("abc(){};=") for _ in range(300)), "short", "a" * 20, ""]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    k, s = syncmers.CHAR_K, syncmers.CHAR_S
+    for x in syncmers.with_char_anchors(d, "text", "a").collect():
+        t = x.text
+        units = spark.createDataFrame([(list(t[i:i + s]),) for i in range(len(t) - s + 1)], "c array<string>")
+        h = [y.h for y in units.select(F.xxhash64(*[F.xxhash64(F.get("c", F.lit(j))) for j in range(s)]).alias("h")).collect()] if len(t) >= k else []
+        expect = []
+        for i in range(len(t) - k + 1):
+            inner = h[i:i + k - s + 1]
+            if min(inner) == inner[0] or inner.index(min(inner)) == k - s:
+                expect.append(i)
+        assert [a.pos for a in x.a] == (expect or [0] * (t != "")), t
+    after = [(0, texts[0]), (1, texts[2]), (2, texts[3]), (3, "y" * 400)]
+    for x in syncmers.edited_fingerprints(spark.createDataFrame(after, "doc_id long, text string")).collect()[:3]:
+        assert len(x.fp) > 3 and set(x.fp) & set(x.edited_fp)  # half of the text is kept
+    one = spark.createDataFrame([(han, han[:150] + "!" + han[151:])], "t string, u string")
+    x = syncmers.with_char_anchors(syncmers.with_char_anchors(one, "t", "a"), "u", "b").select(syncmers.likeness(syncmers.hashes(F.col("a")), syncmers.hashes(F.col("b")))).first()
+    assert x[0] > 0.7
+
+
 def test_position_matches_count_the_diagonal(spark):
     t = prose(5, 200)
     a = syncmers.with_anchors(spark.createDataFrame([(1, t)], "doc_id long, text string"), "text", "anchors")
