@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tellus.llm import bpe, chat, hnsw, langid, licenses, packing, simhash, suffixes, syncmers, toxicity
+from tellus.llm import bpe, chat, filter_audit, hnsw, langid, licenses, packing, resampling, simhash, suffixes, syncmers, token_counts, toxicity
 from tellus.llm.common import held_out, table
 
 
@@ -105,9 +105,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Tokens of a text above which op13 flags it.
+TOKEN_LIMIT = 4096
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return d.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op3_hnsw_search, op4_suffix_dedup, op5_crf_toxicity, op6_simhash_golay, op7_cross_parsing, op8_license_scan, op9_chat_format, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_closed_syncmers, op2_best_fit_packing, op3_hnsw_search, op4_suffix_dedup, op5_crf_toxicity, op6_simhash_golay, op7_cross_parsing, op8_license_scan, op9_chat_format, op10_byte_bpe,
+                                    op11_importance_resampling, op12_filter_audit, op13_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_license_scan": licenses.oracle_sql(), "op9_chat_format": CHAT_SQL}
+    return {"op8_license_scan": licenses.oracle_sql(), "op9_chat_format": CHAT_SQL,
+            "op11_importance_resampling": resampling.oracle_sql(), "op12_filter_audit": filter_audit.oracle_sql()}
