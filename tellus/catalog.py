@@ -76,7 +76,7 @@ def register(name: str, sql: str | None):
 
 def _load_all():
     # registering modules; imported lazily to avoid an import cycle
-    from tellus import catalog_evidence, catalog_feeds, catalog_hazard, catalog_stream  # noqa: F401
+    from tellus import catalog_evidence, catalog_feeds, catalog_hazard, catalog_loads, catalog_stream  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -13,7 +13,6 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
 
 from tellus import schemas as SC
 from tellus.plans import clean_load as PL
@@ -35,30 +34,34 @@ def _clean_load(spark, a) -> None:
         raise SystemExit("a feed has no records yet")  # the scheduler tries again
     tables = PL.run(ev, qk, max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
     tables["quarantine.line"] = FD.corrupt_lines(ev).unionByName(FD.corrupt_lines(qk))
-    for part in ("staging", "quarantine", "public"):
-        own = {n.split(".", 1)[-1]: df for n, df in tables.items() if (n.split(".", 1)[0] if "." in n else "public") == part}
-        K.write_tables(own, f"{a.out}/{part}")
+    v = K.publish_tables({n.replace(".", "/") if "." in n else f"public/{n}": df for n, df in tables.items()}, a.out)
+    print(f"version {v.version}, tables {len(v.paths)}")
 
 
 def _sync(spark, a) -> None:
     ev = FD.read_lake(spark, a.lake, a.event_source, SC.EVENT_RECORD)
-    ev = ev.withColumn("_seq", F.col("_ingested_at"))
+    # six tables and the counts derive from the records: parse the lake once
+    ev = K.materialize(spark, ev.drop("_raw", "_file", "_corrupt"), "sync-records")
     names = [n for n in STAGING if n != "earthquake"]
-    tables, counts = UP.sync({n: K.read_snapshot(spark, f"{a.tables}/public", n) for n in names}, ev)
-    paths = {n: K.write_snapshot(tables[n], f"{a.tables}/public", n) for n in names}
+    now = K.pin(spark, a.tables)
+    refs = {}
+    for name, schema in (("categories", SC.CATEGORY_RECORD), ("sources", SC.SOURCE_RECORD)):
+        path = getattr(a, name)
+        if path:
+            refs[name] = FD.reference_rows(FD.read_envelopes(spark, path), name, schema=schema, fallback=None)
+    tables, counts = UP.sync({n: now.read(f"public/{n}") for n in names}, ev, **refs)
+    v = K.publish_tables({f"public/{n}": tables[n] for n in names}, a.tables)
     done = counts.first()
-    print(f"processed {done.processed}, failed {done.failed}, tables written {len(paths)}")
+    print(f"processed {done.processed}, failed {done.failed}, version {v.version}")
 
 
 def _audit(spark, a) -> None:
-    staging = {n: K.read_snapshot(spark, f"{a.tables}/staging", n) for n in STAGING}
-    public = None
-    if a.with_public:
-        public = {n: K.read_snapshot(spark, f"{a.tables}/public", n) for n in STAGING}
+    now = K.pin(spark, a.tables)
+    staging = {n: now.read(f"staging/{n}") for n in STAGING}
+    public = {n: now.read(f"public/{n}") for n in STAGING} if a.with_public else None
     _, repaired, changes = quality_run(staging, public, as_of=a.as_of, report_path=a.report,
                                        materialize=lambda name, df: K.materialize(spark, df, name))
-    for n, df in repaired.items():
-        K.write_snapshot(df, f"{a.tables}/staging", n)
+    K.publish_tables({f"staging/{n}": df for n, df in repaired.items()}, a.tables)
     if a.changes:
         changes.write.mode("append").parquet(a.changes)
 
@@ -69,7 +72,8 @@ def _report(spark, a) -> None:
 
 def _ingest(spark, a) -> None:
     msgs = LK.kafka_stream(spark, a.kafka, a.topics.split(","), min_offsets=a.min_offsets, max_delay=a.max_delay)
-    q = LK.ingest(msgs, a.lake, a.checkpoint, processing_time=a.every, available_now=a.once)
+    q = LK.ingest(msgs, a.lake, a.checkpoint, processing_time=a.every, available_now=a.once,
+                  order=("partition", "offset"), quarantine=a.quarantine or a.lake.rstrip("/") + "-quarantine")
     q.awaitTermination()
 
 
@@ -94,6 +98,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--lake", required=True)
     s.add_argument("--tables", required=True)
     s.add_argument("--event-source", default="eonet")
+    s.add_argument("--categories", help="folder of reference category envelopes")
+    s.add_argument("--sources", help="folder of reference source envelopes")
     r = sub.add_parser("report")
     r.add_argument("--report", required=True)
     i = sub.add_parser("ingest")
@@ -101,6 +107,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--topics", default="eonet.events,usgs.earthquakes")
     i.add_argument("--lake", required=True)
     i.add_argument("--checkpoint", required=True)
+    i.add_argument("--quarantine", help="folder of messages that hold no JSON object; default: beside the lake")
     i.add_argument("--min-offsets", type=int, default=200)
     i.add_argument("--max-delay", default="30s")
     i.add_argument("--every", default="1 second")

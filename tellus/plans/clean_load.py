@@ -86,6 +86,20 @@ def stage(events: DataFrame | None, quakes: DataFrame | None) -> dict[str, DataF
     return out
 
 
+def fit_events(events: DataFrame) -> DataFrame:
+    """The event records that pass the gates of the clean load."""
+    return (events.filter(P.all_not_null("id", "title", "link"))
+                  .withColumn("title", F.trim("title"))
+                  .filter(F.length("title") > 0)
+                  .filter(P.url_ok("link"))
+                  .withColumn("closed", S.parse_ts("closed")))
+
+
+def newest(records: DataFrame) -> DataFrame:
+    """The latest record of each id."""
+    return D.latest(records, ["id"], _order(records) or ["id"])
+
+
 def clean_events(events: DataFrame, checkpoint: bool = False) -> dict[str, DataFrame]:
     """K5 for the event feed (filters F1-F4, F8, P4, P8, P9, P11; dedup D1-D3).
 
@@ -94,15 +108,14 @@ def clean_events(events: DataFrame, checkpoint: bool = False) -> dict[str, DataF
     (``DataFrame.checkpoint``), so writing the tables one by one does not
     repeat the dedup shuffle.
     """
-    order = _order(events) or ["id"]
-    ok = (events.filter(P.all_not_null("id", "title", "link"))
-                .withColumn("title", F.trim("title"))
-                .filter(F.length("title") > 0)
-                .filter(P.url_ok("link"))
-                .withColumn("closed", S.parse_ts("closed")))
-    ev = D.latest(ok, ["id"], order)
+    ev = newest(fit_events(events))
     if checkpoint:
         ev = ev.checkpoint(eager=True)
+    return event_tables(ev)
+
+
+def event_tables(ev: DataFrame) -> dict[str, DataFrame]:
+    """The six tables of the latest event records."""
     m = _meta(ev)
     event = ev.select("id", "title", "description", "link", "closed")
 
@@ -137,20 +150,28 @@ def clean_events(events: DataFrame, checkpoint: bool = False) -> dict[str, DataF
             "event_category": event_category, "event_source": event_source}
 
 
+def fit_quakes(quakes: DataFrame) -> DataFrame:
+    """The quake records that pass the gates of the clean load."""
+    c = F.col("geometry.coordinates")
+    return (quakes.filter(P.all_not_null("id", "properties.time"))
+                  .filter(P.min_size(c, 2))
+                  .withColumn("longitude", S.element_or_null(c, 0))
+                  .withColumn("latitude", S.element_or_null(c, 1))
+                  .withColumn("depth_km", S.element_or_null(c, 2))
+                  .filter(P.in_range("longitude", -180, 180) & P.in_range("latitude", -90, 90))
+                  .filter(P.null_or_range("properties.mag", -1, 10)))
+
+
 def clean_quakes(quakes: DataFrame, checkpoint: bool = False) -> DataFrame:
     """K5 for the quake feed (F1, F5-F7, P5-P7, P10; dedup D1)."""
-    order = _order(quakes) or ["id"]
-    c = F.col("geometry.coordinates")
-    q = (quakes.filter(P.all_not_null("id", "properties.time"))
-               .filter(P.min_size(c, 2))
-               .withColumn("longitude", S.element_or_null(c, 0))
-               .withColumn("latitude", S.element_or_null(c, 1))
-               .withColumn("depth_km", S.element_or_null(c, 2))
-               .filter(P.in_range("longitude", -180, 180) & P.in_range("latitude", -90, 90))
-               .filter(P.null_or_range("properties.mag", -1, 10)))
-    q = D.latest(q, ["id"], order)
+    q = newest(fit_quakes(quakes))
     if checkpoint:  # read by the clean table and by the match
         q = q.checkpoint(eager=True)
+    return quake_table(q)
+
+
+def quake_table(q: DataFrame) -> DataFrame:
+    """The earthquake table of the latest quake records."""
     return q.select(
         "id", S.epoch_ms_to_ts("properties.time").alias("time"),
         F.col("properties.mag").alias("magnitude"), F.col("properties.magType").alias("mag_type"),
@@ -195,12 +216,15 @@ def run(events: DataFrame | None, quakes: DataFrame | None, *, max_km: float = 5
     return out
 
 
-def accept(clean: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+def accept(clean: dict[str, DataFrame], **parent: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """K5 / 2.12: clean tables cut to the rows that keep every constraint,
-    parents before children, and the rejected rows of all tables."""
+    parents before children, and the rejected rows of all tables. Parents
+    that are not among the tables are given by name."""
     out, rejected = {}, []
     for name in ("event", "category", "source", "earthquake", "geometry", "event_category", "event_source"):
-        parents = [(p, out[p], ck, pk) for p, ck, pk in PARENTS.get(name, ())]
+        if name not in clean:
+            continue
+        parents = [(p, out[p] if p in out else parent[p], ck, pk) for p, ck, pk in PARENTS.get(name, ())]
         out[name], bad = validate(clean[name], table_rules(name), parents=parents)
         row = F.to_json(F.struct(*[F.col(c) for c in clean[name].columns]))
         rejected.append(bad.select(F.lit(name).alias("table_name"), "reasons", row.alias("row")))

@@ -99,35 +99,77 @@ def quake_window(records: DataFrame, *, start=None, end=None, min_magnitude: flo
 
 # ------------------------------------------------------------ lake scans
 
-def read_lake(spark: SparkSession, base: str, source: str, schema: T.StructType,
-              *, hours: tuple[str, str] | None = None) -> DataFrame:
-    """Read one feed of the raw lake.
-
-    The lake is ``base/source=<s>/year=/month=/day=/hour=/*.jsonl``;
-    partition discovery keeps those columns, so ``source`` and the optional
-    ``hours`` range ('YYYY-MM-DD HH' bounds) prune directories. Lines are
-    parsed with the explicit ``schema``; the result also carries
-    ``_raw`` (line text), ``_corrupt`` (true when the line is not a JSON
-    object), ``_file`` and ``_ingested_at``: the hour under which the line
-    was landed (K9), so that rewriting files (``compact``) changes no
-    "latest" row. A missing lake returns an empty frame (S9).
+#: The order of arrival of a lake line.
+SEQ = T.StructType([T.StructField("hour", T.TimestampType()), T.StructField("batch", T.LongType()), T.StructField("part", T.IntegerType()),
+                    T.StructField("chunk", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("block", T.LongType()),
+                    T.StructField("row", T.LongType())])
+
+
+def lake_lines(spark: SparkSession, base: str, *, source: str | None = None,
+               hours: tuple[str, str] | None = None) -> DataFrame | None:
+    """K9: the lines of the raw lake with their place in it: ``value``, the
+    partition columns, ``_file`` and ``_seq``, the order of arrival. None
+    where there is no lake.
+
+    Arrival is read off what the writer left: landing hour, then micro-batch
+    (the ``batch`` folder, where the writer makes one), then the number of
+    the writing task and of its file (other writers' timestamped names order
+    by name), then the place in the file. A scan reads each block of a file
+    from top to bottom in one task, so the block's start and the row's
+    number in its scan partition give that place without counting lines.
     """
     try:
         raw = spark.read.option("basePath", base).text(base)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return empty_feed(spark, schema)
+            return None
         raise
     if "source" not in raw.columns:
-        return empty_feed(spark, schema)
-    raw = raw.filter(F.col("source") == source)
+        return None
+    if source is not None:
+        raw = raw.filter(F.col("source") == source)
     if hours is not None:
         key = F.format_string("%04d-%02d-%02d %02d", "year", "month", "day", "hour")
         raw = raw.filter(key.between(hours[0], hours[1]))
-    return parse_records(raw.select(
-        F.col("value").alias("_raw"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.make_timestamp(*[F.col(c).cast("int") for c in ("year", "month", "day", "hour")], F.lit(0), F.lit(0)).alias("_ingested_at")), schema)
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"), arrival("batch" in raw.columns).alias("_seq"))
+
+
+def arrival(batch: bool, row: Column | None = None, name: Column | None = None, block: Column | None = None) -> Column:
+    """The order of arrival of a scanned lake line, as a struct that sorts."""
+    name = F.col("_metadata.file_name") if name is None else name
+    own = F.regexp_extract(name, r"^part-(\d+)-.*[.]c(\d+)", 1), F.regexp_extract(name, r"^part-(\d+)-.*[.]c(\d+)", 2)
+    part, chunk = (F.when(x != "", x.cast("int")) for x in own)
+    numbered = part.isNotNull() & F.lit(batch)
+    return F.struct(
+        landing_hour().alias("hour"), (F.col("batch").cast("long") if batch else F.lit(None).cast("long")).alias("batch"),
+        part.alias("part"), chunk.alias("chunk"), F.when(~numbered, name).alias("name"),
+        (F.col("_metadata.file_block_start") if block is None else block).alias("block"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"))
+
+
+def landing_hour() -> Column:
+    return F.make_timestamp(*[F.col(c).cast("int") for c in ("year", "month", "day", "hour")], F.lit(0), F.lit(0))
+
+
+def read_lake(spark: SparkSession, base: str, source: str, schema: T.StructType,
+              *, hours: tuple[str, str] | None = None) -> DataFrame:
+    """Read one feed of the raw lake.
+
+    The lake is ``base/source=<s>/year=/month=/day=/hour=/[batch=/]*``;
+    partition discovery keeps those columns, so ``source`` and the optional
+    ``hours`` range ('YYYY-MM-DD HH' bounds) prune directories. Lines are
+    parsed with the explicit ``schema``; the result also carries
+    ``_raw`` (line text), ``_corrupt`` (true when the line is not a JSON
+    object), ``_file``, ``_ingested_at`` (the hour under which the line was
+    landed) and ``_seq`` (the order of arrival, see ``lake_lines``), so the
+    later of two lines of one hour is the later one, and rewriting files
+    (``compact``) changes no "latest" row. A missing lake returns an empty
+    frame (S9).
+    """
+    lines = lake_lines(spark, base, source=source, hours=hours)
+    if lines is None:
+        return empty_feed(spark, schema)
+    return parse_records(lines.select(F.col("value").alias("_raw"), "_file", landing_hour().alias("_ingested_at"), "_seq"), schema)
 
 
 def corrupt_lines(feed: DataFrame) -> DataFrame:
@@ -142,15 +184,19 @@ def parse_records(df: DataFrame, schema: T.StructType, raw_col: str = "_raw",
     becomes NULL, a malformed line becomes an all-NULL record, M8)."""
     df = spread(df, partitions)
     parsed = F.from_json(F.col(raw_col), schema)
-    corrupt = F.try_parse_json(F.col(raw_col)).isNull() | ~F.startswith(
-        F.ltrim(F.col(raw_col)), F.lit("{"))
+    corrupt = is_broken(F.col(raw_col))
     return df.select(parsed.alias("_r"), "*").select(
         "_r.*", *[c for c in df.columns], corrupt.alias("_corrupt"))
 
 
+def is_broken(text: Column) -> Column:
+    """True for a text that is not a JSON object, and for NULL."""
+    return F.try_parse_json(text).isNull() | ~F.startswith(F.ltrim(text), F.lit("{"))
+
+
 def empty_feed(spark: SparkSession, schema: T.StructType) -> DataFrame:
     extra = [T.StructField("_raw", T.StringType()), T.StructField("_file", T.StringType()),
-             T.StructField("_ingested_at", T.TimestampType()),
+             T.StructField("_ingested_at", T.TimestampType()), T.StructField("_seq", SEQ),
              T.StructField("_corrupt", T.BooleanType())]
     return spark.createDataFrame([], T.StructType(list(schema.fields) + extra))
 

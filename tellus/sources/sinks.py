@@ -1,53 +1,109 @@
-"""Sinks (K1, K4-K8): snapshots with an atomic pointer, report append,
+"""Sinks (K1, K4-K8): snapshots under one atomic manifest, report append,
 and thin JDBC / Kafka adapters (their jars are not bundled)."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellus.session import scratch_path
 
-POINTER = "_POINTERS"
-
-
-def write_snapshot(df: DataFrame, base: str, name: str, *, partition_by=None,
-                   max_records_per_file: int | None = None) -> str:
-    """K4 / K5 / K7: write a new immutable snapshot of table ``name``, then
-    publish it by appending ``(path, committed_at)`` to the table's pointer
-    log. Appended files become visible only when their job commits, so
-    readers see either the previous snapshot or the new one, never a
-    half-written or empty table (the reference truncated first and could be
-    left empty)."""
-    snap = f"{base.rstrip('/')}/{name}/snap={uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(snap)
-    spark = df.sparkSession
-    (spark.createDataFrame([(snap,)], "path string")
-          .withColumn("committed_at", F.current_timestamp())
-          .coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{name}/{POINTER}"))
-    return snap
+MANIFEST = "_MANIFEST"
+_MANIFEST_ROW = "version long, id string, load string, table_name string, path string"
+
+
+class Version:
+    """One published version of a set of tables: all reads see the same load,
+    however many versions are published meanwhile."""
+
+    def __init__(self, spark: SparkSession, version: int, load: str | None, paths: dict[str, str]):
+        self.spark, self.version, self.load, self.paths = spark, version, load, paths
+
+    def read(self, name: str) -> DataFrame:
+        if name not in self.paths:
+            raise FileNotFoundError(f"no snapshot for {name}")
+        return self.spark.read.parquet(self.paths[name])
+
+    def __contains__(self, name: str) -> bool:
+        return name in self.paths
+
+
+def pin(spark: SparkSession, base: str, version: int | None = None) -> Version:
+    """The latest published version of the tables under ``base``, or an
+    earlier one by its number. Where nothing is published the version is 0
+    and has no tables."""
+    try:
+        log = spark.read.schema(_MANIFEST_ROW).parquet(f"{base.rstrip('/')}/{MANIFEST}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return Version(spark, 0, None, {})
+        raise
+    if version is not None:
+        log = log.filter(F.col("version") == version)
+    # two publishers may have taken one number: the same one of them wins for every reader
+    last = log.agg(F.max(F.struct("version", "id")).alias("m")).first().m
+    if last is None:
+        return Version(spark, 0, None, {})
+    rows = log.filter((F.col("version") == last.version) & (F.col("id") == last.id)).collect()  # a row per table
+    return Version(spark, last.version, rows[0].load, {r.table_name: r.path for r in rows})
+
+
+def publish_tables(tables: Mapping[str, DataFrame], base: str, *, load: str | None = None, partition_by=None,
+            max_records_per_file: int | None = None) -> Version:
+    """K4 / K5 / K7: write a new immutable snapshot of each of ``tables``,
+    then make all of them visible at once by appending one file to the
+    manifest, which names the snapshot of every table (those not written
+    here keep theirs). That file appears when its job commits, so a reader
+    sees all tables of the old version or all of the new one; a failure
+    before that leaves the old version (the reference truncated first and
+    could be left empty, or with parents and children of different loads).
+    ``load`` names what the version holds, for loads that must not be
+    applied twice. One publisher at a time."""
+    base = base.rstrip("/")
+    spark = next(iter(tables.values())).sparkSession
+    paths = {name: f"{base}/{name}/snap={uuid.uuid4().hex}" for name in tables}
+
+    def write(name: str) -> None:
+        w = tables[name].write.mode("errorifexists")
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", max_records_per_file)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(paths[name])
+    _at_once(write, list(tables))
+    before = pin(spark, base)
+    number, key, held = before.version + 1, uuid.uuid4().hex, before.paths | paths
+    rows = [(number, key, load if load is not None else before.load, n, p) for n, p in sorted(held.items())]
+    spark.createDataFrame(rows, _MANIFEST_ROW).coalesce(1).write.mode("append").parquet(f"{base}/{MANIFEST}")
+    return Version(spark, number, rows[0][2], held)
+
+
+def write_snapshot(df: DataFrame, base: str, name: str, **options) -> str:
+    """Publish a new snapshot of the one table ``name``; returns its path."""
+    return publish_tables({name: df}, base, **options).paths[name]
 
 
 def read_snapshot(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """The latest published snapshot of ``name`` (one tiny read of the
-    pointer log, then a scan of that snapshot)."""
-    log = spark.read.parquet(f"{base.rstrip('/')}/{name}/{POINTER}")
-    ptr = log.agg(F.max_by("path", F.struct("committed_at", "path")).alias("path")).first()
-    if ptr is None or ptr.path is None:
-        raise FileNotFoundError(f"no snapshot for {name}")
-    return spark.read.parquet(ptr.path)
+    """The table ``name`` of the latest version under ``base``, which may be
+    a folder inside the published one. Several tables of one version are
+    read through ``pin``."""
+    here = pin(spark, base)
+    if name not in here:
+        parent, _, leaf = base.rstrip("/").rpartition("/")
+        above = pin(spark, parent) if parent else here
+        if f"{leaf}/{name}" in above:
+            return above.read(f"{leaf}/{name}")
+    return here.read(name)
 
 
 def write_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
-    return {n: write_snapshot(df, base, n) for n, df in tables.items()}
+    held = publish_tables(tables, base).paths
+    return {n: held[n] for n in tables}
 
 
 def append_report(report: DataFrame, path: str) -> None:
@@ -64,18 +120,19 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _at_once(write, items: list, max_workers: int = 4) -> None:
+    """Call ``write`` for each item from a few driver threads: each write is
+    its own Spark job, so jobs that cannot fill the cluster on their own
+    (small tables, narrow stages) overlap. The first failure is raised."""
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        for done in [pool.submit(write, x) for x in items]:
+            done.result()
+
+
 def write_parquet_all(items: list[tuple[DataFrame, str]], max_workers: int = 4,
                       mode: str = "errorifexists") -> None:
-    """Write independent frames concurrently: each write is its own Spark
-    job, submitted from a driver thread, so jobs that cannot fill the
-    cluster on their own (small tables, narrow stages) overlap."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        futures = [pool.submit(lambda d=df, p=path: d.write.mode(mode).parquet(p))
-                   for df, path in items]
-        for f in futures:
-            f.result()
+    """Write independent frames concurrently."""
+    _at_once(lambda x: x[0].write.mode(mode).parquet(x[1]), items, max_workers)
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict) -> None:
