@@ -27,8 +27,12 @@ from pyspark.sql.functions import pandas_udf
 
 from tellus.llm.common import small_batches, text_or_empty
 
+# Fixed value: the split pattern whose safe boundaries are known.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts above this many code points are cut before they are encoded.
 PIECE_CHARS = 32768
+#: Runs of so much white space are encoded without the library's pattern engine.
+RUN_CHARS = 10_000
 
 # A match of the split pattern never runs on from a letter, number or mark of
 # punctuation into a space or line feed, nor from a letter into a number or
@@ -57,10 +61,25 @@ def safe_pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode_text(enc: tiktoken.Encoding, text: str, size: int = PIECE_CHARS) -> list[int]:
-    if len(text) <= size:
+def blank_runs(text: str, run: int) -> Iterator[tuple[int, int]]:
+    """Start and end of the matches of ``\\s+(?!\\S)`` that hold ``run`` code
+    points or more: a whole run of white space at the end of the text, all
+    but its last code point before another one."""
+    for m in regex.finditer(r"\p{White_Space}{%d,}+" % (run + 1), text):
+        yield m.start(), m.end() - (m.end() < len(text))
+
+
+def encode_text(enc: tiktoken.Encoding, text: str, size: int = PIECE_CHARS, run: int = RUN_CHARS) -> list[int]:
+    if len(text) <= min(size, run) or enc._pat_str != SPLIT:
         return enc.encode_ordinary(text)
-    return [i for piece in safe_pieces(text, size) for i in enc.encode_ordinary(piece)]
+    ids, start = [], 0
+    for a, b in [*blank_runs(text, run), (len(text), len(text))]:
+        for piece in safe_pieces(text[start:a], size):
+            ids += enc.encode_ordinary(piece)
+        if a < b:
+            ids += enc._encode_single_piece(text[a:b].encode())
+        start = b
+    return ids
 
 
 def encode(text: Column, rank_file: str, pattern: str) -> Column:

@@ -240,6 +240,43 @@ def test_safe_pieces_keep_the_ids(text):
         assert bpe.encode_text(enc, text, size) == enc.encode_ordinary(text)
 
 
+BLANKS = {"spaces": " ", "line feeds": "\n", "mixed": " \n\t\r\u3000\u00a0", "controls": "\x1c\x1f", "ends": "\r\n"}
+
+
+@pytest.mark.parametrize("blank", BLANKS)
+def test_blank_runs_keep_the_ids(blank):
+    """Runs that the library can match itself, cut as long ones are."""
+    enc = bpe.encoding(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    assert P.PATTERN == bpe.SPLIT
+    for n in (1, 2, 19, 20, 21, 22, 40, 3001):
+        r = (BLANKS[blank] * n)[:n]
+        for text in (r, r + "x", "x" + r, "x" + r + "y", "a" + r + "1" + r + "!" + r, r + "'s" + r + "é ", "?" + r + "\x1cz"):
+            assert bpe.encode_text(enc, text, 50, 20) == enc.encode_ordinary(text), (blank, n)
+
+
+@pytest.mark.parametrize("blank", BLANKS)
+def test_two_million_blanks(spark, blank):
+    enc = bpe.encoding(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    r = (BLANKS[blank] * 2_000_000)[:2_000_000]
+    texts = {"start": r + "word", "middle": "one" + r + "two", "end": "word" + r}
+    long = blank != "controls"  # which are no white space to the library
+    run = lambda t: enc._encode_single_piece(t.encode())
+    rest = lambda t: enc.encode_ordinary(t)
+    expect = {"start": run(r[:-1]) + rest(r[-1] + "word"), "middle": rest("one") + run(r[:-1]) + rest(r[-1] + "two"),
+              "end": rest("word") + run(r)} if long else {k: rest(t) for k, t in texts.items()}
+    d = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    for x in bpe.round_trip(d, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect():
+        assert np.frombuffer(x.ids, "<u4").tolist() == expect[x.doc_id]
+        assert bytes(x.decoded).decode() == texts[x.doc_id]
+
+
+def test_another_pattern_is_not_cut():
+    """Its punctuation runs on into line feeds, which the known boundaries would cut."""
+    enc = bpe.encoding(P.path("byte_bpe_50k.tiktoken"), r"[^\s\p{L}]+[\r\n]*|\p{L}+|\s+")
+    text = "a!\n\n" * 5000
+    assert bpe.encode_text(enc, text, 50, 20) == enc.encode_ordinary(text)
+
+
 def test_encode_and_decode_columns(spark):
     f = (P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     d = spark.createDataFrame([("a😀", ), (None, )], "t string").select(bpe.encode(F.col("t"), *f).alias("i"))
