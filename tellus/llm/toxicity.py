@@ -47,9 +47,9 @@ LIFT, LEAST = 8.0, 8
 SEQUENCE, PLAIN = 48, 4000
 STEPS, L2 = 120, 1e-3
 #: Words of a task's cache of evidence; it is emptied beyond.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Characters of texts that are tagged side by side, about.
-SIDE_CHARS = 4_000_000
+SIDE_CHARS = 1_000_000
 REJECT = 0.5
 
 _WORD = re.compile(r"\w+")
@@ -273,13 +273,17 @@ def tag(docs: DataFrame, model: Model, text_col: str = "text", with_spans: bool
             found = [spans(t, q) if with_spans and len(q) and q.max() >= 0.5 else [] for t, q in zip(held, p)]
             return pd.DataFrame({"score": score, "spans": found})
         for b in batches:
-            held += list(b)
-            size += int(b.str.len().sum())
-            if size >= SIDE_CHARS:
-                yield flush()
+            done = []
+            for t in b:
+                held.append(t)
+                size += len(t)
+                if size >= SIDE_CHARS:
+                    done.append(flush())
+                    held, size = [], 0
+            if held:
+                done.append(flush())
                 held, size = [], 0
-        if held:
-            yield flush()
+            yield pd.concat(done) if done else pd.DataFrame({"score": np.zeros(0), "spans": []})
         held, seen = [], {}
         give_back()
     small_batches(docs.sparkSession)
