@@ -332,19 +332,31 @@ def keyed(docs: DataFrame, text_col: str) -> list[Column]:
 _FETCHED_SQL = "anchor long, place int, t1 long, t2 long, s long, windows int, bytes binary, fixed boolean, hot boolean"
 
 
+#: Bytes of fetched segments whose anchors are placed at a time.
+FETCH_BYTES = 1 << 20
+
+
 def _fetch(length: int, gram: int, words: bool = False) -> object:
     """The bytes of the wanted segments of each text."""
+    def placed(out: list[tuple]) -> pd.DataFrame:
+        f = pd.DataFrame(out, columns=["anchor", "t1", "t2", "s", "windows", "bytes", "fixed", "hot"])
+        f["place"] = _places(f, length, gram) if len(f) else np.zeros(0, np.int32)
+        return f[[c.split()[0] for c in _FETCHED_SQL.split(", ")]]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, size = [], 0
         for b in batches:
-            out, of = [], _bytes_of(words)
+            of = _bytes_of(words)
             for t1, t2, text, wanted in zip(b["t1"], b["t2"], b["text"], b["wanted"]):
                 raw = of(text)
                 for w in wanted:
                     piece = raw[w["s"]:w["s"] + w["windows"] + length - 1]
                     out.append((w["anchor"], t1, t2, w["s"], w["windows"], piece, w["fixed"], w["hot"]))
-            f = pd.DataFrame(out, columns=["anchor", "t1", "t2", "s", "windows", "bytes", "fixed", "hot"])
-            f["place"] = _places(f, length, gram) if len(f) else np.zeros(0, np.int32)
-            yield f[[c.split()[0] for c in _FETCHED_SQL.split(", ")]]
+                    size += len(piece)
+                    if size >= FETCH_BYTES:
+                        yield placed(out)
+                        out, size = [], 0
+        yield placed(out)
         _POWERS.clear()
         give_back()
     return run
