@@ -266,30 +266,36 @@ def d04_one_match_per_pair(spark, d):
 @register("j01_time_band_join", f"""
 WITH e AS ({_pts_sql(LEFT)}), q AS ({_pts_sql(RIGHT)})
 SELECT e.id AS l_id, COUNT(*) AS pairs, MIN(q.id) AS first_id,
-       CAST(SUM(floor(epoch(q.ts)) - floor(epoch(e.ts))) AS BIGINT) AS delay_seconds
+       CAST(SUM(floor(epoch(q.ts)) - floor(epoch(e.ts))) AS BIGINT) AS delay_seconds,
+       CAST(SUM(CAST(floor(epoch(q.ts)) - floor(epoch(e.ts)) + 1000 AS BIGINT) * q.id % 1000003) AS BIGINT) AS digest
 FROM e JOIN q ON abs((floor(epoch(q.ts)) - floor(epoch(e.ts))) / 3600.0) <= 0.25 GROUP BY e.id""")
 def j01_time_band_join(spark, d):
     """Temporal band join alone (15 minutes), as a bucketed equi-join;
-    the pairs are counted per left id."""
+    the pairs are counted per left id, and a digest holds each right id with
+    its delay."""
     out = M.time_band_join(points(spark, d, LEFT), points(spark, d, RIGHT), max_hours=0.25,
                            left_id="id", left_ts="ts", right_id="id", right_ts="ts")
     return out.groupBy("l_id").agg(F.count("*").alias("pairs"), F.min("r_id").alias("first_id"),
-                                   F.sum("delay_seconds").alias("delay_seconds"))
+                                   F.sum("delay_seconds").alias("delay_seconds"),
+                                   F.sum((F.col("delay_seconds") + 1000) * F.col("r_id") % 1000003).alias("digest"))
 
 
 @register("j02_radius_join", f"""
 WITH e AS ({_pts_sql(LEFT)}), q AS ({_pts_sql(RIGHT)}),
 p AS (SELECT e.id AS l_id, q.id AS r_id, {_HAV_SQL} AS dist FROM e, q)
-SELECT l_id, COUNT(*) AS pairs, MIN(r_id) AS first_id, round(MIN(dist), 2) AS distance_km
+SELECT l_id, COUNT(*) AS pairs, MIN(r_id) AS first_id, round(MIN(dist), 2) AS distance_km,
+       CAST(SUM(CAST(floor(dist * 1000) AS BIGINT) * r_id % 1000003) AS BIGINT) AS digest
 FROM p WHERE dist <= 100.0 GROUP BY l_id""")
 def j02_radius_join(spark, d):
     """Spatial radius join alone (100 km, any time); the pairs are
-    counted per left id."""
+    counted per left id, and a digest holds each right id with its distance
+    in metres."""
     out = M.radius_join(points(spark, d, LEFT), points(spark, d, RIGHT), max_km=100.0,
                         left_id="id", left_lon="lon", left_lat="lat",
                         right_id="id", right_lon="lon", right_lat="lat")
     return out.groupBy("l_id").agg(F.count("*").alias("pairs"), F.min("r_id").alias("first_id"),
-                                   F.round(F.min("distance_km"), 2).alias("distance_km"))
+                                   F.round(F.min("distance_km"), 2).alias("distance_km"),
+                                   F.sum(F.floor(F.col("distance_km") * 1000) * F.col("r_id") % 1000003).alias("digest"))
 
 
 @register("q10_match_details", _match_sql() + """
