@@ -3,6 +3,7 @@
 
 ingest      Kafka topics -> raw JSONL lake (Structured Streaming)
 clean-load  lake -> staging + clean snapshots + event_earthquake (entry 1)
+load        what landed in the lake since the last load -> one version of all clean tables
 sync        lake event feed -> clean snapshots, record by record isolation (entry 5)
 audit       staging (+ public) snapshots -> report rows, repaired staging (entry 2)
 report      summary of the latest run from the report table
@@ -16,6 +17,7 @@ import sys
 
 from tellus import schemas as SC
 from tellus.plans import clean_load as PL
+from tellus.plans import incremental as INC
 from tellus.plans import report as RP
 from tellus.plans import upsert as UP
 from tellus.plans.quality_run import quality_run
@@ -38,6 +40,12 @@ def _clean_load(spark, a) -> None:
     print(f"version {v.version}, tables {len(v.paths)}")
 
 
+def _load(spark, a) -> None:
+    v = INC.load(spark, a.lake, a.tables, a.ledger, event_source=a.event_source, quake_source=a.quake_source,
+                 max_files=a.max_files, max_km=a.max_km, max_hours=a.max_hours)
+    print(f"version {v.version}, load {v.load}")
+
+
 def _sync(spark, a) -> None:
     ev = FD.read_lake(spark, a.lake, a.event_source, SC.EVENT_RECORD)
     # six tables and the counts derive from the records: parse the lake once
@@ -88,6 +96,15 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--require-both", action="store_true", help="stop unless both feeds have records (S10)")
     c.add_argument("--max-km", type=float, default=500.0)
     c.add_argument("--max-hours", type=float, default=168.0)
+    n = sub.add_parser("load")
+    n.add_argument("--lake", required=True)
+    n.add_argument("--tables", required=True)
+    n.add_argument("--ledger", required=True, help="checkpoint folder of the loads")
+    n.add_argument("--event-source", default="eonet")
+    n.add_argument("--quake-source", default="usgs")
+    n.add_argument("--max-files", type=int, help="lake files of a version at most")
+    n.add_argument("--max-km", type=float, default=500.0)
+    n.add_argument("--max-hours", type=float, default=168.0)
     a = sub.add_parser("audit")
     a.add_argument("--tables", required=True)
     a.add_argument("--report", required=True)
@@ -112,12 +129,12 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--max-delay", default="30s")
     i.add_argument("--every", default="1 second")
     i.add_argument("--once", action="store_true")
-    for x in (c, a, s, r):
+    for x in (c, n, a, s, r):
         x.add_argument("--checkpoint-dir", help="shared folder; needed on a cluster unless spark.checkpoint.dir is set")
     return p
 
 
-COMMANDS = {"clean-load": _clean_load, "sync": _sync, "audit": _audit, "report": _report, "ingest": _ingest}
+COMMANDS = {"clean-load": _clean_load, "load": _load, "sync": _sync, "audit": _audit, "report": _report, "ingest": _ingest}
 
 
 def main(argv=None, spark=None) -> None:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins/aggregates at runtime
@@ -71,10 +72,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="tellus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
-        pass
+        sc = spark.sparkContext
+    except (AttributeError, PySparkException):  # Spark Connect has none
+        return d
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
