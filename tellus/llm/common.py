@@ -14,12 +14,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting by which a finished job's shuffle files go at once.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder: the lineage
-    is cut and a lost executor costs no recomputation beyond this point."""
-    path = scratch_path(df.sparkSession, "llm", label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    is cut and a lost executor costs no recomputation beyond this point, so
+    the shuffle files behind the table go as soon as it stands."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", label)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once what was made of them is
+    written too."""
+    for t in tables:
+        spark = t.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 #: Rows handed to a Python worker at a time: whole texts, so not too many.

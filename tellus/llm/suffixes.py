@@ -28,7 +28,12 @@ anywhere else (the same text included) is removed. Matches never cross texts.
 By words (``remove_from_texts`` with ``words``): every word that lies in a run
 of so many words which also starts anywhere else is removed too, whatever its
 bytes and the white space between. Each word becomes a code of ``WORD`` bytes
-and the codes are searched as above; only runs of whole codes count.
+and the codes are searched as above; only runs of whole codes count. Both
+searches share one scan and one chain of tables: the lowest bit of an anchor
+says whose it is, so their segments never meet.
+
+Every table goes once what was made of it is written, and so do the shuffle
+files behind it; the ranges found are all that stays.
 
 Texts are known by a 128-bit hash, so copies are sorted once and repeated
 rows or null ids do no harm.
@@ -43,6 +48,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -50,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tellus.llm.common import columns, fresh, give_back, small_batches, text_or_empty, written
+from tellus.llm.common import columns, discard, fresh, give_back, small_batches, text_or_empty, written
 
 LENGTH = 400
 GRAM = 64
@@ -62,6 +68,8 @@ BLOCK = 16
 SORT_ROWS = 2048
 #: Bytes of a word's code.
 WORD = 6
+#: Codes of words kept at a time.
+CODES = 1 << 17
 #: Bytes scanned at a time; a longer text is scanned in parts that overlap.
 PART = 1 << 20
 
@@ -168,9 +176,11 @@ def _parts(texts: list[bytes], length: int, most: int) -> Iterator[list[tuple[in
 
 
 class _Codes(dict):
-    """Codes of the words met so far."""
+    """Codes of the words met lately."""
 
     def __missing__(self, word: str) -> bytes:
+        if len(self) >= CODES:
+            self.clear()
         code = self[word] = hashlib.blake2b(_raw(word), digest_size=WORD).digest()
         return code
 
@@ -182,25 +192,36 @@ def _bytes_of(words: bool) -> Callable[[str | None], bytes]:
     return (lambda t: b"".join([codes[w] for w in (t or "").split()])) if words else _raw
 
 
-def _scan(length: int, gram: int, words: bool = False) -> object:
+class Search(NamedTuple):
+    """One of the searches of a chain: strings of ``length`` bytes of the
+    texts or, with ``words``, of their words' codes."""
+
+    length: int
+    gram: int
+    words: bool = False
+
+
+def _scan(searches: list[Search]) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = [_bytes_of(x.words) for x in searches]
         for b in batches:
             t1, t2 = (b.column(c).to_numpy(zero_copy_only=False) for c in ("t1", "t2"))
-            texts = list(map(_bytes_of(words), b.column("text").to_pylist()))
-            for group in _parts(texts, length, PART):
-                row, at = np.array([g[0] for g in group]), np.array([g[1] for g in group], np.int64)
-                sizes = np.array([len(g[2]) for g in group], np.int64)
-                ends = np.cumsum(sizes)
-                joined = b"".join(g[2] for g in group)
-                first, last, anchor = segments(np.frombuffer(joined, np.uint8), ends, length, gram)
-                if not len(first):
-                    continue
-                view = memoryview(joined)
-                g = _digests([view[a:b + length] for a, b in zip(first.tolist(), last.tolist())])
-                k = np.searchsorted(ends, first, "right")
-                start = first - (ends - sizes)[k] + at[k]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(x) for x in (anchor, g[:, 0], g[:, 1], t1[row[k]], t2[row[k]], start, (last - first + 1).astype(np.int32))], schema=_SEGMENT)
+            for kind, (length, gram, _) in enumerate(searches):
+                texts = list(map(made[kind], b.column("text").to_pylist()))
+                for group in _parts(texts, length, PART):
+                    row, at = np.array([g[0] for g in group]), np.array([g[1] for g in group], np.int64)
+                    sizes = np.array([len(g[2]) for g in group], np.int64)
+                    ends = np.cumsum(sizes)
+                    joined = b"".join(g[2] for g in group)
+                    first, last, anchor = segments(np.frombuffer(joined, np.uint8), ends, length, gram)
+                    if not len(first):
+                        continue
+                    view = memoryview(joined)
+                    g = _digests([view[a:b + length] for a, b in zip(first.tolist(), last.tolist())])
+                    k = np.searchsorted(ends, first, "right")
+                    start = first - (ends - sizes)[k] + at[k]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                        anchor & ~1 | kind, g[:, 0], g[:, 1], t1[row[k]], t2[row[k]], start, (last - first + 1).astype(np.int32))], schema=_SEGMENT)
         _POWERS.clear()
         give_back()
     return run
@@ -306,8 +327,13 @@ def sort_segments(rows: pd.DataFrame, length: int, values: np.ndarray = _VALUES)
     return _runs(rows, seg, nth, found, length)
 
 
-def _sorted_bucket(rows: pd.DataFrame, length: int) -> pd.DataFrame:
-    out = sort_segments(rows, length)
+_FOUND_SQL = "kind int, t1 long, t2 long, start long, stop long"
+
+
+def _sorted_bucket(rows: pd.DataFrame, searches: list[Search]) -> pd.DataFrame:
+    kind = int(rows["anchor"].iloc[0]) & 1
+    out = sort_segments(rows, searches[kind].length)
+    out.insert(0, "kind", kind)
     _POWERS.clear()
     give_back()
     return out
@@ -336,27 +362,30 @@ _FETCHED_SQL = "anchor long, place int, t1 long, t2 long, s long, windows int, b
 FETCH_BYTES = 1 << 20
 
 
-def _fetch(length: int, gram: int, words: bool = False) -> object:
+def _fetch(searches: list[Search]) -> object:
     """The bytes of the wanted segments of each text."""
-    def placed(out: list[tuple]) -> pd.DataFrame:
-        f = pd.DataFrame(out, columns=["anchor", "t1", "t2", "s", "windows", "bytes", "fixed", "hot"])
-        f["place"] = _places(f, length, gram) if len(f) else np.zeros(0, np.int32)
-        return f[[c.split()[0] for c in _FETCHED_SQL.split(", ")]]
+    def placed(out: list[list[tuple]]) -> Iterator[pd.DataFrame]:
+        for rows, (length, gram, _) in zip(out, searches):
+            f = pd.DataFrame(rows, columns=["anchor", "t1", "t2", "s", "windows", "bytes", "fixed", "hot"])
+            f["place"] = _places(f, length, gram) if len(f) else np.zeros(0, np.int32)
+            rows.clear()
+            yield f[[c.split()[0] for c in _FETCHED_SQL.split(", ")]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, size = [], 0
+        out, size = [[] for _ in searches], 0
+        made = [_bytes_of(x.words) for x in searches]
         for b in batches:
-            of = _bytes_of(words)
             for t1, t2, text, wanted in zip(b["t1"], b["t2"], b["text"], b["wanted"]):
-                raw = of(text)
+                raw = [of(text) if any(w["anchor"] & 1 == kind for w in wanted) else b"" for kind, of in enumerate(made)]
                 for w in wanted:
-                    piece = raw[w["s"]:w["s"] + w["windows"] + length - 1]
-                    out.append((w["anchor"], t1, t2, w["s"], w["windows"], piece, w["fixed"], w["hot"]))
+                    kind = w["anchor"] & 1
+                    piece = raw[kind][w["s"]:w["s"] + w["windows"] + searches[kind].length - 1]
+                    out[kind].append((w["anchor"], t1, t2, w["s"], w["windows"], piece, w["fixed"], w["hot"]))
                     size += len(piece)
                     if size >= FETCH_BYTES:
-                        yield placed(out)
-                        out, size = [], 0
-        yield placed(out)
+                        yield from placed(out)
+                        size = 0
+        yield from placed(out)
         _POWERS.clear()
         give_back()
     return run
@@ -369,10 +398,10 @@ def _places(f: pd.DataFrame, length: int, gram: int) -> np.ndarray:
     size = f["bytes"].str.len().to_numpy(np.int64)
     begin = np.cumsum(size) - size
     p = Prefixes(data)
-    hashes = _mix((p.sums[gram:] - p.sums[:-gram]) * p.inverse[:len(data) - gram + 1]).view(np.int64)
+    hashes = _mix((p.sums[gram:] - p.sums[:-gram]) * p.inverse[:len(data) - gram + 1]).view(np.int64) & ~1
     rows = begin[:, None] + np.arange(length - gram + 1)[None, :]
     last = f["windows"].to_numpy(np.int64) - 1  # the anchor lies in every window: from the last one's start on
-    same = (hashes[rows] == f["anchor"].to_numpy(np.int64)[:, None]) & (np.arange(length - gram + 1)[None, :] >= last[:, None])
+    same = (hashes[rows] == (f["anchor"].to_numpy(np.int64) & ~1)[:, None]) & (np.arange(length - gram + 1)[None, :] >= last[:, None])
     return same.argmax(1).astype(np.int32)
 
 
@@ -434,50 +463,71 @@ def _hot_spans(hot: DataFrame, length: int, size: int = BLOCK) -> DataFrame:
     twice = found.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2")
     runs = found.join(twice, ["d1", "d2"]).groupBy("t1", "t2").agg(F.collect_list("p").alias("p"))
     runs = runs.select("t1", "t2", F.explode(_merged(F.col("p"), length)).alias("r"))
-    return equal.unionByName(runs.select("t1", "t2", "r.start", "r.stop"))
+    out = written(equal.unionByName(runs.select("t1", "t2", "r.start", "r.stop")), "hot")
+    discard(blocks, pieces, found)
+    return out
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int | None = None, group: int = GROUP) -> DataFrame:
     """(t1, t2, start, stop): byte ranges of texts that repeated strings
     cover; they may overlap. A text is known by the hashes of ``keyed``."""
-    return _spans_of(docs, text_col, length, gram, group)
+    return _found(docs, text_col, [_search(length, gram)], group).drop("kind")
 
 
 def repeated_words(docs: DataFrame, text_col: str, words: int) -> DataFrame:
     """(t1, t2, start, stop): ranges of words, from 0, of texts that repeated
     runs of ``words`` words cover; they may overlap."""
-    found = _spans_of(docs, text_col, words * WORD, words=words)
+    return _whole_words(_found(docs, text_col, [_search(words * WORD, words=True)]).drop("kind"), words)
+
+
+def _whole_words(found: DataFrame, words: int) -> DataFrame:
     whole = found.select("t1", "t2", F.ceil(F.col("start") / WORD).alias("start"), F.floor(F.col("stop") / WORD).alias("stop"))
     return whole.filter(F.col("stop") - F.col("start") >= words)
 
 
-def _spans_of(docs: DataFrame, text_col: str, length: int, gram: int | None = None, group: int = GROUP, words: int = 0) -> DataFrame:
-    """``repeated_spans``, with ``words`` of the words' codes."""
-    gram = gram or min(GRAM, max(1, length // 4))
+def _search(length: int, gram: int | None = None, words: bool = False) -> Search:
+    return Search(length, gram or min(GRAM, max(1, length // 4)), words)
+
+
+def _found(docs: DataFrame, text_col: str, searches: list[Search], group: int = GROUP) -> DataFrame:
+    """(kind, t1, t2, start, stop), written: what each search, known by its
+    place in the list (two at most), finds."""
     small_batches(docs.sparkSession)
     texts = docs.select(*keyed(docs, text_col), text_or_empty(F.col(text_col)).alias("text"))
-    least = 2 * words - 1 if words else length
-    scanned = written(texts.filter(F.octet_length("text") >= least).mapInArrow(_scan(length, gram, words > 0), _SEGMENT_SQL), "segments")
-    same = scanned.groupBy("anchor", "g1", "g2").agg(
-        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("t1", "t2", "s", "windows")])
+    least = min(2 * (x.length // WORD) - 1 if x.words else x.length for x in searches)
+    kind = F.col("anchor").bitwiseAND(F.lit(1)).cast("int")
+    length = F.element_at(F.array(*[F.lit(x.length) for x in searches]), kind + 1)
+    segment = ["anchor", "g1", "g2"]
+
+    scanned = written(texts.filter(F.octet_length("text") >= least).mapInArrow(_scan(searches), _SEGMENT_SQL), "segments")
+    same = scanned.groupBy(*segment).agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("t1", "t2", "s", "windows")])
     same = written(same, "classes")
-    twice = same.filter("n > 1").select("anchor", "g1", "g2")
-    whole = scanned.join(twice, ["anchor", "g1", "g2"]).select("t1", "t2", F.col("s").alias("start"), (F.col("s") + F.col("windows") - 1 + length).alias("stop"))
     kinds = same.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
-    kinds = kinds.filter("kinds > 1 AND single > 0")
-    wanted = same.join(kinds, "anchor").select("t1", "t2", F.struct(
-        "anchor", "s", "windows", (F.col("n") > 1).alias("fixed"), (F.col("kinds") > group).alias("hot")).alias("w"))
-    wanted = wanted.groupBy("t1", "t2").agg(F.collect_list("w").alias("wanted"))  # of one text: bounded by its length
+    shared = written(same.join(kinds.filter("kinds > 1 AND single > 0"), "anchor").select(
+        "anchor", "t1", "t2", "s", "windows", (F.col("n") > 1).alias("fixed"), (F.col("kinds") > group).alias("hot")), "shared")
+    twice = written(same.filter("n > 1").select(*segment), "twice")
+    discard(same)
+    whole = scanned.join(twice, segment).select(
+        kind.alias("kind"), "t1", "t2", F.col("s").alias("start"), (F.col("s") + F.col("windows") - 1 + length).alias("stop"))
+    whole = written(whole, "whole")
+    discard(scanned, twice)
+
+    wanted = shared.groupBy("t1", "t2").agg(F.collect_list(F.struct("anchor", "s", "windows", "fixed", "hot")).alias("wanted"))  # of one text: bounded by its length
     once = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"))  # copies meet before the shuffle
-    fetched = once.join(wanted, ["t1", "t2"]).mapInPandas(_fetch(length, gram, words > 0), _FETCHED_SQL)
-    fetched = written(fetched, "fetched")
-    sizes = fetched.agg(F.count_if(~F.col("hot")).alias("cold"), F.count_if("hot").alias("hot")).first()
+    fetched = written(once.join(wanted, ["t1", "t2"]).mapInPandas(_fetch(searches), _FETCHED_SQL), "fetched")
+    discard(shared)
+    sizes = fetched.agg(F.count_if(~F.col("hot")).alias("cold"), *[
+        F.count_if(F.col("hot") & (kind == k)).alias(f"hot{k}") for k in range(len(searches))]).first()
     buckets = 1 + sizes["cold"] // SORT_ROWS
-    sort = fetched.filter("NOT hot").groupBy(F.pmod("anchor", F.lit(buckets)).alias("bucket")).applyInPandas(
-        lambda f: _sorted_bucket(f, length), "t1 long, t2 long, start long, stop long")
-    out = whole.unionByName(sort)
-    if sizes["hot"]:
-        out = out.unionByName(_hot_spans(fetched.filter("hot"), length))
+    out = fetched.filter("NOT hot").groupBy(kind.alias("kind"), F.pmod("anchor", F.lit(buckets)).alias("bucket")).applyInPandas(
+        lambda f: _sorted_bucket(f, searches), _FOUND_SQL)
+    out, hot = whole.unionByName(out), []
+    for k, x in enumerate(searches):
+        if sizes[f"hot{k}"]:
+            hot.append(_hot_spans(fetched.filter(F.col("hot") & (kind == k)), x.length))
+            out = out.unionByName(hot[-1].withColumn("kind", F.lit(k)))
+    out = written(out, "found")
+    discard(fetched, whole, *hot)
     return out
 
 
@@ -545,9 +595,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", result: str = "resul
     def with_spans(d: DataFrame, spans: DataFrame, name: str) -> DataFrame:
         spans = spans.distinct().groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
         return d.join(spans.select(F.col("t1").alias(a), F.col("t2").alias(b), F.col("spans").alias(name)), [a, b], "left")
-    d = with_spans(d, repeated_spans(docs, text_col, length, group=group), s)
+    found = _found(docs, text_col, [_search(length)] + ([_search(words * WORD, words=True)] if words else []), group)
+    d = with_spans(d, found.filter("kind = 0").drop("kind"), s)
     if words:
-        d = with_spans(d, repeated_words(docs, text_col, words), w)
+        d = with_spans(d, _whole_words(found.filter("kind = 1").drop("kind"), words), w)
     else:
         d = d.withColumn(w, F.lit(None).cast("array<struct<start: long, stop: long>>"))
     cut = pandas_udf(_cut(as_text), f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
