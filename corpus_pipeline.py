@@ -4,7 +4,8 @@ passages, packing.
 Each stage takes (spark, docs, sf_dir) and works on all rows it is given; all
 but the last return the columns of ``documents``. ``run`` writes the result
 of each stage as Parquet into the shared checkpoint folder and reads it back,
-so a lost executor costs one stage at most.
+so a lost executor costs one stage at most; what a stage has read goes once
+its own result is written.
 
 Defined cases, by stage:
 
@@ -29,7 +30,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tellus.llm import langid, packing, simhash, suffixes, toxicity
-from tellus.llm.common import table, written
+from tellus.llm.common import discard, table, written
 
 
 #: Words of a passage that may not repeat: over 50.
@@ -70,7 +71,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
