@@ -310,10 +310,43 @@ def test_op8_against_sql(spark, folder, nothing, tmp_path):
         assert same_rows(queries.op8_license_scan(spark, path), con, licenses.oracle_sql())
 
 
+WRAPPED = {
+    "MIT-text": "MIT License\n\nCopyright (c) 2020 A. Person\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+    "of this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, subject to the following "
+    "conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the "
+    "Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED.",
+    "BSD-2-Clause": "Copyright (c) 2020, A. Person\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright\n"
+    "   notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright\n"
+    "   notice, this list of conditions and the following disclaimer in the\n   documentation.\n",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the\n"
+    "above copyright notice appear in all copies.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+    "the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+    "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "Apache-2.0,Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with "
+    "the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or "
+    "agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OF ANY KIND.",
+}
+WRAPPED["BSD-3-Clause"] = WRAPPED["BSD-2-Clause"] + ("\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to "
+                                                     "endorse or promote products derived from\n   this software.\n")
+
+
+def test_op8_wrapped_and_commented_texts(spark, tmp_path):
+    rows = [(name, mark, mark + t.replace("\n", "\r\n" + mark)) for name, t in WRAPPED.items() for mark in ("", " * ", "# ", "// ")]
+    f = write(spark, str(tmp_path), documents=spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id long, text string"))
+    got = {r.doc_id: r for r in queries.op8_license_scan(spark, f).collect()}
+    assert [(r[0], r[1], got[i].licenses) for i, r in enumerate(rows)] == [(r[0], r[1], r[0]) for r in rows]
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{f}/documents.parquet/*.parquet'")
+    assert same_rows(queries.op8_license_scan(spark, f), con, licenses.oracle_sql())
+
+
 def test_gap_between_sentences_is_bounded(spark):
     parts = ["Permission is hereby granted, free of charge, to any person obtaining a copy", "The above copyright notice and this permission notice "
              "shall be included in all copies", "The software is provided as is, without warranty of any kind"]
-    d = spark.createDataFrame([(g, ("\n" + "x\n" * g).join(parts)) for g in range(5)], "doc_id long, text string")
+    d = spark.createDataFrame([(g, ("\n\n" + "x\n\n" * g).join(parts)) for g in range(5)], "doc_id long, text string")
     found = {r.doc_id: r.licenses for r in licenses.scan(d).collect()}
     assert [found[g] for g in range(5)] == [["MIT-text"]] * 3 + [[]] * 2
 
