@@ -37,7 +37,7 @@ def _clean_load(spark, a) -> None:
     tables = PL.run(ev, qk, max_km=a.max_km, max_hours=a.max_hours, checkpoint=True)
     tables["quarantine.line"] = FD.corrupt_lines(ev).unionByName(FD.corrupt_lines(qk))
     v = K.publish_tables({n.replace(".", "/") if "." in n else f"public/{n}": df for n, df in tables.items()}, a.out)
-    print(f"version {v.version}, tables {len(v.paths)}")
+    print(f"version {v.version}, tables {len(v.tables)}")
 
 
 def _load(spark, a) -> None:

@@ -5,7 +5,8 @@ source (the delta): target rows with other keys pass through an anti join
 against the delta's keys, which come out of an aggregate and are therefore
 measured by AQE - broadcast when small, sort-merge otherwise - so a large
 target is neither sorted nor regrouped by a small delta. Idempotent:
-``merge(merge(t, s), s) == merge(t, s)``.
+``merge(merge(t, s), s) == merge(t, s)``. ``sinks.merge_table`` is the same
+on a published table, of which it rewrites the touched buckets only.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tellus.operators.dedup import earliest, latest
 
 
-def _without_keys(df: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_keys(df: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key (compared null-safely, like grouping) is not
     among the keys of ``keyed``."""
     k = keyed.select(*[F.col(c).alias(f"_mk{i}") for i, c in enumerate(keys)])
@@ -44,6 +45,6 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     order = list(order_by)
     if on_match == "update":
         win = latest(src, keys, order, nulls_first=False)
-        return _without_keys(target, win, keys).unionByName(win)
+        return without_keys(target, win, keys).unionByName(win)
     first = earliest(src, keys, order, nulls_last=True)
-    return target.unionByName(_without_keys(first, target, keys))
+    return target.unionByName(without_keys(first, target, keys))
