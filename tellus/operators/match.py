@@ -18,36 +18,58 @@ its own time bucket; the *time side* is copied to the 3 neighbour buckets
 and keeps its own cell. The join key is (cx, cy, cz, tb); the physical
 join is a sort-merge join on the keys (the static estimate does not see the
 replication fan-out, so no broadcast is taken from it). A cell and bucket
-where one side has over ``HOT_ROWS`` points is cut into salts by measured
-counts: its time-side points are dealt out to the salts, its space-side
-points are copied to each, so no task gets a whole swarm whatever its bytes.
+where either side has over ``HOT_ROWS`` points is cut into a grid by measured
+counts of both sides: each field holds about ``HOT_ROWS`` points of either
+side at most, so no task gets a whole swarm, on whichever side it is.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellus.functions.scalars import EARTH_RADIUS_KM, epoch_seconds, haversine_km
 from tellus.operators.dedup import earliest
 from tellus.operators.partitioning import spread
+from tellus.sources.sinks import materialize
 
 _KEYS = ["_cx", "_cy", "_cz", "_tb"]
-#: Time-side points of a cell and bucket above which it is cut.
+#: Points of one side in a cell and bucket above which it is cut.
 HOT_ROWS = 5000
 
 
-def _salted(sp: DataFrame, tp: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a ``_salt``; one salt unless the key is hot. The counts
-    are reduced before the shuffle and only hot keys are kept of them."""
-    hot = tp.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = hot.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_s"))
-    n = F.coalesce(F.col("_s"), F.lit(1))
-    tp = tp.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*[c for c in tp.columns if c not in keys]), n).cast("int"))
-    sp = sp.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
-    return sp.drop("_s"), tp.drop("_s")
+def _cells(df: DataFrame, keys: list[str], name: str, copies: dict[str, Column]) -> DataFrame:
+    """Rows by key, counted before they are copied: the counts are copied in
+    their place (at most as many keys get a point as get its count)."""
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    for c, around in copies.items():
+        n = n.withColumn(c, F.explode(around))
+    return n
+
+
+def _salted(sp: DataFrame, tp: DataFrame, keys: list[str], sp_cells: DataFrame, tp_cells: DataFrame,
+            hot_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and the keys of their join. A key where either side has over
+    ``hot_rows`` points becomes a grid: a point of the space side has one
+    column and is copied to all rows, a point of the time side has one row
+    and is copied to all columns, so each pair meets in one field. The counts
+    are one small job; where no key is hot nothing is joined for them."""
+    both = sp_cells.withColumn("_nt", F.lit(0)).unionByName(tp_cells.withColumn("_ns", F.lit(0)))
+    n = both.groupBy(*keys).agg(F.sum("_ns").alias("_ns"), F.sum("_nt").alias("_nt"))
+    n = n.filter((F.greatest("_ns", "_nt") > hot_rows) & (F.least("_ns", "_nt") > 0))
+    parts = [F.greatest(F.ceil(F.col(c) / hot_rows), F.lit(1)).cast("int").alias(a) for c, a in (("_ns", "_cols"), ("_nt", "_rows"))]
+    hot = materialize(sp.sparkSession, n.select(*keys, *parts), "hot-cells")
+    if hot.isEmpty():
+        return sp, tp, keys
+
+    def dealt(df: DataFrame, own: str, place: str, other: str, copy: str) -> DataFrame:
+        h = F.xxhash64(*[c for c in df.columns if c not in keys])
+        df = df.withColumn("_h", h).join(hot, keys, "left")
+        df = df.withColumn(place, F.pmod(F.col("_h"), F.coalesce(own, F.lit(1))).cast("int"))
+        return df.withColumn(copy, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))).drop("_h", "_cols", "_rows")
+    return dealt(sp, "_cols", "_col", "_rows", "_row"), dealt(tp, "_rows", "_row", "_cols", "_col"), [*keys, "_row", "_col"]
 
 
 def _prepare(df, id_col, ts_col, lon_col, lat_col, prefix, cell, bucket):
@@ -98,6 +120,11 @@ def spacetime_candidates(left: DataFrame, right: DataFrame, *,
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"),
                               F.lit(dz).alias("dz"))
                      for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)])
+    if max_hours is None:  # any time: no copies, one bucket
+        sp, tp = sp.withColumn("_tb", F.lit(0)), tp.withColumn("_tb", F.lit(0))
+    times = {} if max_hours is None else {"_tb": F.array(F.col("_tb") - 1, F.col("_tb"), F.col("_tb") + 1)}
+    around = {k: F.array(F.col(k) - 1, F.col(k), F.col(k) + 1) for k in ("_cx", "_cy", "_cz")}
+    sp_cells, tp_cells = _cells(sp, _KEYS, "_ns", around), _cells(tp, _KEYS, "_nt", times)
     sp = sp.withColumn("_o", F.explode(offs))
     ncx = F.col("_cx") + F.col("_o.dx")
     ncy = F.col("_cy") + F.col("_o.dy")
@@ -109,16 +136,14 @@ def spacetime_candidates(left: DataFrame, right: DataFrame, *,
             .withColumn("_cx", ncx).withColumn("_cy", ncy).withColumn("_cz", ncz)
             .drop("_o", "_x", "_y", "_z"))
     tp = tp.drop("_x", "_y", "_z")
-    if max_hours is None:  # any time: no copies, one bucket
-        sp, tp = sp.withColumn("_tb", F.lit(0)), tp.withColumn("_tb", F.lit(0))
-    else:
-        tp = tp.withColumn("_tb", F.explode(F.array(F.col("_tb") - 1, F.col("_tb"), F.col("_tb") + 1)))
-    sp, tp = _salted(sp, tp, _KEYS, hot_rows)
+    for c, near in times.items():
+        tp = tp.withColumn(c, F.explode(near))
+    sp, tp, keys = _salted(sp, tp, _KEYS, sp_cells, tp_cells, hot_rows)
     # Sort-merge join on the bucket keys. The static size estimate does not
     # see the explode's fan-out, so a broadcast chosen from it could be far
     # larger than planned; the shuffles a sort-merge join inserts are the
     # ones AQE can split when a cell is hot (skew join).
-    j = sp.hint("merge").join(tp, [*_KEYS, "_salt"], "inner")
+    j = sp.hint("merge").join(tp, keys, "inner")
     delay = F.col("r_sec") - F.col("l_sec")
     dist = haversine_km("l_lat", "l_lon", "r_lat", "r_lon")
     if max_hours is not None:
@@ -164,12 +189,13 @@ def time_band_join(left: DataFrame, right: DataFrame, *, max_hours: float,
     bucket = F.lit(max(int(math.ceil(max_hours * 3600.0)), 1))
     lp = left.select(F.col(left_id).alias("l_id"), epoch_seconds(left_ts).alias("l_sec")).filter("l_sec IS NOT NULL")
     rp = right.select(F.col(right_id).alias("r_id"), epoch_seconds(right_ts).alias("r_sec")).filter("r_sec IS NOT NULL")
-    own = F.floor(F.col("l_sec") / bucket)
-    lp = lp.withColumn("_tb", F.explode(F.array(own - 1, own, own + 1)))
+    lp = lp.withColumn("_tb", F.floor(F.col("l_sec") / bucket))
     rp = rp.withColumn("_tb", F.floor(F.col("r_sec") / bucket))
-    lp, rp = _salted(lp, rp, ["_tb"], hot_rows)
+    near = F.array(F.col("_tb") - 1, F.col("_tb"), F.col("_tb") + 1)
+    cells = _cells(lp, ["_tb"], "_ns", {"_tb": near}), _cells(rp, ["_tb"], "_nt", {})
+    lp, rp, keys = _salted(lp.withColumn("_tb", F.explode(near)), rp, ["_tb"], *cells, hot_rows)
     delay = F.col("r_sec") - F.col("l_sec")
-    j = lp.hint("merge").join(rp, ["_tb", "_salt"])
+    j = lp.hint("merge").join(rp, keys)
     return j.filter(F.abs(delay / F.lit(3600.0)) <= F.lit(float(max_hours))).select(
         "l_id", "r_id", "l_sec", "r_sec", delay.alias("delay_seconds"))
 

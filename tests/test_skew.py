@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tellus.operators import dedup as D
-from tellus.operators.match import spacetime_candidates
+from tellus.operators.match import _cells, _salted, spacetime_candidates
 from tellus.operators.merge import merge
 from tellus.plans.audit import orphan_counts
 
@@ -77,6 +77,31 @@ def test_match_hot_cell_skew_join(spark, skew_conf):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@pytest.mark.parametrize("n_left, n_right", [(1500, 300), (300, 1500), (1200, 1200)])
+def test_a_swarm_on_either_side_is_cut_into_a_grid(spark, n_left, n_right):
+    rng = np.random.default_rng(5)
+    schema = "id long, ts timestamp, lon double, lat double"
+    left, right = _pts(rng, n_left, "e"), _pts(rng, n_right, "q")
+    L, R = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    expect = _brute_np(left, right, 300.0, 24.0)
+    for side in ("left", "right"):
+        rows = [(r.l_id, r.r_id) for r in spacetime_candidates(
+            L, R, max_km=300.0, max_hours=24.0, space_side=side, hot_rows=50).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == expect
+
+
+def test_the_fields_of_a_grid_are_bounded(spark):
+    keys = ["_tb"]
+    sp = spark.range(100_000).select(F.lit(7).alias("_tb"), F.col("id").alias("l_id"))
+    tp = spark.range(60_000).select(F.lit(7).alias("_tb"), F.col("id").alias("r_id"))
+    s, t, by = _salted(sp, tp, keys, _cells(sp, keys, "_ns", {}), _cells(tp, keys, "_nt", {}), 5000)
+    fields = [df.groupBy(*by).count() for df in (s, t)]
+    assert [f.count() for f in fields] == [20 * 12, 20 * 12]
+    assert max(f.agg(F.max("count")).first()[0] for f in fields) < 5500
+    # each pair meets in exactly one field
+    assert s.filter("l_id = 3").join(t.filter("r_id = 4"), by).count() == 1
+
+
 def test_hot_key_aggregates(spark, skew_conf):
     n = 30000
     df = spark.range(n).select(
