@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from tellus.functions.scalars import EARTH_RADIUS_KM, epoch_seconds, haversine_km
 from tellus.operators.dedup import earliest
 from tellus.operators.partitioning import spread
-from tellus.sources.sinks import materialize
 
 _KEYS = ["_cx", "_cy", "_cz", "_tb"]
 #: Points of one side in a cell and bucket above which it is cut.
@@ -55,14 +54,12 @@ def _salted(sp: DataFrame, tp: DataFrame, keys: list[str], sp_cells: DataFrame,
     ``hot_rows`` points becomes a grid: a point of the space side has one
     column and is copied to all rows, a point of the time side has one row
     and is copied to all columns, so each pair meets in one field. The counts
-    are one small job; where no key is hot nothing is joined for them."""
+    are reduced before the shuffle and only hot keys are kept of them."""
     both = sp_cells.withColumn("_nt", F.lit(0)).unionByName(tp_cells.withColumn("_ns", F.lit(0)))
     n = both.groupBy(*keys).agg(F.sum("_ns").alias("_ns"), F.sum("_nt").alias("_nt"))
     n = n.filter((F.greatest("_ns", "_nt") > hot_rows) & (F.least("_ns", "_nt") > 0))
     parts = [F.greatest(F.ceil(F.col(c) / hot_rows), F.lit(1)).cast("int").alias(a) for c, a in (("_ns", "_cols"), ("_nt", "_rows"))]
-    hot = materialize(sp.sparkSession, n.select(*keys, *parts), "hot-cells")
-    if hot.isEmpty():
-        return sp, tp, keys
+    hot = n.select(*keys, *parts)
 
     def dealt(df: DataFrame, own: str, place: str, other: str, copy: str) -> DataFrame:
         h = F.xxhash64(*[c for c in df.columns if c not in keys])
