@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tellus.functions import scalars as S
 from tellus.functions.predicates import URL_PATTERN
 from tellus.operators.merge import merge
+from tellus.sources import sinks as K
 
 _ORDER = "_seq"
 
@@ -80,12 +81,16 @@ def record_ok(rec: DataFrame) -> Column:
 
 def sync(tables: Mapping[str, DataFrame], events: DataFrame, *,
          categories: DataFrame | None = None, sources: DataFrame | None = None,
-         order: str = _ORDER) -> tuple[dict[str, DataFrame], DataFrame]:
+         order: str = _ORDER, checkpoint: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Apply one batch. ``events`` are parsed records (``schemas.EVENT_RECORD``)
     with an ordering column ``order`` (arrival order; later wins for DO
     UPDATE, earlier wins for DO NOTHING). ``categories`` / ``sources`` are
     reference rows (``id, title, description`` / ``id, url, source``).
 
+    With ``checkpoint`` the checked records are written once to the shared
+    checkpoint folder, where all tables and counts read the columns they
+    need; without it each of them parses and checks the records again.
+
     Returns ``(tables, counts)`` with counts ``(processed, failed)``.
     """
     out = dict(tables)
@@ -100,6 +105,9 @@ def sync(tables: Mapping[str, DataFrame], events: DataFrame, *,
         out["source"] = _upsert(out["source"], s, ["id"], ob)
 
     ok = events.withColumn("_ok", F.coalesce(record_ok(events), F.lit(False)))
+    if checkpoint:
+        cols = ["id", "title", "description", "link", "closed", "categories", "sources", "geometry"]
+        ok = K.materialize(ok.sparkSession, ok.select(*cols, *([] if order in cols else [order]), "_ok"), "records")
     counts = ok.agg(F.count_if("_ok").cast("long").alias("processed"),
                     F.count_if(~F.col("_ok")).cast("long").alias("failed"))
     good = ok.filter("_ok")
