@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,6 +52,12 @@ _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: (chr(b) if b in _PLAIN else chr(256 + sum(o not in _PLAIN for o in range(b)))) for b in range(256)}
 # white space for Python that the tokenizer takes for ordinary characters
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
+# whether an array of unsigned integers has the layout of packed ids
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
+
+
+def _pack(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if _NATIVE else np.array(ids, "<u4").tobytes()
 
 
 class WordEncoder:
@@ -63,39 +71,45 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}  # packed ids
 
-    def encode(self, parts: list[str], simple: bool) -> dict[str, list[int]]:
-        """Ids of parts of words. In a simple text (lower case, no code point
-        above 255) a part of letters alone is one match and has nothing to
-        normalise, so the merges can start at once."""
-        ids, rest = {}, []
+    def encode(self, parts: list[str], simple: bool) -> dict[str, bytes]:
+        """Packed ids of parts of words. In a simple text (lower case, no code
+        point above 255) a part of letters alone is one match and has nothing
+        to normalise, so the merges can start at once."""
+        ids, rest, tokenize = {}, [], self.model.tokenize
         for p in parts:
             if simple and p.isalpha():
                 raw = p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_BYTES)
-                ids[p] = [t.id for t in self.model.tokenize(raw)]
+                ids[p] = _pack([t.id for t in tokenize(raw)])
             else:
                 rest.append(p)
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            ids[p] = e.ids
+        if rest:
+            for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+                ids[p] = _pack(e.ids)
         return ids
 
-    def learn(self, words: list[str], simple: bool) -> None:
+    def learn(self, words: Collection[str], simple: bool) -> None:
         """Put words into the cache. Marks of punctuation at the end are
         encoded apart: a match never runs from a letter or number into one."""
         if len(self.cache) + len(words) > CACHE_WORDS:
             self.cache.clear()
-        parts = {}
+        cache, new, tailed = self.cache, set(), []
         for w in words:
             base = w.rstrip(_TAIL)
-            parts[w] = (base, w[len(base):]) if base and base[-1].isalnum() else (w, "")
-        new = list({p for pair in parts.values() for p in pair if p and p not in self.cache})
-        self.cache.update(self.encode(new, simple))
-        for w, (base, tail) in parts.items():
-            if tail:
-                self.cache[w] = self.cache[base] + self.cache[tail]
+            if len(base) < len(w) and base and base[-1].isalnum():
+                tail = w[len(base):]
+                tailed.append((w, base, tail))
+                new.add(base)
+                new.add(tail)
+            else:
+                new.add(w)
+        cache.update(self.encode([p for p in new if p not in cache], simple))
+        for w, base, tail in tailed:
+            cache[w] = cache[base] + cache[tail]
 
-    def __call__(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The ids of a text (little-endian unsigned 32-bit)."""
         simple = True
         try:
             text.encode("latin-1")
@@ -103,19 +117,17 @@ class WordEncoder:
         except UnicodeEncodeError:
             simple = False
         words = text.split(" ") if _NOT_SPACE.search(text) else text.split()
-        cache = self.cache
-        missing = [w for w in set(words) if w not in cache]
+        missing = set(words).difference(self.cache)
         if missing:
             self.learn(missing, simple)
-            cache = self.cache
-        out: list[int] = []
         try:
-            for w in words:
-                out += cache[w]
-        except KeyError:  # the cache was emptied: these words alone are in it
-            self.learn([w for w in set(words) if w not in cache], simple)
-            out = [i for w in words for i in self.cache[w]]
-        return out
+            return b"".join(map(self.cache.__getitem__, words))
+        except KeyError:  # the cache was emptied of words that this text has too
+            self.learn(set(words), simple)
+            return b"".join(map(self.cache.__getitem__, words))
+
+    def __call__(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), "<u4").tolist()
 
 
 def token_ids(text: Column, tokenizer_file: str, end_id: int = END_ID) -> Column:
@@ -123,8 +135,9 @@ def token_ids(text: Column, tokenizer_file: str, end_id: int = END_ID) -> Column
     @pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = WordEncoder(tokenizer_file)  # of this task, so its words go with it
+        end = _pack([end_id])
         for texts in batches:
-            yield pd.Series([np.array(encode(t) + [end_id], "<u4").tobytes() for t in texts])
+            yield pd.Series([encode.packed(t) + end for t in texts])
         del encode
         give_back()
     return ids(text_or_empty(text))

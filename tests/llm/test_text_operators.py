@@ -219,6 +219,17 @@ def test_word_encoder_equals_the_tokenizer(monkeypatch):
         assert enc(t) == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_encoder_keeps_packed_ids_and_learns_a_text_larger_than_its_cache(monkeypatch):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    enc = packing.WordEncoder(P.path("word_bpe_49k.json"))
+    known, new = " ".join(f"known{i}" for i in range(30)), " ".join(f"new{i}, Ünï{i}" for i in range(30))
+    for t in [known, known + " " + new, new, ""]:
+        assert enc.packed(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert all(type(v) is bytes and len(v) % 4 == 0 for v in enc.cache.values())
+
+
 # ---------------------------------------------------------------- op10
 
 def test_op10_on_odd_rows(spark, folder, nothing):
