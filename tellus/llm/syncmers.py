@@ -6,7 +6,9 @@ and ``S``). A k-mer is a closed syncmer if its smallest s-mer (by
 hash) is its first or its last one. Whether a k-mer is chosen depends on its
 own words alone, so an edit changes the anchors that touch it and no others:
 equal passages keep equal anchors wherever they stand, and anchors of two
-texts can be matched by position.
+texts can be matched by position. For the same reason a text that is put
+together from parts of known texts has their anchors, and only the places
+where parts meet or end are looked at again (``edited_fingerprints``).
 
 A fingerprint is the sequence of the chosen k-mers' 32-bit hashes, in order;
 as text, eight hex digits each. A text without a chosen k-mer has one anchor:
@@ -33,6 +35,8 @@ K = 8
 S = 2
 #: Code points of a k-mer and of an s-mer; two of 17 k-mers are chosen.
 CHAR_K, CHAR_S = 20, 4
+#: The place of every so many anchors goes along with a text.
+MARK = 32
 #: Rows of a range of ids, about, and the most ranges there are.
 RANGE_ROWS, MAX_RANGES = 2000, 1 << 16
 
@@ -41,12 +45,16 @@ def with_anchors(df: DataFrame, text_col: str, out: str, k: int = K, s: int = S)
     """``df`` and a column ``out``: array<struct<pos, hash>>, the anchors of
     a text with the place of their first word, from 0."""
     words = F.filter(F.split(text_or_empty(F.col(text_col)), r"\s+"), lambda x: x != "")
-    return _anchored(df, words, out, k, s)
+    return df.withColumn(out, _anchors(words, k, s))
 
 
 def with_char_anchors(df: DataFrame, text_col: str, out: str, k: int = CHAR_K, s: int = CHAR_S) -> DataFrame:
     """``with_anchors`` over code points: places count code points."""
-    return _anchored(df, F.filter(F.split(text_or_empty(F.col(text_col)), ""), lambda x: x != ""), out, k, s)
+    return df.withColumn(out, _anchors(_chars(text_or_empty(F.col(text_col))), k, s))
+
+
+def _chars(text: Column) -> Column:
+    return F.when(text != "", F.split(text, "")).otherwise(F.array().cast("array<string>"))
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -55,7 +63,8 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: then(x)), F.lit(0))
 
 
-def _anchored(df: DataFrame, units: Column, out: str, k: int, s: int) -> DataFrame:
+def _anchors(units: Column, k: int, s: int, lone: bool = True) -> Column:
+    """The anchors of a sequence; without ``lone`` only its closed syncmers."""
     last = k - s
 
     def smallest(h: Column, width: int) -> Column:
@@ -77,8 +86,11 @@ def _anchored(df: DataFrame, units: Column, out: str, k: int, s: int) -> DataFra
             return F.filter(places, lambda i: (F.get(h, i) <= F.get(m, i + 1)) | (F.get(h, i + last) < F.get(m, i)))
 
         def chosen(sel: Column) -> Column:
+            anchors = F.transform(sel, lambda i: F.struct(i.alias("pos"), whole(i).alias("hash")))
+            if not lone:
+                return anchors
             least = F.array_min(F.transform(places, lambda i: F.struct(whole(i).alias("hash"), i.alias("pos"))))
-            return (F.when(F.size(sel) > 0, F.transform(sel, lambda i: F.struct(i.alias("pos"), whole(i).alias("hash"))))
+            return (F.when(F.size(sel) > 0, anchors)
                     .when(n == 0, F.array().cast("array<struct<pos:int,hash:int>>"))
                     .when(n < k, F.array(F.struct(F.lit(0).alias("pos"), F.hash(w).alias("hash"))))
                     .otherwise(F.array(F.struct(least["pos"].alias("pos"), least["hash"].alias("hash")))))
@@ -86,7 +98,7 @@ def _anchored(df: DataFrame, units: Column, out: str, k: int, s: int) -> DataFra
 
     def of_units(w: Column) -> Column:
         return _let(F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, s)])), lambda h: of_smers(w, h))
-    return df.withColumn(out, _let(F.transform(units, lambda x: F.xxhash64(x)), of_units))
+    return _let(F.transform(units, lambda x: F.xxhash64(x)), of_units)
 
 
 def hashes(anchors: Column) -> Column:
@@ -153,14 +165,34 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], tie: str, prefix:
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = CHAR_K, s: int = CHAR_S) -> DataFrame:
     """Per row: doc_id, n_chars, edited (the text with its last half replaced
     by the start of the next text), fp, edited_fp, next_fp (arrays of anchor
-    hashes)."""
+    hashes).
+
+    The edited text's closed syncmers are, in order, those of the text that
+    end before the cut, those that cross it, and those of the next text that
+    end before its own cut: the first ones up to the last mark (the place of
+    every ``MARK``-th anchor), the others from the code points behind it. Only
+    where there is none at all the edited text is looked at whole."""
     d = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
-    d = with_char_anchors(d, "text", "anchors", k, s)
-    d = d.select("doc_id", "text", hashes(F.col("anchors")).alias("fp"))
-    d = with_next(d, "doc_id", ["text", "fp"], "text")
+    d = d.withColumn("closed", _anchors(_chars(F.col("text")), k, s, lone=False))
     n = F.length("text")
     cut = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut))
-    d = d.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", F.col("next_fp"))
-    d = with_char_anchors(d, "edited", "edited_anchors", k, s)
-    return d.select("doc_id", "n_chars", "edited", "fp", hashes(F.col("edited_anchors")).alias("edited_fp"), "next_fp")
+    none = F.size("closed") == 0
+    kept = _let(n - cut, lambda end: F.size(F.filter("closed", lambda a: a["pos"] + k <= end)))
+    marks = F.transform(F.filter("closed", lambda a, i: i % MARK == 0), lambda a: a["pos"])
+    whole = F.when(none, hashes(_anchors(_chars(F.col("text")), k, s))).otherwise(hashes(F.col("closed")))
+    d = d.select("doc_id", "text", whole.alias("fp"), F.struct(kept.alias("kept"), marks.alias("marks")).alias("m"))
+    d = with_next(d, "doc_id", ["text", "fp", "m"], "text")
+    start = F.substr("next_text", F.lit(1), cut)
+    edited = F.concat(F.substr("text", F.lit(1), n - cut), start)
+    d = d.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "next_fp", F.col("m.kept").alias("kept"), (n - cut).alias("own"),
+                 _let(F.least(cut, F.length("next_text")), lambda end: F.filter("next_m.marks", lambda p: p + k <= end)).alias("marks"))
+    known = F.when(F.size("marks") > 0, (F.size("marks") - 1) * MARK + 1).otherwise(0)
+    behind = F.when(F.size("marks") > 0, F.element_at("marks", -1) + 1).otherwise(0)  # code points of the next text
+    before = F.least(F.col("own"), F.lit(k - 1))
+    joint = F.substr("edited", F.col("own") - before + 1, before + k - 1)
+    rest = F.substr("edited", F.col("own") + behind + 1, F.length("edited"))
+    parts = F.concat(F.slice("fp", F.lit(1), F.col("kept")), hashes(_anchors(_chars(joint), k, s, lone=False)),
+                     F.slice("next_fp", F.lit(1), known), hashes(_anchors(_chars(rest), k, s, lone=False)))
+    d = d.withColumn("parts", parts)
+    edited_fp = F.when(F.size("parts") == 0, hashes(_anchors(_chars(F.col("edited")), k, s))).otherwise(F.col("parts"))
+    return d.select("doc_id", "n_chars", "edited", "fp", edited_fp.alias("edited_fp"), "next_fp")

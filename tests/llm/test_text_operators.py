@@ -130,6 +130,25 @@ def test_next_row_over_many_ranges(spark, monkeypatch):
     assert {r.doc_id: r.next_text for r in d.collect()} == expect
 
 
+@pytest.mark.parametrize("k, s, mark", [(20, 4, 32), (7, 3, 2), (5, 2, 1)])
+def test_edited_fingerprints_are_those_of_the_edited_texts(spark, monkeypatch, k, s, mark):
+    """Put together from those of its parts, and the parts are not hashed again."""
+    monkeypatch.setattr(syncmers, "MARK", mark)
+    rng = random.Random(k)
+    texts = [r[1] for r in rows()] + [prose(6), "a" * 500, "ab" * 300, "é日𝒳" * 90, "x", "日本", "𝒳𝒴", "", None]
+    texts += ["".join(rng.choice("abcé日𝒳 ") for _ in range(rng.choice([n, 8 * n]))) for n in range(80)]
+    rng.shuffle(texts)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = syncmers.edited_fingerprints(d, k=k, s=s)
+    again = syncmers.with_char_anchors(got, "edited", "b", k, s).withColumn("b", syncmers.hashes(F.col("b")))
+    again = syncmers.with_char_anchors(again.join(d, "doc_id"), "text", "a", k, s).withColumn("a", syncmers.hashes(F.col("a"))).collect()
+    assert len(again) == len(texts) and all(r.edited_fp == r.b and r.fp == r.a for r in again)
+    after = [t or "" for t in texts[1:] + texts[:1]]
+    for r in again:
+        t = texts[r.doc_id] or ""
+        assert r.edited == t[:len(t) - len(t) // 2] + after[r.doc_id][:len(t) // 2]
+
+
 # ---------------------------------------------------------------- op2
 
 def bins(placed):
