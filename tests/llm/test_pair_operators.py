@@ -4,9 +4,11 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -160,6 +162,24 @@ def test_scan_in_parts_gives_the_same_windows(monkeypatch):
     assert seen == collections.Counter({(i, p): 1 for i, t in enumerate(texts) for p in range(len(t) - 399)})
 
 
+def test_scan_and_sort_hold_little_at_a_time():
+    """Arrays of a scan or a sort are many times the bytes they are made of,
+    so few bytes are taken at a time, whatever a batch holds."""
+    texts = [prose(i) * 40 for i in range(120)]
+    assert sum(map(len, texts)) > 3 << 20
+    zero = pa.array(np.zeros(len(texts), np.int64))
+    batch = pa.RecordBatch.from_arrays([zero, zero, pa.array(texts)], names=["t1", "t2", "text"])
+    run = suffixes._scan([suffixes._search(400), suffixes._search(51 * suffixes.WORD, words=True)])
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found > 10_000 and peak < 64 << 20
+    assert suffixes.SORT_ROWS <= 1024
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_suffix_sort_orders_and_survives_collisions(weak):
     """With all bytes hashed alike every comparison collides."""
