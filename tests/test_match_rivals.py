@@ -71,3 +71,21 @@ def test_labels_are_those_of_a_join_by_id(spark):
     rows = lambda df: sorted(map(repr, df.collect()))
     assert rows(Q.match_details(match, ev, qk)) == rows(Q.match_details(match(), ev, qk))
     assert rows(Q.match_triples(match, qk)) == rows(Q.match_triples(match(), qk))
+
+
+def test_no_join_of_cells_leaves_the_generated_code(spark):
+    # a join whose condition holds a lambda does; pairs near the threshold and points without a place are as before
+    rng = np.random.default_rng(4)
+    left, right = _points(rng, 120, 60), _points(rng, 60, 10_000)
+    left += [(500, BASE, float("nan"), 3.0), (501, BASE, 3.0, float("nan")), (502, BASE, 3.0, 95.0), (502, BASE, 4.0, 85.0)]
+    right += [(20_000, BASE, 3.0, 3.0), (20_001, BASE, 183.0, 86.0), (20_002, BASE, float("nan"), float("nan"))]
+    L, R = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = match_pairs(L, R, max_km=300.0, max_hours=24.0, round_output=False, partitions=5)
+        joins = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin [_cx" in line and "_row" in line]
+        assert len(joins) > 2 and all("*(" in line.split("SortMergeJoin")[0] for line in joins)
+        assert {(r.event_id, r.earthquake_id, r.distance_km, r.delay_seconds) for r in df.collect()} == _best(L, R, 300.0, 24.0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
