@@ -110,7 +110,10 @@ def sync(tables: Mapping[str, DataFrame], events: DataFrame, *,
         ok = K.materialize(ok.sparkSession, ok.select(*cols, *([] if order in cols else [order]), "_ok"), "records")
     counts = ok.agg(F.count_if("_ok").cast("long").alias("processed"),
                     F.count_if(~F.col("_ok")).cast("long").alias("failed"))
-    good = ok.filter("_ok")
+    # no filter goes below what is exploded: the check would parse the record anew for each field that it reads, and
+    # below the shuffle of the records, which the tables then could not share
+    kept = list(dict.fromkeys(["id", "title", "description", "link", "closed", "categories", "sources", "geometry", order]))
+    good = ok.select(F.explode(F.array(F.struct("_ok", *kept))).alias("_g")).filter("_g._ok").select("_g.*")
 
     ev = good.select("id", "title", "description", "link", S.parse_ts("closed").alias("closed"), order)
     out["event"] = merge(out["event"].withColumn(order, F.lit(None).cast(ev.schema[order].dataType)),

@@ -37,3 +37,15 @@ def test_sync_semantics_and_idempotence(spark):
     t2, _ = sync(t, recs)
     for n in t:
         assert sorted(map(tuple, t[n].collect()), key=repr) == sorted(map(tuple, t2[n].collect()), key=repr), n
+
+
+def test_no_filter_parses_the_records_again(spark):
+    # a filter on parsed fields goes below the shuffle of the texts, unless something holds it
+    texts = spark.createDataFrame([(json.dumps(r), i) for i, r in enumerate([GOOD, BAD_GEO, UPDATED])], "raw string, _seq long")
+    recs = texts.repartition(3).select(F.from_json("raw", SC.EVENT_RECORD).alias("r"), "_seq").select("r.*", "_seq")
+    t, _ = sync(seed_tables(spark), recs)
+    for name in ("event", "category", "source", "event_category", "event_source", "geometry"):
+        plan = t[name]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert any("from_json" in line for line in plan)
+        assert not [line for line in plan if line.strip(" :+-").startswith("Filter") and "from_json" in line], name
+    assert {r.id: r.title for r in t["event"].collect()}["E9"] == "Fire v2" and t["geometry"].filter("event_id = 'E9'").count() == 1
